@@ -12,7 +12,7 @@ from vertexmill.operators.prepare import (
     standardize,
     symmetrize,
 )
-from vertexmill.runtime import materialize, with_position, with_total_before
+from vertexmill.runtime import with_position, with_total_before, written
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,7 +47,7 @@ def nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 def scaled_nodes(spark: SparkSession, folder: str) -> DataFrame:
     """Standardised nodes, computed once: every model query reads them many times."""
-    return materialize(standardize(nodes(spark, folder)))
+    return written(standardize(nodes(spark, folder)), "nodes")
 
 
 def features(rows: DataFrame) -> DataFrame:
@@ -70,7 +70,8 @@ def edges(spark: SparkSession, folder: str) -> DataFrame:
 
 def norm_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Normalised, computed once: every model query reads it many times."""
-    return materialize(normalize_edges(raw_edges(spark, folder), nodes(spark, folder)))
+    normal = normalize_edges(raw_edges(spark, folder), nodes(spark, folder))
+    return written(normal, "edges")
 
 
 def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,7 +104,7 @@ def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def csr_vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """``indptr(pos, value)`` and ``entries(pos, index, data)`` of the edge table."""
-    placed = with_position(materialize(edges(spark, folder)), "src", "dst")
+    placed = with_position(edges(spark, folder), "src", "dst")
     entries = placed.select("pos", F.col("dst").alias("index"), F.col("w").alias("data"))
     rows = nodes(spark, folder).select("id")
     beyond = rows.agg((F.max("id") + 1).alias("id"))

@@ -135,17 +135,17 @@ def matrix_pieces(matrix: np.ndarray, layer: int) -> Iterator[pa.RecordBatch]:
         )
 
 
-def sum_matrices(pieces: DataFrame, branches: int = 1) -> DataFrame:
-    """Add up matrix pieces of equal place.
+def sum_matrices(pieces: DataFrame, columns: int = PIECE, branches: int = 1) -> DataFrame:
+    """Add up matrix pieces of equal place, for matrices of at most ``columns`` columns.
 
     With ``branches`` above 1 the sum is a two-level tree: the partials of
     every place are first added in that many groups, then together.
     """
-    place = ["layer", "i", "j0"]
+    place, width = ["layer", "i", "j0"], min(columns, PIECE)
     if branches > 1:
         marked = pieces.withColumn("branch", F.spark_partition_id() % branches)
-        pieces = sum_vectors(marked, [*place, "branch"], PIECE).drop("branch")
-    return sum_vectors(pieces, place, PIECE)
+        pieces = sum_vectors(marked, [*place, "branch"], width).drop("branch")
+    return sum_vectors(pieces, place, width)
 
 
 def matrices_of(pieces: list, dims: list[int]) -> list[np.ndarray]:

@@ -13,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ from vertexmill.operators.messages import (
 )
 from vertexmill.operators.partition import block_edges, train_rows_per_part
 from vertexmill.operators.prepare import feature_width, undirected
-from vertexmill.runtime import materialize, materialize_by
+from vertexmill.runtime import kept_by, written
 
 
 @dataclass
@@ -114,7 +113,7 @@ def lay_out(
     """
     whole = undirected(edges, nodes)
     chosen = whole if parts is None else block_weights(whole, parts, local_input)
-    merged = materialize(chosen)
+    merged = written(chosen, "edges")
 
     per_vertex = merged.groupBy(F.col("src").alias("id")).agg(
         F.sum("w").alias("degree"), F.count("*").alias("n_edges")
@@ -123,9 +122,8 @@ def lay_out(
         "id", "n_edges", inverse_sqrt_degree(F.col("degree")).alias("scale")
     )
     limit = hub_limit(merged.count(), hub_floor)
-    counted = materialize(with_copies(scaled, limit).drop("n_edges"))
-    laid_edges = materialize_by(salt_edges(merged, find_hubs(counted)), "src", "salt")
-    laid_edges = laid_edges.persist(StorageLevel.MEMORY_AND_DISK)
+    counted = written(with_copies(scaled, limit).drop("n_edges"), "degrees")
+    laid_edges = kept_by(salt_edges(merged, find_hubs(counted)), "src", "salt")
 
     width = feature_width(nodes)
     vertices = row_weights(nodes, parts).join(counted, "id")
@@ -136,7 +134,7 @@ def lay_out(
     joined = vertices.drop("features").join(summed, "id")
     kept = [c for c in joined.columns if c != "vec"]
     aggregated = scale_vectors(joined, kept).withColumnRenamed("vec", "ax")
-    laid_vertices = materialize_by(aggregated, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    laid_vertices = kept_by(written(aggregated, "vertices"), "id")
 
     sizes = laid_vertices.agg(
         F.countDistinct("label").alias("classes"), F.count_if("is_train").alias("n_train")

@@ -249,9 +249,14 @@ def _gradient_pieces(
     return reduce(DataFrame.unionByName, pieces), kept
 
 
+#: Up to this many tasks their partial gradients are added in one step.
+FLAT_TASKS = 64
+
+
 def _branches(spark: SparkSession) -> int:
     """Width of the first level of the gradient tree: about the root of the task count."""
-    return max(1, int(partition_count(spark) ** 0.5))
+    tasks = partition_count(spark)
+    return 1 if tasks <= FLAT_TASKS else int(tasks**0.5)
 
 
 @dataclass
@@ -261,6 +266,7 @@ class Epoch:
     scored: DataFrame
     states: list[DataFrame]
     shared: object
+    broadcast_time: float
 
     def close(self) -> None:
         self.scored.unpersist()
@@ -271,10 +277,12 @@ class Epoch:
 
 def open_epoch(layout: Layout, weights: list[np.ndarray], dims: list[int]) -> Epoch:
     spark = layout.vertices.sparkSession
+    start = time.perf_counter()
     shared = spark.sparkContext.broadcast(weights)
+    sent = time.perf_counter() - start
     states = _logit_states(layout, shared, dims)
     scored = _score(states[-1]).persist(StorageLevel.MEMORY_AND_DISK)
-    return Epoch(scored, states[:-1], shared)
+    return Epoch(scored, states[:-1], shared, sent)
 
 
 def score_row(epoch: Epoch) -> DataFrame:
@@ -288,7 +296,7 @@ def gradients(
     """Summed gradients of all layers as pieces; nothing vertex-sized leaves the cluster."""
     pieces, kept = _gradient_pieces(layout, epoch.scored, epoch.states, epoch.shared, dims)
     spark = layout.vertices.sparkSession
-    return sum_matrices(pieces, branches or _branches(spark)), kept
+    return sum_matrices(pieces, max(dims[1:]), branches or _branches(spark)), kept
 
 
 def run_epoch(
@@ -297,7 +305,6 @@ def run_epoch(
     """One epoch: ``(new weights, metrics)``. Metrics belong to the weights before the update."""
     start = time.perf_counter()
     epoch = open_epoch(layout, weights, dims)
-    sent = time.perf_counter()
     kept: list[DataFrame] = []
     try:
         scores = score_row(epoch).first()
@@ -313,9 +320,9 @@ def run_epoch(
             table.unpersist()
         epoch.close()
     return updated, {
-        "forward_time": forward_end - sent,
+        "forward_time": forward_end - start - epoch.broadcast_time,
         "backward_time": backward_end - forward_end,
-        "comm_time": sent - start if layout.parts is not None else 0.0,
+        "comm_time": epoch.broadcast_time if layout.parts is not None else 0.0,
         "update_time": update_end - backward_end,
         "loss": scores["loss"],
         "train_acc": scores["train_acc"],

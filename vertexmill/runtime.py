@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,14 +35,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and cut its lineage."""
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df``, keeping its partitions as they are."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage of ``df`` by a Parquet table in the shared folder.
+
+    Readers of the table see only the columns they ask for, and a cache of it
+    is found again wherever the table appears in a plan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key)
@@ -56,17 +68,18 @@ def partition_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def materialize_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Materialise ``df`` hashed and sorted by ``keys``, keeping that layout known.
+def kept_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Keep ``df`` hashed and sorted by ``keys`` for many reads.
 
-    A checkpoint remembers partitioning and order only when its plan is final
-    up front, so adaptive re-planning is off for this one exchange. Joins on
-    ``keys`` then neither shuffle nor sort this side again.
+    A cached table tells later plans its layout only when its own plan is
+    final up front, so adaptive re-planning is off for this one exchange.
+    Joins and aggregates on ``keys`` then leave this side where it is. Give a
+    written table: blocks lost with an executor are rebuilt from it.
     """
     spark = df.sparkSession
     with _setting(spark, "spark.sql.adaptive.enabled", "false"):
         laid_out = df.repartition(partition_count(spark), *keys).sortWithinPartitions(*keys)
-        return materialize(laid_out)
+        return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _partition_offsets(parts: DataFrame) -> DataFrame:
@@ -84,7 +97,7 @@ def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
     its place in its partition plus the sizes of the partitions before it.
     ``order`` must be unique, or ties are numbered arbitrarily.
     """
-    placed = materialize(df.sort(*order)).select(
+    placed = checkpointed(df.sort(*order)).select(
         "*",
         F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("within"),
@@ -101,7 +114,7 @@ def with_total_before(df: DataFrame, order: str, value: str, name: str) -> DataF
     Same idea as :func:`with_position`: the window runs inside each range
     partition and is shifted by the totals of the partitions before it.
     """
-    placed = materialize(df.sort(order)).withColumn("part", F.spark_partition_id())
+    placed = checkpointed(df.sort(order)).withColumn("part", F.spark_partition_id())
     offsets = _partition_offsets(placed.groupBy("part").agg(F.sum(value).alias("size")))
     inside = F.sum(value).over(
         Window.partitionBy("part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

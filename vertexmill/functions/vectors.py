@@ -109,16 +109,18 @@ PIECE = 64
 MATRIX_PIECES = "layer int, i int, j0 int, vec array<double>"
 
 
-def sum_vectors(df: DataFrame, keys: list[str], width: int, weight: Column | None = None) -> DataFrame:
+def sum_vectors(df: DataFrame, keys: list[str], width: int, weight: str | None = None) -> DataFrame:
     """Element-wise sum of ``vec`` per key, at most ``PIECE`` wide, combined before the shuffle.
 
     Vectors may be shorter than ``width``; the sum is as long as the longest.
+    ``weight`` names a column to multiply by.
     """
-    item = [F.get("vec", F.lit(k)) for k in range(width)]
-    sums = [F.sum(x if weight is None else weight * x).alias(f"s{k}") for k, x in enumerate(item)]
-    summed = df.groupBy(*keys).agg(*sums)
-    whole = F.array(*[f"s{k}" for k in range(width)])
-    return summed.select(*keys, F.filter(whole, lambda x: x.isNotNull()).alias("vec"))
+    times = f"{weight} * " if weight else ""
+    sums = [F.expr(f"sum({times}get(vec, {k})) AS s{k}") for k in range(width)]
+    whole = ", ".join(f"s{k}" for k in range(width))
+    return df.groupBy(*keys).agg(*sums).selectExpr(
+        *keys, f"filter(array({whole}), x -> x IS NOT NULL) AS vec"
+    )
 
 
 def matrix_pieces(matrix: np.ndarray, layer: int) -> Iterator[pa.RecordBatch]:

@@ -63,12 +63,28 @@ def spread_vectors(vectors: DataFrame) -> DataFrame:
     )
 
 
-def message_pass(edges: DataFrame, vectors: DataFrame, width: int) -> DataFrame:
+#: Largest hash table of one join task, in bytes; beyond it the join sorts and may spill.
+HASH_LIMIT = 64 << 20
+
+#: Bytes a vector row takes besides its values.
+ROW_OVERHEAD = 64
+
+
+def join_hint(rows_per_task: float, width: int) -> str:
+    """How to join edges to vectors, by the size of one task's share of the vectors."""
+    size = rows_per_task * (width * 8 + ROW_OVERHEAD)
+    return "shuffle_hash" if size <= HASH_LIMIT else "merge"
+
+
+def message_pass(
+    edges: DataFrame, vectors: DataFrame, width: int, hint: str | None = None
+) -> DataFrame:
     """``(id, vec)``: for every target the sum of ``w`` times its sources' vectors.
 
     Give ``edges`` with ``salt`` and ``vectors`` with ``copies`` to split hubs;
     without them the join relies on adaptive skew handling. Vectors wider than
-    ``PIECE`` travel in pieces. Targets without edges give no row; see
+    ``PIECE`` travel in pieces. ``hint`` is the join strategy for a known
+    layout, see :func:`join_hint`. Targets without edges give no row; see
     :func:`fill_isolated`.
     """
     salted = "salt" in edges.columns
@@ -77,18 +93,20 @@ def message_pass(edges: DataFrame, vectors: DataFrame, width: int) -> DataFrame:
         spread_vectors(vectors) if salted else vectors.select(F.col("id").alias("src"), "vec")
     )
     if width <= PIECE:
+        if hint:
+            sources = sources.hint(hint)
         joined = edges.join(sources, on).select(F.col("dst").alias("id"), "w", "vec")
-        return sum_vectors(joined, ["id"], width, F.col("w"))
+        return sum_vectors(joined, ["id"], width, "w")
 
-    cuts = F.array(
-        *[
-            F.struct(F.lit(at).alias("at"), F.slice("vec", at + 1, PIECE).alias("vec"))
-            for at in range(0, width, PIECE)
-        ]
+    cuts = ", ".join(
+        f"named_struct('at', {at}, 'vec', slice(vec, {at + 1}, {PIECE}))"
+        for at in range(0, width, PIECE)
     )
-    pieces = sources.select(*on, F.inline(cuts))
+    pieces = sources.selectExpr(*on, f"inline(array({cuts}))")
+    if hint:
+        pieces = pieces.hint(hint)
     joined = edges.join(pieces, on).select(F.col("dst").alias("id"), "at", "w", "vec")
-    summed = sum_vectors(joined, ["id", "at"], PIECE, F.col("w"))
+    summed = sum_vectors(joined, ["id", "at"], PIECE, "w")
     return join_pieces(summed)
 
 

@@ -6,6 +6,10 @@ message passing gives the same sums, so no edge is ever joined to degrees.
 
 ``ax`` holds the aggregated features ``A X``. They are constant, so the first
 layer needs no edge pass in any epoch, forward or backward.
+
+Edges lie by source, so a pass moves vectors to edges and never edges. Inside
+a task they are sorted by target: the sums of a target are added up while
+they are at hand, and only the small table of source vectors is probed at random.
 """
 
 from __future__ import annotations
@@ -22,26 +26,39 @@ from vertexmill.operators.messages import (
     HUB_FLOOR,
     find_hubs,
     hub_limit,
+    join_hint,
     message_pass,
     salt_edges,
     with_copies,
 )
 from vertexmill.operators.partition import block_edges, train_rows_per_part
 from vertexmill.operators.prepare import feature_width, undirected
-from vertexmill.runtime import kept_by, written
+from vertexmill.runtime import kept_by, partition_count, written
 
 
 @dataclass
 class Layout:
-    """``edges(src, salt, dst, w)`` by source; ``vertices(id, ..., ax)`` by id."""
+    """``edges(src, salt, dst, w)`` by source; ``vertices(id, ..., ax)`` by id.
+
+    ``rows_per_task`` is how many source vectors, copies included, meet the
+    edges of one task.
+    """
 
     edges: DataFrame
     vertices: DataFrame
+    rows_per_task: float
     input_dim: int
     num_classes: int
     n_train: int
     parts: int | None
 
+    def hint(self, width: int) -> str:
+        return join_hint(self.rows_per_task, width)
+
+    def send(self, messages: DataFrame, width: int) -> DataFrame:
+        """One edge pass; its sums come back hashed by id like the vertices."""
+        return message_pass(self.edges, messages, width, self.hint(width))
+
     def release(self) -> None:
         self.edges.unpersist()
         self.vertices.unpersist()
@@ -123,14 +140,15 @@ def lay_out(
     )
     limit = hub_limit(merged.count(), hub_floor)
     counted = written(with_copies(scaled, limit).drop("n_edges"), "degrees")
-    laid_edges = kept_by(salt_edges(merged, find_hubs(counted)), "src", "salt")
+    laid_edges = kept_by(salt_edges(merged, find_hubs(counted)), "src", "salt", order="dst")
+    rows_per_task = counted.agg(F.sum("copies")).first()[0] / partition_count(nodes.sparkSession)
 
     width = feature_width(nodes)
     vertices = row_weights(nodes, parts).join(counted, "id")
     vectors = scale_vectors(
         vertices.select("id", "copies", "scale", F.col("features").alias("vec")), ["id", "copies"]
     )
-    summed = message_pass(laid_edges, vectors, width)
+    summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
     joined = vertices.drop("features").join(summed, "id")
     kept = [c for c in joined.columns if c != "vec"]
     aggregated = scale_vectors(joined, kept).withColumnRenamed("vec", "ax")
@@ -142,6 +160,7 @@ def lay_out(
     return Layout(
         edges=laid_edges,
         vertices=laid_vertices,
+        rows_per_task=rows_per_task,
         input_dim=width,
         num_classes=num_classes or sizes["classes"],
         n_train=sizes["n_train"],

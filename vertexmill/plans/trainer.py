@@ -28,7 +28,6 @@ from vertexmill.functions.vectors import (
 )
 from vertexmill.operators.evaluate import evaluate_splits
 from vertexmill.operators.gcn import P_MAX, P_MIN, init_weights, layer_dims
-from vertexmill.operators.messages import message_pass
 from vertexmill.plans.layout import Layout, lay_out
 from vertexmill.runtime import partition_count
 from vertexmill.schema import RUN_METRICS
@@ -99,9 +98,8 @@ def _next_messages(state: DataFrame, shared, layer: int) -> DataFrame:
 
 def _received(layout: Layout, messages: DataFrame, width: int, columns: list[str]) -> DataFrame:
     """Pass messages along the edges and bring each sum to its vertex row; no vertex moves."""
-    return layout.vertices.select("id", "scale", *columns).join(
-        message_pass(layout.edges, messages, width), "id"
-    )
+    sums = layout.send(messages, width).hint(layout.hint(width))
+    return layout.vertices.select("id", "scale", *columns).join(sums, "id")
 
 
 def _score(state: DataFrame) -> DataFrame:
@@ -238,7 +236,7 @@ def _gradient_pieces(
     pieces, kept = [], []
     messages = scored.select("id", "copies", "vec")
     for layer in range(last, 1, -1):
-        summed = message_pass(layout.edges, messages, dims[layer + 1])
+        summed = layout.send(messages, dims[layer + 1])
         below = states[layer - 2].withColumnRenamed("vec", "z")
         rows = below.join(summed, "id").persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(rows)

@@ -68,8 +68,8 @@ def partition_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def kept_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Keep ``df`` hashed and sorted by ``keys`` for many reads.
+def kept_by(df: DataFrame, *keys: str, order: str | None = None) -> DataFrame:
+    """Keep ``df`` hashed by ``keys`` for many reads, rows sorted by ``order`` in each task.
 
     A cached table tells later plans its layout only when its own plan is
     final up front, so adaptive re-planning is off for this one exchange.
@@ -78,7 +78,9 @@ def kept_by(df: DataFrame, *keys: str) -> DataFrame:
     """
     spark = df.sparkSession
     with _setting(spark, "spark.sql.adaptive.enabled", "false"):
-        laid_out = df.repartition(partition_count(spark), *keys).sortWithinPartitions(*keys)
+        laid_out = df.repartition(partition_count(spark), *keys)
+        if order is not None:
+            laid_out = laid_out.sortWithinPartitions(order)
         return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
 
 

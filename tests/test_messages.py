@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vertexmill.operators import messages as M
+from vertexmill.operators import prepare as B
 
 
 def vectors(spark, x):
@@ -63,3 +64,56 @@ def test_hub_table_cannot_grow_past_its_share():
     assert M.hub_limit(100) == M.HUB_FLOOR
     for n in (10**6, 10**9, 10**12 + 1):
         assert n / M.hub_limit(n) <= M.HUB_SHARE
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    """Adaptive skew handling at sizes a test can afford."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_plain_edges_leave_a_hub_to_adaptive_skew_handling(spark, eager_skew_handling):
+    leaves = 40_000
+    edges = star(spark, leaves).repartition(8)
+    ids = spark.range(leaves + 1).select("id", F.array(F.lit(1.0)).alias("vec"))
+    assert "skew=true" in final_plan(M.message_pass(edges, ids, 1))
+
+
+def test_hub_rows_bypass_the_join_key(spark):
+    edges = star(spark, 1000)
+    values = spark.range(1001).select("id", (F.col("id") * 2).alias("value"))
+    hubs = values.filter("id = 0")
+    got = M.attach(M.attach(edges, "src", values, hubs, "a"), "dst", values, hubs, "b")
+    assert got.count() == edges.count()
+    assert got.filter("a <> 2 * src or b <> 2 * dst or a is null or b is null").count() == 0
+
+
+def test_spread_edges_give_the_same_sums_and_normalised_weights(spark, monkeypatch):
+    edges = star(spark, 500)
+    ids = spark.range(501).select("id", F.array(F.col("id").cast("double")).alias("vec"))
+    split = M.spread(edges, floor=20)
+    assert split.hubs.collect() == [(0, 25)]
+    want = {r["id"]: r["vec"] for r in M.message_pass(edges, ids, 1).collect()}
+    assert {r["id"]: r["vec"] for r in M.message_pass(split, ids, 1).collect()} == want
+    both = B.undirected(edges, spark.range(501))
+    plain = {(r["src"], r["dst"]): r["w"] for r in B.sym_normalize(both).collect()}
+    monkeypatch.setattr(B, "hub_limit", lambda n: 20)
+    bypassed = {(r["src"], r["dst"]): r["w"] for r in B.sym_normalize(both).collect()}
+    assert bypassed == pytest.approx(plain)

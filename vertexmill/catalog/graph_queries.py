@@ -286,8 +286,7 @@ def degree(spark, folder):
 
 @query(EDGE_SQL + "norm")
 def sym_normalize(spark, folder):
-    looped = B.undirected(X.raw_edges(spark, folder), X.nodes(spark, folder))
-    return rounded(B.sym_normalize(looped))
+    return rounded(B.normalize_edges(X.raw_edges(spark, folder), X.nodes(spark, folder)))
 
 
 @query("""SELECT 'embeddings' AS name, (SELECT count(*) FROM nodes) AS num_nodes,

@@ -12,7 +12,7 @@ from vertexmill.functions import vectors as V
 from vertexmill.operators import evaluate as S
 from vertexmill.operators import gcn as D
 from vertexmill.operators import local as L
-from vertexmill.operators.messages import fill_isolated
+from vertexmill.operators.messages import fill_isolated, spread
 from vertexmill.operators.messages import message_pass as pass_messages
 from vertexmill.operators.messages import neighbor_sum as sum_neighbors
 from vertexmill.operators.prepare import feature_width
@@ -37,7 +37,8 @@ class Setup:
     def __init__(self, spark, folder, with_edges: bool = True):
         self.nodes = X.scaled_nodes(spark, folder)
         self.features = X.features(self.nodes)
-        self.edges = X.norm_edges(spark, folder) if with_edges else None
+        self.table = X.norm_edges(spark, folder) if with_edges else None
+        self.edges = spread(self.table) if with_edges else None
         self.weights = D.wave_weights(dims_of(self.nodes))
         self.targets = D.mean_loss_weights(self.nodes)
 
@@ -72,7 +73,7 @@ def project(spark, folder):
 @query(LONG + "(" + O.spread("norm", "xs") + ")")
 def message_pass(spark, folder):
     nodes = X.scaled_nodes(spark, folder)
-    edges = X.norm_edges(spark, folder)
+    edges = spread(X.norm_edges(spark, folder))
     return long_rows(pass_messages(edges, X.features(nodes), feature_width(nodes)))
 
 
@@ -281,7 +282,7 @@ def experiment_grid(spark, folder):
 
 def local_run(spark, folder):
     s = Setup(spark, folder)
-    blocks, run = L.local_forward(s.edges, s.nodes, s.weights, PARTS)
+    blocks, run = L.local_forward(s.table, s.nodes, s.weights, PARTS)
     return s, blocks, run
 
 

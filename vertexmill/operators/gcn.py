@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexmill.functions import vectors as V
-from vertexmill.operators.messages import message_pass
+from vertexmill.operators.messages import SpreadEdges, message_pass
 
 # ---------------------------------------------------------------- weights
 
@@ -60,7 +60,7 @@ def relu_layer(pre_activation: DataFrame) -> DataFrame:
 
 
 def gcn_layer(
-    edges: DataFrame, inputs: DataFrame, weights: np.ndarray, apply_relu: bool = True
+    edges: DataFrame | SpreadEdges, inputs: DataFrame, weights: np.ndarray, apply_relu: bool = True
 ) -> DataFrame:
     """One layer: ``(id, pre, vec)`` with ``pre = A (H W)`` and its activation."""
     summed = message_pass(edges, V.project(inputs, weights), weights.shape[1])
@@ -77,7 +77,9 @@ class Forward:
     pre: list[DataFrame] = field(default_factory=list)
 
 
-def gcn_forward(edges: DataFrame, features: DataFrame, weights: list[np.ndarray]) -> Forward:
+def gcn_forward(
+    edges: DataFrame | SpreadEdges, features: DataFrame, weights: list[np.ndarray]
+) -> Forward:
     """All layers; the last one stays linear."""
     run = Forward(logits=features)
     current = features
@@ -159,7 +161,7 @@ def input_grad(message_grad: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def gcn_backward(
-    edges: DataFrame, run: Forward, grad: DataFrame, weights: list[np.ndarray]
+    edges: DataFrame | SpreadEdges, run: Forward, grad: DataFrame, weights: list[np.ndarray]
 ) -> DataFrame:
     """Gradients of all layers as ``(layer, i, j, v)``."""
     found = None

@@ -24,8 +24,9 @@ from vertexmill.operators.gcn import (
     relu_grad,
     row_loss,
 )
-from vertexmill.operators.messages import message_pass
+from vertexmill.operators.messages import SpreadEdges, message_pass, spread
 from vertexmill.operators.partition import assign_parts, local_normalize, train_rows_per_part
+from vertexmill.runtime import written
 
 #: Partial matrices a task keeps before it sends them on.
 PARTIALS_KEPT = 32
@@ -33,9 +34,9 @@ PARTIALS_KEPT = 32
 
 def local_forward(
     edges: DataFrame, nodes: DataFrame, weights: list[np.ndarray], parts: int
-) -> tuple[DataFrame, Forward]:
-    """Local edge table and the forward run over it. ``edges`` as for ``local_normalize``."""
-    blocks = local_normalize(edges, nodes, parts)
+) -> tuple[SpreadEdges, Forward]:
+    """Local edges and the forward run over them. ``edges`` as for ``local_normalize``."""
+    blocks = spread(written(local_normalize(edges, nodes, parts), "edges"))
     features = nodes.select("id", F.col("features").alias("vec"))
     return blocks, gcn_forward(blocks, features, weights)
 
@@ -88,7 +89,7 @@ def local_weight_grad(inputs: DataFrame, message_grad: DataFrame, parts: int) ->
 
 
 def local_grads(
-    blocks: DataFrame, run: Forward, nodes: DataFrame, weights: list[np.ndarray], parts: int
+    blocks: SpreadEdges, run: Forward, nodes: DataFrame, weights: list[np.ndarray], parts: int
 ) -> DataFrame:
     """Gradient of every part's own mean loss: ``(pid, layer, i, j, v)``."""
     grad = output_grad(run.logits, local_targets(nodes, parts))

@@ -3,16 +3,20 @@
 An edge table is joined to the vectors of its sources and summed per target.
 The sum is combined before its shuffle, so a target with a third of all edges
 costs one row per task. A *source* with that many edges would put them all in
-one join task; :func:`find_hubs` and :func:`salt_edges` split such sources
-over several join keys and :func:`spread_vectors` copies just their vectors.
+one join task; :func:`spread` splits such sources over several join keys, and
+only their vectors are copied. Adaptive skew handling alone would not do: it
+is off wherever a side of the join is already hashed by the key.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vertexmill.functions.vectors import PIECE, sum_vectors
+from vertexmill.runtime import written
 
 #: A vertex holding more than 1/HUB_SHARE of the edges is split, so at most
 #: HUB_SHARE vertices can be hubs and their table is safe to broadcast.
@@ -54,6 +58,27 @@ def salt_edges(edges: DataFrame, hubs: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class SpreadEdges:
+    """Salted edges ``(src, salt, dst, w)`` and the hubs ``(id, copies)`` behind the salts."""
+
+    table: DataFrame
+    hubs: DataFrame
+
+    def copies(self, vectors: DataFrame) -> DataFrame:
+        """Tell every vector how many copies its edges ask for."""
+        found = vectors.join(F.broadcast(self.hubs), "id", "left")
+        return found.withColumn("copies", F.coalesce("copies", F.lit(1)))
+
+
+def spread(edges: DataFrame, floor: int = HUB_FLOOR) -> SpreadEdges:
+    """Split the hubs of an edge table. Counts its sources; give a written table."""
+    counts = written(edges_per_source(edges), "counts")
+    total = counts.agg(F.coalesce(F.sum("n_edges"), F.lit(0))).first()[0]
+    hubs = find_hubs(with_copies(counts, hub_limit(total, floor)))
+    return SpreadEdges(salt_edges(edges, hubs), hubs)
+
+
 def spread_vectors(vectors: DataFrame) -> DataFrame:
     """One row per copy of a vertex; adds at most 2 * ``HUB_SHARE`` rows in all."""
     return vectors.select(
@@ -64,7 +89,7 @@ def spread_vectors(vectors: DataFrame) -> DataFrame:
 
 
 #: Largest hash table of one join task, in bytes; beyond it the join sorts and may spill.
-HASH_LIMIT = 64 << 20
+HASH_LIMIT = 128 << 20
 
 #: Bytes a vector row takes besides its values.
 ROW_OVERHEAD = 64
@@ -77,16 +102,18 @@ def join_hint(rows_per_task: float, width: int) -> str:
 
 
 def message_pass(
-    edges: DataFrame, vectors: DataFrame, width: int, hint: str | None = None
+    edges: DataFrame | SpreadEdges, vectors: DataFrame, width: int, hint: str | None = None
 ) -> DataFrame:
     """``(id, vec)``: for every target the sum of ``w`` times its sources' vectors.
 
-    Give ``edges`` with ``salt`` and ``vectors`` with ``copies`` to split hubs;
-    without them the join relies on adaptive skew handling. Vectors wider than
-    ``PIECE`` travel in pieces. ``hint`` is the join strategy for a known
-    layout, see :func:`join_hint`. Targets without edges give no row; see
+    Give :func:`spread` edges where a vertex may be a hub; a salted table goes
+    with ``vectors`` that hold ``copies``. Vectors wider than ``PIECE`` travel
+    in pieces. ``hint`` is the join strategy for a known layout, see
+    :func:`join_hint`. Targets without edges give no row; see
     :func:`fill_isolated`.
     """
+    if isinstance(edges, SpreadEdges):
+        edges, vectors = edges.table, edges.copies(vectors)
     salted = "salt" in edges.columns
     on = ["src", "salt"] if salted else ["src"]
     sources = (
@@ -129,4 +156,26 @@ def fill_isolated(summed: DataFrame, vertices: DataFrame, width: int) -> DataFra
 
 def neighbor_sum(edges: DataFrame, vectors: DataFrame, width: int) -> DataFrame:
     """Sum of neighbour vectors, every edge row counted once whatever its weight."""
-    return message_pass(edges.withColumn("w", F.lit(1.0)), vectors, width)
+    return message_pass(spread(edges.withColumn("w", F.lit(1.0))), vectors, width)
+
+
+def attach(
+    edges: DataFrame, end: str, values: DataFrame, hubs: DataFrame, name: str
+) -> DataFrame:
+    """Bring ``values(id, value)`` of the vertex at ``end`` to every edge as ``name``.
+
+    ``hubs`` is the part of ``values`` that belongs to hubs, fewer than
+    ``HUB_SHARE`` rows. Their edges take the value from a broadcast and travel
+    under keys of their own, so no join task gets them all.
+    """
+    hot = F.broadcast(hubs.select(F.col("id").alias(end), F.col("value").alias("hot")))
+    aside = -1 - F.pmod(F.xxhash64("src", "dst"), F.lit(HUB_SHARE))
+    keyed = edges.join(hot, end, "left").withColumn(
+        "key", F.when(F.col("hot").isNull(), F.col(end)).otherwise(aside)
+    )
+    cold = values.select(F.col("id").alias("key"), F.col("value").alias("cold"))
+    return (
+        keyed.join(cold, "key", "left")
+        .withColumn(name, F.coalesce("hot", "cold"))
+        .drop("key", "hot", "cold")
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import part_of
-from vertexmill.operators.prepare import add_self_loops, clip_edges, sym_normalize, symmetrize
+from vertexmill.operators.prepare import normalize_edges
 from vertexmill.runtime import with_position
 
 
@@ -83,7 +83,7 @@ def local_normalize(edges: DataFrame, nodes: DataFrame, parts: int) -> DataFrame
     where a loop existed.
     """
     inside = block_edges(edges, parts).withColumn("w", F.lit(1.0))
-    return sym_normalize(add_self_loops(clip_edges(symmetrize(inside)), nodes)).select(
+    return normalize_edges(inside, nodes).select(
         part_of(F.col("src"), parts).alias("pid"), "src", "dst", "w"
     )
 

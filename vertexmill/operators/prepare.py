@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import inverse_sqrt_degree
 from vertexmill.functions.vectors import argmax, map_batches, vectors_of
-from vertexmill.runtime import with_position
+from vertexmill.operators.messages import attach, hub_limit
+from vertexmill.runtime import with_position, written
 
 # ---------------------------------------------------------------- splits
 
@@ -271,24 +272,27 @@ def degree(edges: DataFrame) -> DataFrame:
 
 
 def sym_normalize(edges: DataFrame) -> DataFrame:
-    """``w / sqrt(degree(src) * degree(dst))``.
+    """``w / sqrt(degree(src) * degree(dst))`` over a symmetric table.
 
     Training does not need this table: it scales vertex vectors by the same
     factors before and after message passing and leaves the edges alone.
     """
-    scale = degree(edges).select("id", inverse_sqrt_degree(F.col("degree")).alias("scale"))
-    by_src = scale.select(F.col("id").alias("src"), F.col("scale").alias("src_scale"))
-    by_dst = scale.select(F.col("id").alias("dst"), F.col("scale").alias("dst_scale"))
-    return (
-        edges.join(by_src, "src")
-        .join(by_dst, "dst")
-        .select("src", "dst", (F.col("w") * F.col("src_scale") * F.col("dst_scale")).alias("w"))
+    counted = edges.groupBy(F.col("src").alias("id")).agg(
+        F.sum("w").alias("degree"), F.count("*").alias("n_edges")
+    )
+    scales = written(
+        counted.select("id", inverse_sqrt_degree(F.col("degree")).alias("value"), "n_edges"),
+        "degrees",
     )
+    total = scales.agg(F.coalesce(F.sum("n_edges"), F.lit(0))).first()[0]
+    hubs = scales.filter(F.col("n_edges") > hub_limit(total))
+    both = attach(attach(edges, "src", scales, hubs, "a"), "dst", scales, hubs, "b")
+    return both.select("src", "dst", (F.col("w") * F.col("a") * F.col("b")).alias("w"))
 
 
 def normalize_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """From raw edges to the normalised table used by the model."""
-    return sym_normalize(undirected(edges, nodes))
+    return sym_normalize(written(undirected(edges, nodes), "edges"))
 
 
 # ---------------------------------------------------------------- statistics

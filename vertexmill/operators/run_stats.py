@@ -179,7 +179,7 @@ def report_config(summary: DataFrame) -> DataFrame:
 def report_epochs(metrics: DataFrame) -> DataFrame:
     """Epoch rows of the first run of every configuration."""
     first = metrics.groupBy("config").agg(F.min("run").alias("run"))
-    return metrics.join(F.broadcast(first), ["config", "run"]).select(
+    return metrics.join(first, ["config", "run"]).select(
         "config",
         "epoch",
         "epoch_time",

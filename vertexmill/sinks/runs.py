@@ -61,7 +61,7 @@ def report_lines(summary: DataFrame, metrics: DataFrame, stats: DataFrame) -> Da
             "name", "num_nodes", "num_edges", "input_dim", "num_classes", "train", "val", "test",
         ).alias("line"),
     )
-    order = F.broadcast(config_order(summary))
+    order = config_order(summary)
     configs = report_config(summary).join(order, "config").select(
         F.lit(1).alias("section"), "place", F.lit(0).alias("epoch"),
         F.format_string(

@@ -1,8 +1,11 @@
+import dense
 import pytest
 from pyspark.sql import functions as F
 
 from vertexmill.functions import scalars
 from vertexmill.operators import run_stats as G
+from vertexmill.plans.reports import compare_runs, run_benchmark
+from vertexmill.plans.trainer import TrainConfig
 from vertexmill.schema import CONFIG_SUMMARY, RUN_METRICS, SUMMARY_TABLE
 from vertexmill.sinks import runs as sinks
 from vertexmill.sources import runs as sources
@@ -169,3 +172,17 @@ def test_report_reads_in_order(spark, published, summary, tmp_path):
     assert len(ordered) == 1 + 4 + 12
     sinks.write_report(lines, str(tmp_path / "report"))
     assert spark.read.text(str(tmp_path / "report")).count() >= 17
+
+
+def test_benchmark_from_graph_to_report(spark, tmp_path):
+    toy = dense.Toy(spark)
+    folder = str(tmp_path / "bench")
+    cfg = TrainConfig(hidden_dim=3, epochs=2)
+    found = run_benchmark("toy", toy.nodes_df, toy.edges_df, folder, cfg, (2, 4), (42, 123))
+    assert {r["config"] for r in found.table.collect()} == {"sequential", "spark_2", "spark_4"}
+    assert {r["config"] for r in found.quick.collect()} == {"spark_2", "spark_4"}
+    assert found.findings.count() == 1
+    assert sources.read_metrics(spark, folder).count() == 3 * 2 * 2
+    text = [r["value"] for r in spark.read.text(f"{folder}/performance_report").collect()]
+    assert sum(line.startswith("spark_4 ") for line in text) == 1 + 2
+    assert compare_runs(spark, str(tmp_path)) is None

@@ -9,7 +9,7 @@ from vertexmill.operators import gcn as D
 from vertexmill.operators import local as L
 from vertexmill.operators import prepare as B
 from vertexmill.plans import experiments, trainer
-from vertexmill.plans.layout import lay_out
+from vertexmill.plans.layout import lay_out, task_count
 from vertexmill.sources.datasets import load_karate
 
 SCORES = ("loss", "train_acc", "val_f1", "test_f1")
@@ -80,10 +80,9 @@ def plan_lines(df, pattern):
 
 def test_edges_and_vertices_stay_where_they_are(spark):
     toy = dense.Toy(spark)
-    layout = lay_out(toy.nodes_df, toy.edges_df)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        dims = [5, 4, 3]
+    layout = lay_out(toy.nodes_df, toy.edges_df, tasks=3)
+    dims = [5, 4, 3]
+    with layout.planned():
         epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
         state = trainer._logit_states(layout, epoch.shared, dims)[-1]
         # what moves is one vector per vertex copy, and one partial sum per target;
@@ -97,9 +96,15 @@ def test_edges_and_vertices_stay_where_they_are(spark):
         back = summed._jdf.queryExecution().executedPlan().toString()
         assert back.split("InMemoryRelation [id")[0].count("MapInArrow") == 1
         epoch.close()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        layout.release()
+    layout.release()
+
+
+def test_task_count_follows_the_graph():
+    assert task_count(0, 0, 5, 8) == 1
+    assert task_count(300_000, 2_000, 64, 8) == 8
+    assert task_count(30_000, 500, 64, 8) == 2
+    assert task_count(10**12, 10**9, 602, 8_000) == 250_000
+    assert task_count(10**9, 10**9, 602, 8) == -(-602 * 8 * 10**9 // (128 << 20))
 
 
 def test_karate_club_is_learnt(spark):

@@ -176,10 +176,15 @@ def report_config(summary: DataFrame) -> DataFrame:
     )
 
 
+def first_runs(metrics: DataFrame) -> DataFrame:
+    """All rows of the first run of every configuration, the one reported in detail."""
+    first = metrics.groupBy("config").agg(F.min("run").alias("run"))
+    return metrics.join(first, ["config", "run"])
+
+
 def report_epochs(metrics: DataFrame) -> DataFrame:
     """Epoch rows of the first run of every configuration."""
-    first = metrics.groupBy("config").agg(F.min("run").alias("run"))
-    return metrics.join(first, ["config", "run"]).select(
+    return first_runs(metrics).select(
         "config",
         "epoch",
         "epoch_time",

@@ -33,19 +33,39 @@ from vertexmill.operators.messages import (
 )
 from vertexmill.operators.partition import block_edges, train_rows_per_part
 from vertexmill.operators.prepare import feature_width, undirected
-from vertexmill.runtime import kept_by, partition_count, written
+from vertexmill.runtime import kept_by, setting, written
+
+#: Edges one task holds in a large graph, and the fewest worth a task of their own.
+EDGES_PER_TASK = 4_000_000
+EDGES_WORTH_A_TASK = 20_000
+
+#: Bytes of vertex vectors one task holds.
+VECTOR_BYTES_PER_TASK = 128 << 20
+
+
+def task_count(n_edges: int, n_vertices: int, width: int, cores: int) -> int:
+    """Tasks per stage of training, from the size of the graph.
+
+    Small graphs get no more tasks than are worth starting, others at least
+    one per core, and large ones as many as keep a task's share in memory.
+    """
+    by_edges = -(-n_edges // EDGES_PER_TASK)
+    by_vectors = -(-n_vertices * width * 8 // VECTOR_BYTES_PER_TASK)
+    for_cores = min(cores, -(-n_edges // EDGES_WORTH_A_TASK))
+    return max(1, by_edges, by_vectors, for_cores)
 
 
 @dataclass
 class Layout:
     """``edges(src, salt, dst, w)`` by source; ``vertices(id, ..., ax)`` by id.
 
-    ``rows_per_task`` is how many source vectors, copies included, meet the
-    edges of one task.
+    Both are hashed into ``tasks`` parts. ``rows_per_task`` is how many source
+    vectors, copies included, meet the edges of one task.
     """
 
     edges: DataFrame
     vertices: DataFrame
+    tasks: int
     rows_per_task: float
     input_dim: int
     num_classes: int
@@ -59,6 +79,11 @@ class Layout:
         """One edge pass; its sums come back hashed by id like the vertices."""
         return message_pass(self.edges, messages, width, self.hint(width))
 
+    def planned(self):
+        """Plans made inside shuffle into the layout's number of tasks, and so meet it in place."""
+        spark = self.vertices.sparkSession
+        return setting(spark, "spark.sql.shuffle.partitions", str(self.tasks))
+
     def release(self) -> None:
         self.edges.unpersist()
         self.vertices.unpersist()
@@ -122,6 +147,7 @@ def lay_out(
     parts: int | None = None,
     local_input: str = "normalized",
     num_classes: int | None = None,
+    tasks: int | None = None,
     hub_floor: int = HUB_FLOOR,
 ) -> Layout:
     """Build the training layout from a node table and *raw* edges.
@@ -138,31 +164,36 @@ def lay_out(
     scaled = per_vertex.select(
         "id", "n_edges", inverse_sqrt_degree(F.col("degree")).alias("scale")
     )
-    limit = hub_limit(merged.count(), hub_floor)
-    counted = written(with_copies(scaled, limit).drop("n_edges"), "degrees")
-    laid_edges = kept_by(salt_edges(merged, find_hubs(counted)), "src", "salt", order="dst")
-    rows_per_task = counted.agg(F.sum("copies")).first()[0] / partition_count(nodes.sparkSession)
-
-    width = feature_width(nodes)
+    n_edges, width = merged.count(), feature_width(nodes)
+    counted = written(with_copies(scaled, hub_limit(n_edges, hub_floor)).drop("n_edges"), "degrees")
+    size = counted.agg(F.count("*").alias("vertices"), F.sum("copies").alias("copies")).first()
+    spark = nodes.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    tasks = tasks or task_count(n_edges, size["vertices"], width, cores)
+    rows_per_task = size["copies"] / tasks
+
+    laid_edges = kept_by(salt_edges(merged, find_hubs(counted)), tasks, "src", "salt", order="dst")
     vertices = row_weights(nodes, parts).join(counted, "id")
     vectors = scale_vectors(
         vertices.select("id", "copies", "scale", F.col("features").alias("vec")), ["id", "copies"]
     )
-    summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
-    joined = vertices.drop("features").join(summed, "id")
-    kept = [c for c in joined.columns if c != "vec"]
-    aggregated = scale_vectors(joined, kept).withColumnRenamed("vec", "ax")
-    laid_vertices = kept_by(written(aggregated, "vertices"), "id")
-
-    sizes = laid_vertices.agg(
+    with setting(spark, "spark.sql.shuffle.partitions", str(tasks)):
+        summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
+        joined = vertices.drop("features").join(summed, "id")
+        kept = [c for c in joined.columns if c != "vec"]
+        aggregated = written(scale_vectors(joined, kept).withColumnRenamed("vec", "ax"), "vertices")
+    laid_vertices = kept_by(aggregated, tasks, "id")
+
+    found = laid_vertices.agg(
         F.countDistinct("label").alias("classes"), F.count_if("is_train").alias("n_train")
     ).first()
     return Layout(
         edges=laid_edges,
         vertices=laid_vertices,
+        tasks=tasks,
         rows_per_task=rows_per_task,
         input_dim=width,
-        num_classes=num_classes or sizes["classes"],
-        n_train=sizes["n_train"],
+        num_classes=num_classes or found["classes"],
+        n_train=found["n_train"],
         parts=parts,
     )

@@ -29,7 +29,7 @@ from vertexmill.functions.vectors import (
 from vertexmill.operators.evaluate import evaluate_splits
 from vertexmill.operators.gcn import P_MAX, P_MIN, init_weights, layer_dims
 from vertexmill.plans.layout import Layout, lay_out
-from vertexmill.runtime import partition_count
+from vertexmill.runtime import written
 from vertexmill.schema import RUN_METRICS
 
 SPLITS = ["is_train", "is_val", "is_test"]
@@ -251,9 +251,8 @@ def _gradient_pieces(
 FLAT_TASKS = 64
 
 
-def _branches(spark: SparkSession) -> int:
+def _branches(tasks: int) -> int:
     """Width of the first level of the gradient tree: about the root of the task count."""
-    tasks = partition_count(spark)
     return 1 if tasks <= FLAT_TASKS else int(tasks**0.5)
 
 
@@ -293,14 +292,20 @@ def gradients(
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Summed gradients of all layers as pieces; nothing vertex-sized leaves the cluster."""
     pieces, kept = _gradient_pieces(layout, epoch.scored, epoch.states, epoch.shared, dims)
-    spark = layout.vertices.sparkSession
-    return sum_matrices(pieces, max(dims[1:]), branches or _branches(spark)), kept
+    return sum_matrices(pieces, max(dims[1:]), branches or _branches(layout.tasks)), kept
 
 
 def run_epoch(
     layout: Layout, weights: list[np.ndarray], dims: list[int], lr: float
 ) -> tuple[list[np.ndarray], dict]:
     """One epoch: ``(new weights, metrics)``. Metrics belong to the weights before the update."""
+    with layout.planned():
+        return _run_epoch(layout, weights, dims, lr)
+
+
+def _run_epoch(
+    layout: Layout, weights: list[np.ndarray], dims: list[int], lr: float
+) -> tuple[list[np.ndarray], dict]:
     start = time.perf_counter()
     epoch = open_epoch(layout, weights, dims)
     kept: list[DataFrame] = []
@@ -365,8 +370,11 @@ def train_partition_local(
 
 
 def predict_layout(layout: Layout, weights: list[np.ndarray]) -> DataFrame:
-    """``(id, label, splits, pred)`` of all vertices, materialised."""
+    """``(id, label, splits, pred)`` of all vertices, as a written table."""
     dims = [weights[0].shape[0], *[w.shape[1] for w in weights]]
-    shared = layout.vertices.sparkSession.sparkContext.broadcast(weights)
-    states = _logit_states(layout, shared, dims)
-    return _score(states[-1]).select("id", "label", *SPLITS, "pred")
+    with layout.planned():
+        epoch = open_epoch(layout, weights, dims)
+        try:
+            return written(epoch.scored.select("id", "label", *SPLITS, "pred"), "predictions")
+        finally:
+            epoch.close()

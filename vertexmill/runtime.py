@@ -55,7 +55,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
+def setting(spark: SparkSession, key: str, value: str):
+    """Another value of a session setting for the plans made inside."""
     before = spark.conf.get(key)
     spark.conf.set(key, value)
     try:
@@ -64,11 +65,7 @@ def _setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, before)
 
 
-def partition_count(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def kept_by(df: DataFrame, *keys: str, order: str | None = None) -> DataFrame:
+def kept_by(df: DataFrame, tasks: int, *keys: str, order: str | None = None) -> DataFrame:
     """Keep ``df`` hashed by ``keys`` for many reads, rows sorted by ``order`` in each task.
 
     A cached table tells later plans its layout only when its own plan is
@@ -77,8 +74,8 @@ def kept_by(df: DataFrame, *keys: str, order: str | None = None) -> DataFrame:
     written table: blocks lost with an executor are rebuilt from it.
     """
     spark = df.sparkSession
-    with _setting(spark, "spark.sql.adaptive.enabled", "false"):
-        laid_out = df.repartition(partition_count(spark), *keys)
+    with setting(spark, "spark.sql.adaptive.enabled", "false"):
+        laid_out = df.repartition(tasks, *keys)
         if order is not None:
             laid_out = laid_out.sortWithinPartitions(order)
         return laid_out.persist(StorageLevel.MEMORY_AND_DISK)

@@ -14,7 +14,12 @@ from vertexmill.operators.prepare import (
     standardize,
     symmetrize,
 )
-from vertexmill.sources.edges import edges_from_neighbor_lists, edges_of_layout, read_table
+from vertexmill.sources.edges import (
+    edges_from_neighbor_lists,
+    edges_of_layout,
+    read_if_there,
+    read_table,
+)
 from vertexmill.sources.karate import INSTRUCTOR, MEMBERS, karate_tables
 from vertexmill.sources.nodes import (
     citation_blocks,
@@ -75,17 +80,12 @@ def load_graph(
     raise ValueError(f"unknown data set: {name}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
-
-
 def load_attributed(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    found = {
-        name: read_table(spark, f"{root}/{name}")
-        for name in ("coo", "rows", "lists", "indptr", "entries")
-        if _exists(spark, f"{root}/{name}")
-    }
+    found = {}
+    for name in ("coo", "rows", "lists", "indptr", "entries"):
+        table = read_if_there(spark.read.parquet, f"{root}/{name}")
+        if table is not None:
+            found[name] = table
     return load_nodes(read_table(spark, f"{root}/nodes")), edges_of_layout(found)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_if_there(read: Callable[[str], DataFrame], path: str) -> DataFrame | None:
+    """``read(path)``, or None where the path or pattern names nothing."""
+    try:
+        return read(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def edges_coo(table: DataFrame, row: str = "row", col: str = "col") -> DataFrame:
     """Coordinate list; every entry weighs 1."""
     return table.select(

@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vertexmill.schema import CONFIG_SUMMARY, RUN_METRICS
-
-
-def _matching(spark: SparkSession, pattern: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+from vertexmill.sources.edges import read_if_there
 
 
 def read_metrics(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -20,20 +15,16 @@ def read_metrics(spark: SparkSession, folder: str) -> DataFrame | None:
     Takes ``*_run*_metrics.csv``, or ``*_metrics.csv`` where no such name
     exists; None where there is neither. Files and folders are read alike.
     """
-    for pattern in ("*_run*_metrics.csv", "*_metrics.csv"):
-        if _matching(spark, f"{folder}/{pattern}"):
-            break
-    else:
+    read = spark.read.schema(RUN_METRICS).option("header", True).csv
+    rows = read_if_there(read, f"{folder}/*_run*_metrics.csv")
+    if rows is None:
+        rows = read_if_there(read, f"{folder}/*_metrics.csv")
+    if rows is None:
         return None
     # the whole stem is the configuration where it names no run
     stem = F.regexp_extract("path", r"([^/=]+)_metrics\.csv", 1)
     numbered = F.regexp_extract(stem, r"^(.*)_run([^_]*)$", 1)
-    rows = (
-        spark.read.schema(RUN_METRICS)
-        .option("header", True)
-        .csv(f"{folder}/{pattern}")
-        .withColumn("path", F.url_decode(F.col("_metadata.file_path")))
-    )
+    rows = rows.withColumn("path", F.url_decode(F.col("_metadata.file_path")))
     run = F.regexp_extract(stem, r"^(.*)_run([^_]*)$", 2)
     return rows.select(
         *[f.name for f in RUN_METRICS if f.name != "config"],

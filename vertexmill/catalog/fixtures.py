@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vertexmill.operators.local import local_edges
+from vertexmill.operators.messages import SpreadEdges
 from vertexmill.operators.prepare import (
     clip_edges,
-    normalize_edges,
+    normalize_and_spread,
     split_masks,
     standardize,
     symmetrize,
 )
 from vertexmill.runtime import with_position, with_total_before, written
 
+Made = TypeVar("Made")
+
+
+def once(make: Callable[[SparkSession, str], Made]) -> Callable[[SparkSession, str], Made]:
+    """Prepared graphs are written once per session and serve all model queries."""
+    return cache(make)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -45,8 +58,8 @@ def nodes(spark: SparkSession, folder: str) -> DataFrame:
     return split_masks(rows)
 
 
+@once
 def scaled_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    """Standardised nodes, computed once: every model query reads them many times."""
     return written(standardize(nodes(spark, folder)), "nodes")
 
 
@@ -68,10 +81,19 @@ def edges(spark: SparkSession, folder: str) -> DataFrame:
     return clip_edges(symmetrize(raw_edges(spark, folder)))
 
 
-def norm_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """Normalised, computed once: every model query reads it many times."""
-    normal = normalize_edges(raw_edges(spark, folder), nodes(spark, folder))
-    return written(normal, "edges")
+@once
+def norm_edges(spark: SparkSession, folder: str) -> SpreadEdges:
+    return normalize_and_spread(raw_edges(spark, folder), nodes(spark, folder))
+
+
+#: Parts of the partition queries.
+PARTS = 4
+
+
+@once
+def part_edges(spark: SparkSession, folder: str) -> SpreadEdges:
+    whole = norm_edges(spark, folder).table
+    return local_edges(whole, nodes(spark, folder), PARTS)
 
 
 def run_metrics(spark: SparkSession, folder: str) -> DataFrame:

@@ -303,7 +303,7 @@ def dataset_stats(spark, folder):
 
 # ---------------------------------------------------------------- partitioning
 
-PARTS = 4
+PARTS = X.PARTS
 
 
 @query(f"SELECT id, (id % {PARTS})::INTEGER AS pid FROM nodes")
@@ -353,7 +353,7 @@ def boundary_edges(spark, folder):
     block_tables(PARTS),
 )
 def local_normalize(spark, folder):
-    whole = X.norm_edges(spark, folder)
+    whole = X.norm_edges(spark, folder).table
     return rounded(C.local_normalize(whole, X.nodes(spark, folder), PARTS))
 
 

@@ -12,14 +12,14 @@ from vertexmill.functions import vectors as V
 from vertexmill.operators import evaluate as S
 from vertexmill.operators import gcn as D
 from vertexmill.operators import local as L
-from vertexmill.operators.messages import fill_isolated, spread
+from vertexmill.operators.messages import fill_isolated
 from vertexmill.operators.messages import message_pass as pass_messages
 from vertexmill.operators.messages import neighbor_sum as sum_neighbors
 from vertexmill.operators.prepare import feature_width
 from vertexmill.plans import experiments, trainer
 from vertexmill.plans.layout import lay_out
 
-HIDDEN, LR, PARTS = 16, 0.01, 4
+HIDDEN, LR, PARTS = 16, 0.01, X.PARTS
 
 LONG = f"SELECT id, k, {r('v')} AS v FROM "
 WEIGHTS = f"SELECT layer, i::INTEGER AS i, j::INTEGER AS j, {r('v')} AS v FROM "
@@ -37,8 +37,7 @@ class Setup:
     def __init__(self, spark, folder, with_edges: bool = True):
         self.nodes = X.scaled_nodes(spark, folder)
         self.features = X.features(self.nodes)
-        self.table = X.norm_edges(spark, folder) if with_edges else None
-        self.edges = spread(self.table) if with_edges else None
+        self.edges = X.norm_edges(spark, folder) if with_edges else None
         self.weights = D.wave_weights(dims_of(self.nodes))
         self.targets = D.mean_loss_weights(self.nodes)
 
@@ -73,7 +72,7 @@ def project(spark, folder):
 @query(LONG + "(" + O.spread("norm", "xs") + ")")
 def message_pass(spark, folder):
     nodes = X.scaled_nodes(spark, folder)
-    edges = spread(X.norm_edges(spark, folder))
+    edges = X.norm_edges(spark, folder)
     return long_rows(pass_messages(edges, X.features(nodes), feature_width(nodes)))
 
 
@@ -281,9 +280,9 @@ def experiment_grid(spark, folder):
 
 
 def local_run(spark, folder):
-    s = Setup(spark, folder)
-    blocks, run = L.local_forward(s.table, s.nodes, s.weights, PARTS)
-    return s, blocks, run
+    s = Setup(spark, folder, with_edges=False)
+    blocks = X.part_edges(spark, folder)
+    return s, blocks, L.local_forward(blocks, s.nodes, s.weights)
 
 
 @query(f"SELECT (id % {PARTS})::INTEGER AS pid, id, k, {r('v')} AS v FROM z1_{B0}", LOCAL)

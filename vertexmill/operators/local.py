@@ -24,21 +24,24 @@ from vertexmill.operators.gcn import (
     relu_grad,
     row_loss,
 )
-from vertexmill.operators.messages import SpreadEdges, message_pass, spread
-from vertexmill.operators.partition import assign_parts, local_normalize, train_rows_per_part
-from vertexmill.runtime import written
+from vertexmill.operators.messages import SpreadEdges, message_pass
+from vertexmill.operators.partition import assign_parts, train_rows_per_part, unit_blocks
+from vertexmill.operators.prepare import normalize_and_spread
 
 #: Partial matrices a task keeps before it sends them on.
 PARTIALS_KEPT = 32
 
 
+def local_edges(edges: DataFrame, nodes: DataFrame, parts: int) -> SpreadEdges:
+    """Block-diagonal edges of all parts, hubs split. ``edges`` as for ``local_normalize``."""
+    return normalize_and_spread(unit_blocks(edges, parts), nodes)
+
+
 def local_forward(
-    edges: DataFrame, nodes: DataFrame, weights: list[np.ndarray], parts: int
-) -> tuple[SpreadEdges, Forward]:
-    """Local edges and the forward run over them. ``edges`` as for ``local_normalize``."""
-    blocks = spread(written(local_normalize(edges, nodes, parts), "edges"))
-    features = nodes.select("id", F.col("features").alias("vec"))
-    return blocks, gcn_forward(blocks, features, weights)
+    blocks: SpreadEdges, nodes: DataFrame, weights: list[np.ndarray]
+) -> Forward:
+    """Forward run of every part over its own edges."""
+    return gcn_forward(blocks, nodes.select("id", F.col("features").alias("vec")), weights)
 
 
 def local_targets(nodes: DataFrame, parts: int) -> DataFrame:

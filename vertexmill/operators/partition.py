@@ -74,6 +74,11 @@ def boundary_edges(edges: DataFrame, parts: int) -> DataFrame:
     )
 
 
+def unit_blocks(edges: DataFrame, parts: int) -> DataFrame:
+    """Edges inside a part, all weights 1."""
+    return block_edges(edges, parts).withColumn("w", F.lit(1.0))
+
+
 def local_normalize(edges: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
     """Normalise every part on its own edges.
 
@@ -82,8 +87,7 @@ def local_normalize(edges: DataFrame, nodes: DataFrame, parts: int) -> DataFrame
     diagonal is 2 before scaling; given the symmetrised table it is 1, or 2
     where a loop existed.
     """
-    inside = block_edges(edges, parts).withColumn("w", F.lit(1.0))
-    return normalize_edges(inside, nodes).select(
+    return normalize_edges(unit_blocks(edges, parts), nodes).select(
         part_of(F.col("src"), parts).alias("pid"), "src", "dst", "w"
     )
 

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import inverse_sqrt_degree
 from vertexmill.functions.vectors import argmax, map_batches, vectors_of
-from vertexmill.operators.messages import attach, hub_limit
+from vertexmill.operators.messages import (
+    SpreadEdges,
+    attach,
+    find_hubs,
+    hub_limit,
+    salt_edges,
+    with_copies,
+)
 from vertexmill.runtime import with_position, written
 
 # ---------------------------------------------------------------- splits
@@ -271,12 +278,8 @@ def degree(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("degree"))
 
 
-def sym_normalize(edges: DataFrame) -> DataFrame:
-    """``w / sqrt(degree(src) * degree(dst))`` over a symmetric table.
-
-    Training does not need this table: it scales vertex vectors by the same
-    factors before and after message passing and leaves the edges alone.
-    """
+def degree_scales(edges: DataFrame) -> tuple[DataFrame, int]:
+    """``(id, value, n_edges)`` with ``value = degree ** -0.5``, written, and the hub limit."""
     counted = edges.groupBy(F.col("src").alias("id")).agg(
         F.sum("w").alias("degree"), F.count("*").alias("n_edges")
     )
@@ -284,17 +287,39 @@ def sym_normalize(edges: DataFrame) -> DataFrame:
         counted.select("id", inverse_sqrt_degree(F.col("degree")).alias("value"), "n_edges"),
         "degrees",
     )
-    total = scales.agg(F.coalesce(F.sum("n_edges"), F.lit(0))).first()[0]
-    hubs = scales.filter(F.col("n_edges") > hub_limit(total))
+    return scales, hub_limit(scales.agg(F.coalesce(F.sum("n_edges"), F.lit(0))).first()[0])
+
+
+def scale_edges(edges: DataFrame, scales: DataFrame, limit: int) -> DataFrame:
+    """Multiply every weight by the values of its two ends."""
+    hubs = scales.filter(F.col("n_edges") > limit)
     both = attach(attach(edges, "src", scales, hubs, "a"), "dst", scales, hubs, "b")
     return both.select("src", "dst", (F.col("w") * F.col("a") * F.col("b")).alias("w"))
 
 
+def sym_normalize(edges: DataFrame) -> DataFrame:
+    """``w / sqrt(degree(src) * degree(dst))`` over a symmetric table.
+
+    Training does not need this table: it scales vertex vectors by the same
+    factors before and after message passing and leaves the edges alone.
+    """
+    return scale_edges(edges, *degree_scales(edges))
+
+
 def normalize_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """From raw edges to the normalised table used by the model."""
     return sym_normalize(written(undirected(edges, nodes), "edges"))
 
 
+def normalize_and_spread(edges: DataFrame, nodes: DataFrame) -> SpreadEdges:
+    """The normalised table, written, with its hubs split for message passing."""
+    whole = written(undirected(edges, nodes), "edges")
+    scales, limit = degree_scales(whole)
+    normal = written(scale_edges(whole, scales, limit), "normalized")
+    hubs = find_hubs(with_copies(scales, limit))
+    return SpreadEdges(salt_edges(normal, hubs), hubs)
+
+
 # ---------------------------------------------------------------- statistics
 
 

@@ -35,8 +35,10 @@ from vertexmill.operators.partition import block_edges, train_rows_per_part
 from vertexmill.operators.prepare import feature_width, undirected
 from vertexmill.runtime import kept_by, setting, written
 
-#: Edges one task holds in a large graph, and the fewest worth a task of their own.
-EDGES_PER_TASK = 4_000_000
+#: Edges one task reads in a large graph, and the fewest worth a task of their own.
+#: Edges are streamed, so large tasks cost no memory, and the more edges of a target
+#: meet in one task the fewer partial sums are shuffled.
+EDGES_PER_TASK = 16_000_000
 EDGES_WORTH_A_TASK = 20_000
 
 #: Bytes of vertex vectors one task holds.

@@ -46,15 +46,15 @@ def test_a_hub_is_split_and_the_sums_stay_whole(spark):
     edges = star(spark, leaves)
     counted = M.with_copies(M.edges_per_source(edges), limit)
     hubs = M.find_hubs(counted)
-    assert [tuple(r) for r in hubs.collect()] == [(0, 10)]
+    assert [tuple(r) for r in hubs.collect()] == [(0, 10, 0)]
     salted = M.salt_edges(edges, hubs)
-    heaviest = salted.groupBy("src", "salt").count().agg(F.max("count")).first()[0]
+    heaviest = salted.groupBy("key").count().agg(F.max("count")).first()[0]
     assert heaviest < 2 * limit
-    ids = spark.range(leaves + 1).join(counted.select("id", "copies"), "id", "left")
-    x = ids.select("id", F.coalesce("copies", F.lit(1)).alias("copies"),
-                   F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec"))
-    plain = M.message_pass(edges, x.select("id", "vec"), 2)
-    split = M.message_pass(salted, x, 2)
+    x = spark.range(leaves + 1).select(
+        "id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec")
+    )
+    plain = M.message_pass(edges, x, 2)
+    split = M.message_pass(M.SpreadEdges(salted, hubs), x, 2)
     want = {r["id"]: r["vec"] for r in plain.collect()}
     assert {r["id"]: r["vec"] for r in split.collect()} == want
     assert want[5] == [4.0, 2.0]
@@ -109,7 +109,7 @@ def test_spread_edges_give_the_same_sums_and_normalised_weights(spark, monkeypat
     edges = star(spark, 500)
     ids = spark.range(501).select("id", F.array(F.col("id").cast("double")).alias("vec"))
     split = M.spread(edges, floor=20)
-    assert split.hubs.collect() == [(0, 25)]
+    assert split.hubs.collect() == [(0, 25, 0)]
     want = {r["id"]: r["vec"] for r in M.message_pass(edges, ids, 1).collect()}
     assert {r["id"]: r["vec"] for r in M.message_pass(split, ids, 1).collect()} == want
     both = B.undirected(edges, spark.range(501))
@@ -117,3 +117,12 @@ def test_spread_edges_give_the_same_sums_and_normalised_weights(spark, monkeypat
     monkeypatch.setattr(B, "hub_limit", lambda n: 20)
     bypassed = {(r["src"], r["dst"]): r["w"] for r in B.sym_normalize(both).collect()}
     assert bypassed == pytest.approx(plain)
+
+
+def test_copies_of_several_hubs_have_keys_of_their_own(spark):
+    counted = spark.createDataFrame([(3, 2), (5, 1), (8, 4), (9, 3)], "id bigint, copies int")
+    hubs = M.find_hubs(counted)
+    vectors = counted.select("id", F.array(F.lit(1.0)).alias("vec"))
+    keyed = M.spread_vectors(M.SpreadEdges(counted, hubs).copies(vectors))
+    keys = sorted(r["key"] for r in keyed.collect())
+    assert keys == [-9, -8, -7, -6, -5, -4, -3, -2, -1, 5]

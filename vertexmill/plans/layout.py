@@ -59,7 +59,7 @@ def task_count(n_edges: int, n_vertices: int, width: int, cores: int) -> int:
 
 @dataclass
 class Layout:
-    """``edges(src, salt, dst, w)`` by source; ``vertices(id, ..., ax)`` by id.
+    """``edges(key, dst, w)`` by source; ``vertices(id, ..., ax)`` by id.
 
     Both are hashed into ``tasks`` parts. ``rows_per_task`` is how many source
     vectors, copies included, meet the edges of one task.
@@ -168,16 +168,20 @@ def lay_out(
     )
     n_edges, width = merged.count(), feature_width(nodes)
     counted = written(with_copies(scaled, hub_limit(n_edges, hub_floor)).drop("n_edges"), "degrees")
+    hubs = written(find_hubs(counted), "hubs")
     size = counted.agg(F.count("*").alias("vertices"), F.sum("copies").alias("copies")).first()
     spark = nodes.sparkSession
     cores = spark.sparkContext.defaultParallelism
     tasks = tasks or task_count(n_edges, size["vertices"], width, cores)
     rows_per_task = size["copies"] / tasks
 
-    laid_edges = kept_by(salt_edges(merged, find_hubs(counted)), tasks, "src", "salt", order="dst")
-    vertices = row_weights(nodes, parts).join(counted, "id")
+    keyed = salt_edges(merged, hubs).select("key", "dst", "w")
+    laid_edges = kept_by(keyed, tasks, "key", order="dst")
+    firsts = F.broadcast(hubs.select("id", "first"))
+    vertices = row_weights(nodes, parts).join(counted, "id").join(firsts, "id", "left")
     vectors = scale_vectors(
-        vertices.select("id", "copies", "scale", F.col("features").alias("vec")), ["id", "copies"]
+        vertices.select("id", "copies", "first", "scale", F.col("features").alias("vec")),
+        ["id", "copies", "first"],
     )
     with setting(spark, "spark.sql.shuffle.partitions", str(tasks)):
         summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))

@@ -34,6 +34,11 @@ from vertexmill.schema import RUN_METRICS
 
 SPLITS = ["is_train", "is_val", "is_test"]
 
+#: Columns that tell where the messages of a vertex go.
+TO = ["id", "copies", "first"]
+ADDRESS = "id bigint, copies int, first bigint"
+MESSAGE = f"{ADDRESS}, vec array<double>"
+
 
 @dataclass(frozen=True)
 class TrainConfig:
@@ -66,6 +71,10 @@ def _relu(z: np.ndarray) -> np.ndarray:
     return np.maximum(z, 0.0)
 
 
+def _address(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    return {c: batch.column(c) for c in TO}
+
+
 def _scale(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("scale").to_numpy()[:, None]
 
@@ -77,10 +86,10 @@ def _first_messages(layout: Layout, shared, width: int) -> DataFrame:
         w = shared.value
         hidden = _relu(matrix_of(batch.column("ax")) @ w[0])
         out = hidden @ w[1] * _scale(batch)
-        return {"id": batch.column("id"), "copies": batch.column("copies"), "vec": vectors_of(out)}
+        return {**_address(batch), "vec": vectors_of(out)}
 
-    rows = layout.vertices.select("id", "copies", "scale", "ax")
-    return map_batches(rows, "id bigint, copies int, vec array<double>", send)
+    rows = layout.vertices.select(*TO, "scale", "ax")
+    return map_batches(rows, MESSAGE, send)
 
 
 def _next_messages(state: DataFrame, shared, layer: int) -> DataFrame:
@@ -90,10 +99,10 @@ def _next_messages(state: DataFrame, shared, layer: int) -> DataFrame:
         scale = _scale(batch)
         hidden = _relu(matrix_of(batch.column("vec")) * scale)
         out = hidden @ shared.value[layer] * scale
-        return {"id": batch.column("id"), "copies": batch.column("copies"), "vec": vectors_of(out)}
+        return {**_address(batch), "vec": vectors_of(out)}
 
-    rows = state.select("id", "copies", "scale", "vec")
-    return map_batches(rows, "id bigint, copies int, vec array<double>", send)
+    rows = state.select(*TO, "scale", "vec")
+    return map_batches(rows, MESSAGE, send)
 
 
 def _received(layout: Layout, messages: DataFrame, width: int, columns: list[str]) -> DataFrame:
@@ -115,8 +124,9 @@ def _score(state: DataFrame) -> DataFrame:
         loss = -np.log(np.clip(probs[row, label], P_MIN, P_MAX))
         probs[row, label] -= 1.0
         grad = probs * batch.column("row_weight").to_numpy()[:, None] * scale
-        kept = {c: batch.column(c) for c in ("id", "copies", "label", *SPLITS)}
+        kept = {c: batch.column(c) for c in ("label", *SPLITS)}
         return {
+            **_address(batch),
             **kept,
             "pred": pa.array(logits.argmax(axis=1)),
             "loss": pa.array(loss),
@@ -125,7 +135,7 @@ def _score(state: DataFrame) -> DataFrame:
 
     return map_batches(
         state,
-        "id bigint, copies int, label bigint, is_train boolean, is_val boolean, "
+        f"{ADDRESS}, label bigint, is_train boolean, is_val boolean, "
         "is_test boolean, pred bigint, loss double, vec array<double>",
         score,
     )
@@ -133,7 +143,7 @@ def _score(state: DataFrame) -> DataFrame:
 
 def _logit_states(layout: Layout, shared, dims: list[int]) -> list[DataFrame]:
     """Per layer the vertex rows with the sums they received; the last holds the logits."""
-    carried = ["copies", "label", "row_weight", *SPLITS]
+    carried = [*TO[1:], "label", "row_weight", *SPLITS]
     last = len(dims) - 2
     if last == 0:
         rows = layout.vertices.select("id", "scale", *carried, "ax")
@@ -141,7 +151,7 @@ def _logit_states(layout: Layout, shared, dims: list[int]) -> list[DataFrame]:
     states = []
     messages = _first_messages(layout, shared, dims[2])
     for layer in range(1, last + 1):
-        columns = carried if layer == last else ["copies"]
+        columns = carried if layer == last else TO[1:]
         state = _received(layout, messages, dims[layer + 1], columns)
         if layer < last:
             state = state.persist(StorageLevel.MEMORY_AND_DISK)
@@ -217,13 +227,9 @@ def _inner_messages(rows: DataFrame, shared, layer: int) -> DataFrame:
         scale = _scale(batch)
         received = matrix_of(batch.column("vec")) * scale
         back = (received @ shared.value[layer].T) * (matrix_of(batch.column("z")) > 0)
-        return {
-            "id": batch.column("id"),
-            "copies": batch.column("copies"),
-            "vec": vectors_of(back * scale),
-        }
+        return {**_address(batch), "vec": vectors_of(back * scale)}
 
-    return map_batches(rows, "id bigint, copies int, vec array<double>", send)
+    return map_batches(rows, MESSAGE, send)
 
 
 def _gradient_pieces(
@@ -234,7 +240,7 @@ def _gradient_pieces(
     if last == 0:
         return _only_gradient(layout, scored), []
     pieces, kept = [], []
-    messages = scored.select("id", "copies", "vec")
+    messages = scored.select(*TO, "vec")
     for layer in range(last, 1, -1):
         summed = layout.send(messages, dims[layer + 1])
         below = states[layer - 2].withColumnRenamed("vec", "z")

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from vertexmill.catalog.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,7 +21,7 @@ needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 @needs_data

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexmill.llm import mixing, warc
+from vertexmill.llm import decontam, minhash, mixing, quality, warc
 from vertexmill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,60 @@ FROM r
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the items."""
+    found = decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumn("n_tiles", F.size("tiles").cast("bigint")).drop("tiles")
+
+
+OP5_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (
+  SELECT doc_id, i, list_aggregate(list_slice(w, i, i + 7), 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+raw AS (
+  SELECT doc_id, source, line,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+         list_aggregate(regexp_extract_all(translate(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '123456789', '000000000'), '[^\x20\x09-\x0D]+'), 'string_agg', ' ') AS plain
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)),
+full_lines AS (SELECT * FROM raw WHERE n > 0),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM full_lines GROUP BY doc_id),
+common AS (
+  SELECT source, plain FROM full_lines GROUP BY source, plain HAVING count(DISTINCT doc_id) > 100),
+gone AS (
+  SELECT f.doc_id, sum(n) AS gone FROM full_lines f JOIN common c
+    ON f.plain = c.plain AND f.source IS NOT DISTINCT FROM c.source
+  GROUP BY f.doc_id),
+m AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words,
+         coalesce(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')), 0)::BIGINT AS word_chars,
+         coalesce(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), 0)::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         len(w) - coalesce(gone, 0) AS words_left
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND words_left >= 20 AND 100 * words_left >= 50 * n_words AS kept
+FROM f
+"""
+
+
+@query(OP5_SQL)
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents")).drop("lines_removed_words")
+
+
+@query()
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexmill.llm import decontam, minhash, mixing, quality, warc
+from vertexmill.llm import decontam, langid, minhash, mixing, quality, toxicity, warc
 from vertexmill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,13 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), percent=85)
+
+
+@query()
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.languages(table(spark, folder, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexmill.llm import decontam, langid, minhash, mixing, quality, toxicity, warc
+from vertexmill.llm import decontam, langid, minhash, mixing, ngram_lm, quality, toxicity, warc
 from vertexmill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.languages(table(spark, folder, "documents"))
+
+
+@query()
+def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_lm.score(table(spark, folder, "documents"))

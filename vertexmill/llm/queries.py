@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vertexmill.llm import decontam, langid, minhash, mixing, ngram_lm, quality, toxicity, warc
+from vertexmill.llm import (
+    decontam,
+    html_extract,
+    langid,
+    minhash,
+    mixing,
+    ngram_lm,
+    quality,
+    token_counts,
+    toxicity,
+    warc,
+)
 from vertexmill.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +176,13 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_lm.score(table(spark, folder, "documents"))
+
+
+@query()
+def op7_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.main_text(table(spark, folder, "pages"))
+
+
+@query()
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"))

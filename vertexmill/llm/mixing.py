@@ -18,19 +18,17 @@ MOST_COPIES = 3
 LEVELS, BITS = 5, 12
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source, size, h)``: words of the whole text and a 60-bit hash of the id.
-
-    A row without an id is hashed by its text. Rows of equal hash (repeated
-    rows) share one decision.
-    """
+def size_and_hash():
+    """Words of the whole text, and a 60-bit hash of the id (of the text where there is none)."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))
-    return docs.select(
-        "doc_id",
-        "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint").alias("h"),
-    )
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+    h = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
+    return [size.alias("size"), h.alias("h")]
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """``(doc_id, source, size, h)``. Rows of equal hash (repeated rows) share one decision."""
+    return docs.select("doc_id", "source", *size_and_hash())
 
 
 def source_targets(
@@ -133,31 +131,56 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", F.col("prefix").alias("last"), nearer.alias("whole"))
 
 
+def source_marks(sizes: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """What decides for the documents of a source: whole copies, and the threshold of one more."""
+    targets = written(source_targets(sizes, weights, most), "mix-targets")
+    marks = written(thresholds(sizes, targets), "mix-marks")
+    return written(join_by(targets, marks, ["source"]), "mix-sources")
+
+
+def copies_of():
+    """Nested thresholds: whole copies, and one more where the hash is below the threshold."""
+    more = (F.col("h") < F.col("last")) | ((F.col("h") == F.col("last")) & F.col("whole"))
+    return F.col("copies") + F.coalesce(more, F.lit(False)).cast("bigint")
+
+
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies, taken)`` for every row of ``docs``.
 
-    Nested thresholds: every document of a source is taken as often as the
-    target holds the whole source, and once more where its hash is below the
-    source's threshold. Null sources are one source, the last; a null text has
-    size 0; an empty table gives no rows. Reruns agree, as hashes depend on ids
-    alone. Only the columns named are read, whatever others there are.
+    Every document of a source is taken as often as the target holds the whole
+    source, and once more where its hash is below the source's threshold. Null
+    sources are one source, the last; a null text has size 0; an empty table gives
+    no rows. Reruns agree, as hashes depend on ids alone. Only the columns named
+    are read, whatever others there are.
     """
     sizes = written(sized(docs), "mix-sizes")
-    targets = written(source_targets(sizes, weights, most), "mix-targets")
-    marks = written(
-        join_by(targets, written(thresholds(sizes, targets), "mix-marks"), ["source"]), "mix-sources"
-    )
-    found = join_by(sizes, marks, ["source"], spread="h")
-    more = (F.col("h") < F.col("last")) | ((F.col("h") == F.col("last")) & F.col("whole"))
-    copies = F.col("copies") + F.coalesce(more, F.lit(False)).cast("bigint")
+    found = join_by(sizes, source_marks(sizes, weights, most), ["source"], spread="h")
     return found.select(
         "doc_id",
         "source",
         "size",
         "source_size",
         "target",
-        copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        copies_of().alias("copies"),
+        (copies_of() * F.col("size")).alias("taken"),
+    )
+
+
+def mixed_rows(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES
+) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, all their columns, with ``copies`` and ``taken``.
+
+    Documents are decided on where they lie and never shuffled. Columns of
+    ``docs`` that have the names of the two new ones give way to them.
+    """
+    marks = source_marks(written(sized(docs), "mix-sizes"), weights, most)
+    kept = [c for c in docs.columns if c not in ("copies", "taken")]
+    rows = docs.select(F.struct(*kept).alias("row"), "source", *size_and_hash())
+    return (
+        join_by(rows, marks, ["source"], spread="h")
+        .select(*[F.col(f"row.`{c}`") for c in kept], copies_of().alias("copies"), (copies_of() * F.col("size")).alias("taken"))
+        .filter("copies > 0")
     )

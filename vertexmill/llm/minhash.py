@@ -302,12 +302,35 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Da
     return with_values(pairs, sets).mapInArrow(_confirm(percent), "a bigint, b bigint").distinct()
 
 
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars: the same connections, every node hung on the least it reaches here."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := root.get(top, top)) != top:
+            top = up
+        while x != top:
+            root[x], x = top, root.get(x, x)
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    nodes = list(root)
+    if nodes:
+        yield pa.RecordBatch.from_pydict({"a": pa.array(nodes), "b": pa.array([find(x) for x in nodes])})
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for all nodes of ``links(a, b)``; the component is its least node.
 
-    Alternating stars: every node hangs its larger neighbours on its least one,
-    then its smaller ones, until nothing moves. Takes few rounds, each a
-    map-side combined minimum and a join, with its links written.
+    Tasks first replace their own links by stars. Then, in turn, every node hangs
+    its larger neighbours on its least one, and its smaller ones, until all links
+    are stars. Takes few rounds, each of map-side combined minima and joins, with
+    its links written.
     """
 
     def star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -319,14 +342,20 @@ def components(links: DataFrame) -> DataFrame:
         moved = join_by(side, least, ["a"], spread="b").select(F.col("b").alias("a"), F.col("m").alias("b"))
         if not larger:
             moved = moved.unionAll(least.select("a", F.col("m").alias("b")))
-        return written(moved.filter("a != b").distinct(), "star")
-
-    def mark(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first())
-
-    edges, before = written(links.filter("a != b").distinct(), "star"), None
-    while before != (now := mark(edges)):
-        before, edges = now, star(star(edges, larger=True), larger=False)
+        return moved.filter("a != b").distinct()
+
+    def settled(edges: DataFrame) -> bool:
+        """No node hangs on two, or hangs on one that hangs itself."""
+        ends = edges.selectExpr("inline(array(named_struct('x', a, 'up', 1, 'down', 0), named_struct('x', b, 'up', 0, 'down', 1)))")
+        loose = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return loose.filter("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+    edges = written(links.select("a", "b").filter("a != b"), "star")
+    while True:
+        edges = written(edges.mapInArrow(_contracted, "a bigint, b bigint").filter("a != b"), "star")
+        if settled(edges):
+            break
+        edges = written(star(written(star(edges, larger=True), "star"), larger=False), "star")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
@@ -484,7 +513,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     found = written(components(links), "near-components")
     rest = written(outside_pairs(members, found, nodes, least), "near-rest")
     more = written(confirmed(rest, docs, percent, width), "near-links")
-    found = written(components(links.unionAll(more)), "near-components")
+    known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = written(components(known.unionAll(more)), "near-components")
     labelled = join_by(classes, found, ["node"])
     moved = written(
         labelled.filter("n > 1 OR component IS NOT NULL").select(

@@ -102,11 +102,7 @@ def padded(words: list[bytes] | text.Words, at: np.ndarray | None = None, width:
 
 
 def instances(column: pa.Array) -> text.Words:
-    """Words without punctuation at their ends, long ones in parts, and spelled-out runs joined.
-
-    Three or more one-character words in a row (``i d i o t``) are also given as
-    one word, appended to the text, in the piece of the first.
-    """
+    """Words without punctuation at their ends."""
     found = text.words(column)
     start, end, row = found.start.copy(), found.end.copy(), found.row
     for _ in range(4):
@@ -130,7 +126,11 @@ def pieces(found: text.Words) -> np.ndarray:
 
 
 def extra_words(found: text.Words, piece: np.ndarray) -> tuple[text.Words, np.ndarray]:
-    """Add what no single word shows: parts of long words, and spelled-out words."""
+    """Add what no word shows as it stands, in the piece of the (first) word.
+
+    Overlapping parts of words over ``LONGEST`` bytes, three or more one-byte words
+    in a row as one (``i d i o t``), and words without the signs inside them.
+    """
     size = found.end - found.start
     more: list[tuple[int, int, int]] = []  # start, end, piece
     for k in np.flatnonzero(size > LONGEST):
@@ -149,6 +149,13 @@ def extra_words(found: text.Words, piece: np.ndarray) -> tuple[text.Words, np.nd
                     spelled.append(data[found.start[part]])
                     more.append((at, at + len(part), int(piece[run[0]])))
                     at += len(part)
+    inner = np.concatenate([[0], np.cumsum(_EDGE[data])])
+    for k in np.flatnonzero((inner[found.end] > inner[found.start]) & (size > LENGTH) & (size <= LONGEST)):
+        plain = data[found.start[k] : found.end[k]]
+        plain = plain[~_EDGE[plain]]
+        spelled.append(plain)
+        more.append((at, at + len(plain), int(piece[k])))
+        at += len(plain)
     if not more:
         return found, piece
     data = np.concatenate([data, *spelled]) if spelled else data

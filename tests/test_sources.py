@@ -97,11 +97,58 @@ def test_gaps_in_the_listing(spark):
     assert [shifted[i]["features"][0] for i in (5, 7, 8)] == [50.0, 0.0, 60.0]
 
 
-def test_plain_listing_has_ids_but_no_order(spark, tmp_path):
+def test_plain_listing_keeps_the_order_of_its_lines(spark, tmp_path):
     (tmp_path / "ids.txt").write_text("7\n 5 \n\n6\n")
     rows = N.read_test_index(spark, str(tmp_path / "ids.txt")).collect()
-    assert sorted(r["id"] for r in rows) == [5, 6, 7]
-    assert {r["line"] for r in rows} == {None}
+    assert {r["id"]: r["line"] for r in rows} == {7: 0, 5: 1, 6: 2}
+
+
+def test_long_plain_listing_is_numbered_across_splits(spark, tmp_path):
+    ids = [k * 37 % 5003 for k in range(5003)]
+    (tmp_path / "ids.txt").write_text("\n".join(map(str, ids)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        listed = N.read_test_index(spark, str(tmp_path / "ids.txt"))
+        got = {r["line"]: r["id"] for r in listed.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [got[k] for k in range(5003)] == ids
+
+
+def written_citation(spark, root, known, listing):
+    """Blocks below ``root`` with ``known`` rows in allx; row r of tx has the feature 100 + r."""
+    row = lambda k, v: (k, [float(v), 1.0])
+    hot = lambda k: (k, [1.0, 0.0] if k % 2 == 0 else [0.0, 1.0])
+    n = len(listing)
+    blocks = {
+        "x": [row(k, k) for k in range(2)], "y": [hot(k) for k in range(2)],
+        "allx": [row(k, k) for k in range(known)], "ally": [hot(k) for k in range(known)],
+        "tx": [row(k, 100 + k) for k in range(n)], "ty": [hot(k) for k in range(n)],
+    }
+    for name, rows in blocks.items():
+        spark.createDataFrame(rows, "row_pos bigint, vec array<double>").write.parquet(f"{root}/{name}")
+    lists = [(0, [1])]
+    spark.createDataFrame(lists, "id bigint, neighbors array<bigint>").write.parquet(f"{root}/graph")
+    with open(f"{root}/test.index", "w") as out:
+        out.write("".join(f"{k}\n" for k in listing))
+
+
+def test_plain_listings_place_the_test_rows(spark, tmp_path):
+    for name, known, listing in (("citeseer", 6, [9, 6, 7]), ("cora", 6, [8, 6, 7])):
+        root = str(tmp_path / name)
+        written_citation(spark, root, known, listing)
+        nodes = by_id(load_graph(spark, name, root, normalize=False).nodes)
+        assert sorted(nodes) == list(range(max(listing) + 1))
+        assert [nodes[i]["features"][0] for i in listing] == [100.0, 101.0, 102.0]
+        ascending = by_id(load_graph(spark, name, root, normalize=False, order="sorted").nodes)
+        assert [ascending[i]["features"][0] for i in (6, 7)] == [100.0, 101.0]
+
+
+def test_a_listing_without_order_is_refused(spark):
+    blocks, index = citation(spark, [7, 5, 6])
+    with pytest.raises(ValueError, match="no order"):
+        N.citation_nodes(blocks, index.selectExpr("CAST(null AS bigint) AS line", "id"))
 
 
 def test_load_citation_graph(spark, tmp_path):

@@ -123,7 +123,11 @@ def load_graph(spark, folder):
     X.raw_edges(spark, folder).select(
         F.col("src").alias("row"), F.col("dst").alias("col")
     ).write.parquet(f"{root}/coo")
-    graph = load_by_name(spark, "reddit", root)
+    return graph_rows(load_by_name(spark, "reddit", root))
+
+
+def graph_rows(graph):
+    """A loaded graph as ``(kind, a, b, v)``: edges, features, labels with their split code."""
     code = F.when(F.col("is_train"), 1.0).when(F.col("is_val"), 2.0).when(F.col("is_test"), 3.0)
     edges = graph.edges.select(
         F.lit("edge").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"),
@@ -134,6 +138,45 @@ def load_graph(spark, folder):
     return edges.union(features).union(labels)
 
 
+@query(f"""SELECT 'edge' AS kind, src AS a, dst AS b, {r('w')} AS v FROM edges
+    UNION ALL SELECT 'feature', id, k, {r('v')} FROM x
+    UNION ALL SELECT 'label', id, label, node_type::DOUBLE FROM nodes""")
+def load_graph_plain(spark, folder):
+    """Without normalisation: features as read, edges symmetrised and clipped."""
+    root = scratch_path(spark, "graph")
+    X.plain_nodes(spark, folder).write.parquet(f"{root}/nodes")
+    X.raw_edges(spark, folder).select(
+        F.col("src").alias("row"), F.col("dst").alias("col")
+    ).write.parquet(f"{root}/coo")
+    return graph_rows(load_by_name(spark, "reddit", root, normalize=False))
+
+
+@query(
+    f"""SELECT 'edge' AS kind, src AS a, dst AS b, {r('w')} AS v FROM edges
+    UNION ALL SELECT 'feature', s.id, x.k, {r('x.v')} FROM came s JOIN x ON x.id = s.came
+    UNION ALL SELECT 'label', s.id, n.label,
+        CASE WHEN s.id < s.n * 6 // 10 THEN 1.0 WHEN s.id < s.n * 6 // 10 + 500 THEN 2.0 ELSE 3.0 END::DOUBLE
+        FROM came s JOIN nodes n ON n.id = s.came""",
+    {
+        "tested": """SELECT id, row_number() OVER (ORDER BY id * 37 % n) - 1 AS line
+            FROM nodes CROSS JOIN cnt WHERE id >= n * 8 // 10""",
+        "came": """SELECT n.id, cnt.n, CASE WHEN t.line IS NULL THEN n.id
+            ELSE t.line + cnt.n * 8 // 10 END AS came
+            FROM nodes n CROSS JOIN cnt LEFT JOIN tested t ON n.id = t.id""",
+    },
+)
+def load_citation(spark, folder):
+    """Citation blocks with a plain listing, one id per line in the order of the test rows."""
+    root = scratch_path(spark, "citation")
+    blocks, index = X.citation(spark, folder)
+    for name, block in blocks.items():
+        block.write.parquet(f"{root}/{name}")
+    one_file = index.repartition(1).sortWithinPartitions("line")
+    one_file.select(F.col("id").cast("string")).write.text(f"{root}/test.index")
+    X.neighbor_lists(spark, folder).write.parquet(f"{root}/graph")
+    return graph_rows(load_by_name(spark, "cora", root, normalize=False))
+
+
 # ---------------------------------------------------------------- splits and labels
 
 
@@ -181,9 +224,13 @@ def stack_blocks(spark, folder):
 
 @query(
     f"""SELECT x.id, x.k, {r('coalesce(y.v, x.v)')} AS v
-    FROM x LEFT JOIN (SELECT t.id, x.k, x.v FROM tested t, cnt JOIN x
-        ON x.id = t.line + cnt.n * 8 // 10) y ON x.id = y.id AND x.k = y.k""",
-    TESTED,
+    FROM x LEFT JOIN moved y ON x.id = y.id AND x.k = y.k""",
+    {
+        **TESTED,
+        "moved": """SELECT s.id, x.k, x.v
+            FROM (SELECT t.id, t.line + cnt.n * 8 // 10 AS came FROM tested t CROSS JOIN cnt) s
+            JOIN x ON x.id = s.came""",
+    },
 )
 def align_test_rows(spark, folder):
     blocks, index = X.citation(spark, folder)
@@ -311,13 +358,13 @@ def partition_assign(spark, folder):
     return C.assign_parts(X.nodes(spark, folder).select("id"), PARTS)
 
 
-@query(f"""SELECT (n.id % {PARTS})::INTEGER AS pid, n.id, n.label, {MASKS_SQL}, {r('x.v')} AS first
-    FROM nodes n JOIN x ON n.id = x.id AND x.k = 0""")
+@query(f"""SELECT (n.id % {PARTS})::INTEGER AS pid, n.id, n.label, {MASKS_SQL}, x.k, {r('x.v')} AS v
+    FROM nodes n JOIN x ON n.id = x.id""")
 def partition_nodes(spark, folder):
     placed = C.distribute(X.nodes(spark, folder), PARTS)
-    return placed.select(
-        "pid", "id", "label", "is_train", "is_val", "is_test",
-        r6(F.get("features", F.lit(0))).alias("first"),
+    kept = ["pid", "id", "label", "is_train", "is_val", "is_test"]
+    return placed.select(*kept, F.posexplode("features").alias("k", "v")).select(
+        *kept, F.col("k").cast("bigint").alias("k"), r6("v").alias("v")
     )
 
 

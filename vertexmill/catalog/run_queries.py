@@ -127,6 +127,19 @@ def summary_table(spark, folder):
     return G.summary_table(summary_of(spark, folder))
 
 
+@query("SELECT config, workers, " + ", ".join(
+    f"round_even(({n})::DOUBLE, 4) + 0.0 AS {n}"
+    for n in ("avg_epoch_time_mean", "avg_epoch_time_std", "total_time_mean", "speedup", "efficiency",
+              "comm_overhead_pct", "test_f1_mean", "test_f1_std", "peak_memory_mb")
+) + " FROM table4")
+def summary_table_roundtrip(spark, folder):
+    path = scratch_path(spark, "summary-table")
+    sinks.write_summary_table(G.summary_table(summary_of(spark, folder)), path)
+    read = sources.read_summary_table(spark, path)
+    kinds = {"config": "string", "workers": "int"}
+    return read.select(*[F.col(c).cast(kinds.get(c, "double")).alias(c) for c in read.columns])
+
+
 @query(f"""SELECT config, workers, {columns(('avg_epoch_time_mean', 'avg_epoch_time_std',
     'avg_comm_time_mean', 'test_f1_mean', 'test_f1_std', 'val_f1_mean', 'loss_mean', 'speedup',
     'efficiency', 'comm_overhead_pct'))} FROM table4""")

@@ -10,11 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def to_long(vectors: DataFrame, column: str = "vec", id_column: str = "id") -> DataFrame:
-    """``(id, vec) -> (id, k, v)``, k from 0."""
-    return vectors.select(id_column, F.posexplode(column).alias("k", "v")).select(
-        id_column, F.col("k").cast("bigint").alias("k"), "v"
-    )
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, as the variable of a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def relu(vec: Column) -> Column:
@@ -27,10 +25,14 @@ def relu_gate(grad: Column, pre_activation: Column) -> Column:
 
 
 def softmax(logits: Column) -> Column:
-    """Row softmax, shifted by the row maximum."""
-    powers = F.transform(logits, lambda x: F.exp(x - F.array_max(logits)))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(powers, lambda x: x / total)
+    """Row softmax, shifted by the row maximum; maximum and sum are taken once per row."""
+
+    def shares(powers: Column) -> Column:
+        total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
+        return bound(total, lambda t: F.transform(powers, lambda x: x / t))
+
+    powers = bound(F.array_max(logits), lambda m: F.transform(logits, lambda x: F.exp(x - m)))
+    return bound(powers, shares)
 
 
 def argmax(vec: Column) -> Column:
@@ -39,11 +41,19 @@ def argmax(vec: Column) -> Column:
 
 
 def matrix_of(column: pa.Array) -> np.ndarray:
-    """A list column with rows of one length, as a matrix without copying."""
+    """A list column as a matrix without copying. Rows must have one length and no nulls."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
+    flat = column.flatten()
+    if not len(column):
+        return flat.to_numpy(zero_copy_only=False).reshape(0, 0)
+    lengths = column.value_lengths()
+    if column.null_count or flat.null_count:
+        raise ValueError("null vector, or null in a vector")
+    width = lengths[0].as_py()
+    if (lengths.to_numpy() != width).any():
+        raise ValueError("vectors of one column differ in length")
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
 def vectors_of(matrix: np.ndarray) -> pa.ListArray:
@@ -112,14 +122,16 @@ MATRIX_PIECES = "layer int, i int, j0 int, vec array<double>"
 def sum_vectors(df: DataFrame, keys: list[str], width: int, weight: str | None = None) -> DataFrame:
     """Element-wise sum of ``vec`` per key, at most ``PIECE`` wide, combined before the shuffle.
 
-    Vectors may be shorter than ``width``; the sum is as long as the longest.
+    Vectors may be shorter than ``width``; the sum is as long as the longest. A
+    place that is null in all vectors of a key is an error, never left out.
     ``weight`` names a column to multiply by.
     """
     times = f"{weight} * " if weight else ""
     sums = [F.expr(f"sum({times}get(vec, {k})) AS s{k}") for k in range(width)]
     whole = ", ".join(f"s{k}" for k in range(width))
-    return df.groupBy(*keys).agg(*sums).selectExpr(
-        *keys, f"filter(array({whole}), x -> x IS NOT NULL) AS vec"
+    known = "coalesce(x, CAST(raise_error('null in a vector') AS DOUBLE))"
+    return df.groupBy(*keys).agg(*sums, F.expr("max(size(vec)) AS longest")).selectExpr(
+        *keys, f"transform(slice(array({whole}), 1, longest), x -> {known}) AS vec"
     )
 
 

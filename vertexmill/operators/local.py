@@ -25,7 +25,12 @@ from vertexmill.operators.gcn import (
     row_loss,
 )
 from vertexmill.operators.messages import SpreadEdges, message_pass
-from vertexmill.operators.partition import assign_parts, train_rows_per_part, unit_blocks
+from vertexmill.operators.partition import (
+    assign_parts,
+    small_side,
+    train_rows_per_part,
+    unit_blocks,
+)
 from vertexmill.operators.prepare import normalize_and_spread
 
 #: Partial matrices a task keeps before it sends them on.
@@ -49,7 +54,7 @@ def local_targets(nodes: DataFrame, parts: int) -> DataFrame:
     share = F.try_divide(F.lit(1.0), F.col("n_train"))
     return (
         assign_parts(nodes, parts)
-        .join(train_rows_per_part(nodes, parts), "pid", "left")
+        .join(small_side(train_rows_per_part(nodes, parts), parts), "pid", "left")
         .withColumn(
             "row_weight",
             F.when(F.col("is_train"), F.coalesce(share, F.lit(0.0))).otherwise(F.lit(0.0)),

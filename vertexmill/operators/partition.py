@@ -25,12 +25,46 @@ def distribute(nodes: DataFrame, parts: int) -> DataFrame:
     return assign_parts(nodes, parts).repartitionByRange("pid", "id")
 
 
+#: A table with one row a part is broadcast up to this many parts.
+BROADCAST_PARTS = 100_000
+
+
+def small_side(per_part: DataFrame, parts: int) -> DataFrame:
+    """A table of one row per part, broadcast where its size is known to be small."""
+    return F.broadcast(per_part) if parts <= BROADCAST_PARTS else per_part
+
+
+def dense_count(nodes: DataFrame) -> int | None:
+    """Number of nodes if their ids are 0, 1, ... without gap or repeat."""
+    found = nodes.agg(
+        F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"),
+        F.count_distinct("id").alias("ids"),
+    ).first()
+    n = found["n"]
+    dense = n == 0 or (found["low"], found["high"], found["ids"]) == (0, n - 1, n)
+    return n if dense else None
+
+
+def _local(vertex: Column, parts: int) -> Column:
+    """Place in its part of a vertex among dense ids."""
+    return F.floor(vertex / F.lit(parts)).cast("bigint")
+
+
 def local_ids(nodes: DataFrame, parts: int) -> DataFrame:
     """``local_id``: place of a node among the sorted ids of its part.
 
-    Places come from one global numbering by (part, id) less the first place
-    of the part, so a part larger than a task is no obstacle.
+    Dense ids give it by division. Otherwise places come from one global
+    numbering by (part, id) less the first place of the part, so a part larger
+    than a task is no obstacle.
     """
+    if dense_count(nodes) is not None:
+        return assign_parts(nodes, parts).select(
+            "id", "pid", _local(F.col("id"), parts).alias("local_id")
+        )
+    return _numbered_ids(nodes, parts)
+
+
+def _numbered_ids(nodes: DataFrame, parts: int) -> DataFrame:
     placed = with_position(assign_parts(nodes, parts).select("pid", "id"), "pid", "id")
     starts = placed.groupBy("pid").agg(F.min("pos").alias("start"))
     return placed.join(F.broadcast(starts), "pid").select(
@@ -49,8 +83,20 @@ def block_edges(edges: DataFrame, parts: int) -> DataFrame:
 
 
 def intra_edges(edges: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
-    """Edges inside a part by local ids: ``(pid, local_src, local_dst, w)``."""
-    numbered = local_ids(nodes, parts).select("id", "pid", "local_id")
+    """Edges inside a part by local ids: ``(pid, local_src, local_dst, w)``.
+
+    Edges to ids that no node has are left out. Dense ids need no join.
+    """
+    size = dense_count(nodes)
+    if size is not None:
+        known = [F.col(end).between(0, size - 1) for end in ("src", "dst")]
+        return block_edges(edges, parts).filter(known[0] & known[1]).select(
+            part_of(F.col("src"), parts).alias("pid"),
+            _local(F.col("src"), parts).alias("local_src"),
+            _local(F.col("dst"), parts).alias("local_dst"),
+            "w",
+        )
+    numbered = _numbered_ids(nodes, parts)
     by_src = numbered.select(
         F.col("id").alias("src"), "pid", F.col("local_id").alias("local_src")
     )

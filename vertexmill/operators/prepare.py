@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import inverse_sqrt_degree
-from vertexmill.functions.vectors import argmax, map_batches, vectors_of
+from vertexmill.functions.vectors import argmax, map_batches, matrix_of, vectors_of
 from vertexmill.operators.messages import (
     SpreadEdges,
     attach,
@@ -135,6 +137,8 @@ def align_test_rows(
     the stacked table are skipped.
     """
     if order == "file":
+        if not test_index.filter("line IS NULL").isEmpty():
+            raise ValueError("the listing has no order: give every id its line, or order='sorted'")
         placed = test_index.select(F.col("line").alias("row_pos"), "id")
     elif order == "sorted":
         placed = with_position(test_index.select("id"), "id", name="row_pos")
@@ -183,11 +187,48 @@ def gap_fill(test_rows: DataFrame, feature_width: int, class_width: int) -> Data
 
 
 def feature_moments(nodes: DataFrame, column: str = "features") -> DataFrame:
-    """One row per feature: ``(k, mean, std)`` with the population deviation."""
-    return (
-        nodes.select(F.posexplode(column).alias("k", "x"))
-        .groupBy("k")
-        .agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    """One row per feature: ``(k, mean, std)`` with the population deviation.
+
+    A task adds up its own rows as vectors and sends one row per feature; the
+    squared deviations of the tasks are moved to the common mean, so large means
+    cost no precision.
+    """
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, squares = 0, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = matrix_of(batch.column(column))
+            own = rows.mean(axis=0)
+            off = ((rows - own) ** 2).sum(axis=0)
+            if mean is None:
+                n, mean, squares = len(rows), own, off
+            elif len(own) != len(mean):
+                raise ValueError(f"vectors of {len(mean)} and {len(own)} values in one column")
+            else:
+                both = n + len(rows)
+                squares = squares + off + (own - mean) ** 2 * n * len(rows) / both
+                mean, n = mean + (own - mean) * len(rows) / both, both
+        if mean is not None:
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "k": pa.array(np.arange(len(mean), dtype=np.int32)),
+                    "n": pa.array(np.full(len(mean), n, dtype=np.int64)),
+                    "mean": pa.array(mean),
+                    "squares": pa.array(squares),
+                }
+            )
+
+    tasks = nodes.select(F.col(column).cast("array<double>").alias(column)).mapInArrow(
+        moments, "k int, n bigint, mean double, squares double"
+    )
+    whole = Window.partitionBy("k")
+    common = F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
+    moved = tasks.withColumn("common", common)
+    spread = F.col("squares") + F.col("n") * (F.col("mean") - F.col("common")) ** 2
+    return moved.groupBy("k").agg(
+        F.first("common").alias("mean"), F.sqrt(F.sum(spread) / F.sum("n")).alias("std")
     )
 
 
@@ -199,7 +240,10 @@ def standardize(nodes: DataFrame, column: str = "features") -> DataFrame:
     divisor = F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")).alias("std")
     rows = feature_moments(nodes, column).select("k", "mean", divisor)
     by_place = F.array_sort(F.collect_list(F.struct("k", "mean", "std")))
-    scaled = F.zip_with(column, "_moments", lambda x, m: (x - m["mean"]) / m["std"])
+    scaled = F.when(
+        F.size(column) == F.size("_moments"),
+        F.zip_with(column, "_moments", lambda x, m: (x - m["mean"]) / m["std"]),
+    ).otherwise(F.raise_error(F.lit("feature vectors differ in length")).cast("array<double>"))
     return (
         nodes.withColumn("_moments", rows.agg(by_place).scalar())
         .withColumn(column, scaled)
@@ -260,11 +304,11 @@ def add_self_loops(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return dedup_edges(edges.unionByName(loops))
 
 
-def undirected(edges: DataFrame, nodes: DataFrame, loop_weight: float = 1.0) -> DataFrame:
+def undirected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Symmetrise, clip and add loops in one shuffle of the raw edges."""
     loops = nodes.select(
         F.col("id").alias("lo"), F.col("id").alias("hi"), F.lit(0.0).alias("w"),
-        F.lit(loop_weight).alias("loop"),
+        F.lit(1.0).alias("loop"),
     )
     pairs = _pairs(edges).withColumn("loop", F.lit(0.0)).unionByName(loops)
     merged = pairs.groupBy("lo", "hi").agg(F.sum("w").alias("w"), F.max("loop").alias("loop"))

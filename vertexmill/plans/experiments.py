@@ -32,11 +32,13 @@ def experiment_grid(
     seeds: Iterable[int] = SEEDS,
     with_baseline: bool = True,
     local_input: str = "normalized",
+    mark_failed: bool = False,
 ) -> DataFrame:
     """``run_metrics`` of every configuration and seed, with ``run`` and ``seed``.
 
-    A layout serves all seeds of its configuration. A parallel run that fails
-    is logged and left out; a failing baseline is an error.
+    A layout serves all seeds of its configuration. A run that fails is an
+    error; with ``mark_failed`` a failing parallel run is logged and stands in
+    the table as epoch 0 without measures, and a failing baseline is an error.
     """
     rows: list[tuple] = []
     counts: list[int | None] = ([None] if with_baseline else []) + list(part_counts)
@@ -48,9 +50,11 @@ def experiment_grid(
                 try:
                     result = train_layout(layout, replace(config, seed=seed))
                 except Exception:
-                    if parts is None:
+                    if parts is None or not mark_failed:
                         raise
                     log.exception("run %s of %s failed", run, name)
+                    failed = {"config": name, "run": run, "seed": seed, "epoch": 0}
+                    rows.append(tuple(failed.get(f.name) for f in GRID))
                     continue
                 for m in result.metrics:
                     full = {**m, "config": name, "run": run, "seed": seed, "peak_memory_mb": 0.0}

@@ -31,7 +31,7 @@ from vertexmill.operators.messages import (
     salt_edges,
     with_copies,
 )
-from vertexmill.operators.partition import block_edges, train_rows_per_part
+from vertexmill.operators.partition import block_edges, small_side, train_rows_per_part
 from vertexmill.operators.prepare import feature_width, undirected
 from vertexmill.runtime import kept_by, setting, written
 
@@ -123,7 +123,7 @@ def row_weights(nodes: DataFrame, parts: int | None) -> DataFrame:
         per_part = train_rows_per_part(nodes, parts)
         weighted = (
             nodes.withColumn("pid", part_of(F.col("id"), parts))
-            .join(per_part, "pid", "left")
+            .join(small_side(per_part, parts), "pid", "left")
             .withColumn("row_weight", F.try_divide(F.lit(1.0), F.col("n_train") * parts))
             .drop("pid", "n_train")
         )
@@ -131,6 +131,18 @@ def row_weights(nodes: DataFrame, parts: int | None) -> DataFrame:
     return weighted.withColumn("row_weight", F.when(F.col("is_train"), known).otherwise(F.lit(0.0)))
 
 
+def check_vertices(nodes: DataFrame, vertices: int, least: int) -> None:
+    """Every vertex has a loop, so more vertices than nodes come from edges to unknown ids."""
+    n_nodes = nodes.count()
+    if vertices != n_nodes:
+        raise ValueError(
+            f"{vertices} vertices in edges and loops, {n_nodes} node rows: edges name ids outside"
+            " the node table (see edges_in_range), or node ids repeat"
+        )
+    if least < 0:
+        raise ValueError(f"vertex ids must not be negative: {least}")
+
+
 def scale_vectors(df: DataFrame, kept: list[str]) -> DataFrame:
     """``vec * scale`` row by row, keeping the named columns."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in kept)
@@ -156,8 +168,12 @@ def lay_out(
 
     Shuffles every edge twice: once to merge repeats, once to its place.
     """
-    whole = undirected(edges, nodes)
-    chosen = whole if parts is None else block_weights(whole, parts, local_input)
+    if parts is None:
+        chosen = undirected(edges, nodes)
+    else:
+        # edges between parts go before the shuffle, as no merged edge needs them
+        inside = undirected(block_edges(edges, parts), nodes)
+        chosen = block_weights(inside, parts, local_input)
     merged = written(chosen, "edges")
 
     per_vertex = merged.groupBy(F.col("src").alias("id")).agg(
@@ -169,7 +185,10 @@ def lay_out(
     n_edges, width = merged.count(), feature_width(nodes)
     counted = written(with_copies(scaled, hub_limit(n_edges, hub_floor)).drop("n_edges"), "degrees")
     hubs = written(find_hubs(counted), "hubs")
-    size = counted.agg(F.count("*").alias("vertices"), F.sum("copies").alias("copies")).first()
+    size = counted.agg(
+        F.count("*").alias("vertices"), F.sum("copies").alias("copies"), F.min("id").alias("least")
+    ).first()
+    check_vertices(nodes, size["vertices"], size["least"])
     spark = nodes.sparkSession
     cores = spark.sparkContext.defaultParallelism
     tasks = tasks or task_count(n_edges, size["vertices"], width, cores)

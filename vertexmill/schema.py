@@ -6,14 +6,6 @@ from pyspark.sql import types as T
 
 VECTOR = T.ArrayType(T.DoubleType(), containsNull=False)
 
-EDGES = T.StructType(
-    [
-        T.StructField("src", T.LongType(), False),
-        T.StructField("dst", T.LongType(), False),
-        T.StructField("w", T.DoubleType(), False),
-    ]
-)
-
 NODES = T.StructType(
     [
         T.StructField("id", T.LongType(), False),

@@ -57,14 +57,19 @@ def prepare_graph(
 
 
 def load_graph(
-    spark: SparkSession, name: str, root: str | None = None, normalize: bool = True
+    spark: SparkSession,
+    name: str,
+    root: str | None = None,
+    normalize: bool = True,
+    order: str = "file",
 ) -> Graph:
     """Load a data set by name. Tables live below ``root``:
 
     attributed: ``nodes`` (id, feature, label, node_types) and one edge layout
     of ``coo``, ``rows``, ``lists`` or ``indptr`` + ``entries``;
     citation: ``x y tx ty allx ally`` (row_pos, vec), ``graph`` (id, neighbors)
-    and the text listing ``test.index``; the karate club needs no files.
+    and the text listing ``test.index``, whose ids take the test rows as listed
+    (``order="file"``) or ascending (``"sorted"``); the karate club needs no files.
     """
     name = name.lower()
     if name in SMALL:
@@ -74,7 +79,7 @@ def load_graph(
     if root is None:
         raise ValueError(f"{name} is read from files: give root")
     if name in CITATION:
-        return prepare_graph(name, *load_citation(spark, root, name), normalize)
+        return prepare_graph(name, *load_citation(spark, root, name, order), normalize)
     if name in ATTRIBUTED:
         return prepare_graph(name, *load_attributed(spark, root), normalize)
     raise ValueError(f"unknown data set: {name}")

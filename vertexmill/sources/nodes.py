@@ -30,10 +30,16 @@ CITATION_VAL = 500
 def load_nodes(
     table: DataFrame, features: str = "feature", label: str = "label", code: str = "node_types"
 ) -> DataFrame:
-    """Nodes with explicit types and split masks. ``table`` needs an ``id`` column."""
+    """Nodes with explicit types and split masks. ``table`` needs an ``id`` column.
+
+    A vector that is null or holds a null is an error.
+    """
+    vector = F.col(features).cast("array<double>")
+    broken = vector.isNull() | F.exists(vector, lambda x: x.isNull())
+    message = F.concat(F.lit("null in the features of node "), F.col("id").cast("string"))
     typed = table.select(
         F.col("id").cast("bigint").alias("id"),
-        F.col(features).cast("array<double>").alias("features"),
+        F.when(broken, F.raise_error(message).cast("array<double>")).otherwise(vector).alias("features"),
         F.col(label).cast("bigint").alias("label"),
         F.col(code).cast("bigint").alias("node_type"),
     )
@@ -52,20 +58,31 @@ def citation_blocks(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def read_test_index(spark: SparkSession, path: str) -> DataFrame:
-    """``(line, id)`` from text written as ``line<TAB>id``, or ``id`` alone without order.
+    """``(line, id)`` of a listing: text with one id per line, or ``line<TAB>id``.
 
-    Spark does not promise the order of text lines, so a listing whose order
-    matters carries its line number; see :func:`write_test_index`.
+    Plain lines are numbered from 0 in the order of the file, blank ones left
+    out: by the place of a split in its file and of a row in its split, since
+    Spark keeps the order inside a split only. Several files follow each other
+    by name.
     """
     field = F.split(F.trim("value"), "\t")
-    return (
+    rows = (
         spark.read.text(path)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        )
         .filter(F.trim("value") != "")
         .select(
-            F.when(F.size(field) > 1, field[0]).cast("bigint").alias("line"),
+            "file", "start", "row",
+            F.when(F.size(field) > 1, field[0]).cast("bigint").alias("told"),
             F.element_at(field, -1).cast("bigint").alias("id"),
         )
     )
+    placed = with_position(rows, "file", "start", "row")
+    return placed.select(F.coalesce("told", "pos").alias("line"), "id")
 
 
 def write_test_index(index: DataFrame, path: str) -> None:

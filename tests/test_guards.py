@@ -99,7 +99,7 @@ def test_metrics_are_read_by_name(spark, tmp_path):
 # ---------------------------------------------------------------- plans and cost
 
 
-def plan(df, capfd=None):
+def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 

@@ -163,7 +163,7 @@ def test_experiment_grid(spark):
     assert all(r["comm_time"] == 0 for r in rows if r["config"] == "sequential")
 
 
-def test_a_failed_parallel_run_is_left_out(spark, monkeypatch):
+def test_a_failed_parallel_run_is_an_error_or_marked(spark, monkeypatch):
     toy = dense.Toy(spark)
     real = experiments.train_layout
 
@@ -174,7 +174,9 @@ def test_a_failed_parallel_run_is_left_out(spark, monkeypatch):
 
     monkeypatch.setattr(experiments, "train_layout", failing)
     cfg = trainer.TrainConfig(hidden_dim=3, epochs=1)
-    grid = experiments.experiment_grid(toy.nodes_df, toy.edges_df, cfg, (2,), (42, 123))
-    assert sorted((r["config"], r["seed"]) for r in grid.collect()) == [
-        ("sequential", 42), ("sequential", 123), ("spark_2", 123),
+    with pytest.raises(RuntimeError, match="lost"):
+        experiments.experiment_grid(toy.nodes_df, toy.edges_df, cfg, (2,), (42, 123))
+    grid = experiments.experiment_grid(toy.nodes_df, toy.edges_df, cfg, (2,), (42, 123), mark_failed=True)
+    assert sorted((r["config"], r["seed"], r["epoch"]) for r in grid.collect()) == [
+        ("sequential", 42, 1), ("sequential", 123, 1), ("spark_2", 42, 0), ("spark_2", 123, 1),
     ]

@@ -33,7 +33,7 @@ from vertexmill.operators.messages import (
 )
 from vertexmill.operators.partition import block_edges, small_side, train_rows_per_part
 from vertexmill.operators.prepare import feature_width, undirected
-from vertexmill.runtime import kept_by, setting, written
+from vertexmill.runtime import drop_written, kept_by, setting, written
 
 #: Edges one task reads in a large graph, and the fewest worth a task of their own.
 #: Edges are streamed, so large tasks cost no memory, and the more edges of a target
@@ -73,6 +73,7 @@ class Layout:
     num_classes: int
     n_train: int
     parts: int | None
+    tables: tuple[DataFrame, ...] = ()
 
     def hint(self, width: int) -> str:
         return join_hint(self.rows_per_task, width)
@@ -87,8 +88,10 @@ class Layout:
         return setting(spark, "spark.sql.shuffle.partitions", str(self.tasks))
 
     def release(self) -> None:
+        """Free the caches and delete the tables they are rebuilt from."""
         self.edges.unpersist()
         self.vertices.unpersist()
+        drop_written(*self.tables)
 
 
 def block_weights(whole: DataFrame, parts: int, local_input: str) -> DataFrame:
@@ -221,4 +224,5 @@ def lay_out(
         num_classes=num_classes or found["classes"],
         n_train=found["n_train"],
         parts=parts,
+        tables=(merged, counted, hubs, aggregated),
     )

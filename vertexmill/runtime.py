@@ -54,6 +54,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written`; nothing may read them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        below = shared_dir(spark).rstrip("/").removeprefix("file://").removeprefix("file:")
+        folders = {hadoop(file).getParent().toString() for file in table.inputFiles()}
+        for folder in folders:
+            if f"{below}/" in folder:
+                path = hadoop(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Another value of a session setting for the plans made inside."""

@@ -6,11 +6,11 @@ follows is configuration-sized. The baseline comes in as a scalar subquery.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import BASELINE, comm_share, is_parallel, speedup, workers
-from vertexmill.runtime import with_position
+from vertexmill.runtime import written
 from vertexmill.schema import SUMMARY_TABLE, WIDE_SUMMARY
 
 # ---------------------------------------------------------------- per run, per configuration
@@ -110,14 +110,10 @@ def wide_summary(summary: DataFrame) -> DataFrame:
 
 
 def config_order(summary: DataFrame) -> DataFrame:
-    """``(config, place)`` from 0: baseline first, then by workers."""
-    keyed = summary.select(
-        "config",
-        F.when(F.col("config") == BASELINE, 0).otherwise(1).alias("after"),
-        workers(F.col("config")).alias("workers"),
-    )
-    ordered = with_position(keyed, "after", "workers", "config", name="place")
-    return ordered.select("config", F.col("place").cast("int").alias("place"))
+    """``(config, place)`` from 0: baseline first, then by workers. One row a configuration."""
+    after = F.when(F.col("config") == BASELINE, 0).otherwise(1)
+    order = Window.orderBy(after, workers(F.col("config")), "config")
+    return summary.select("config", (F.row_number().over(order) - 1).cast("int").alias("place"))
 
 
 # ---------------------------------------------------------------- chart tables
@@ -226,8 +222,10 @@ def f1_drop(summary: DataFrame) -> DataFrame:
 def key_findings(summary: DataFrame) -> DataFrame:
     """One row: best speedup and efficiency, time saved, mean communication share and score loss.
 
-    Among equals the configuration with fewer workers wins.
+    Among equals the configuration with fewer workers wins. The summary is
+    written once, as every comparison with the baseline reads it again.
     """
+    summary = written(summary, "summary")
     fewest = -F.col("workers")
     best_speedup = F.max_by(F.struct("config", "workers", "speedup"), F.struct("speedup", fewest))
     best_eff = F.max_by(

@@ -89,30 +89,42 @@ def test_components_equal_brute_force(documents):
         assert nameless == {(5, False), (None, True)}
 
 
-def test_rows_outside_a_component_are_all_compared(spark):
+def test_rows_outside_a_component_are_all_compared(spark, documents):
     """Blocks smaller than a bucket still bring every outer row to every other one."""
     random = np.random.default_rng(4)
     coords = random.integers(0, 1 << 30, (60, minhash.SIZE)).astype("<u4")
     coords[:, :100] = coords[0, :100]  # all estimates lie above 100 of 128
-    nodes = spark.createDataFrame(
-        [(k, bytearray(coords[k].tobytes())) for k in range(60)], "node bigint, sketch binary"
-    )
-    members = spark.range(60).selectExpr("0L AS key", "id AS node", "CAST(null AS bigint) AS prev")
-    keys = minhash._band_keys(coords)
-    members = members.withColumn("key", F.lit(int(keys[0, 0].astype(np.int64))))
+    nodes = spark.createDataFrame([(k, bytearray(coords[k].tobytes())) for k in range(60)], "node bigint, sketch binary")
+    key = int(minhash._band_keys(coords)[0, 0].astype(np.int64))
+    members = spark.range(60).select(F.lit(key).alias("key"), F.col("id").alias("node"), F.lit(None).cast("bigint").alias("prev"))
     found = spark.range(40).selectExpr("id AS node", "0L AS component")
+    docs = documents([(k, f"one two three four five six {k // 50}", "en", "s") for k in range(60)])
     old = minhash.OUTER, minhash.INNER
     minhash.OUTER, minhash.INNER = 7, 9
     try:
-        got = {(r["a"], r["b"]) for r in minhash.outside_pairs(members, found, nodes, 90).collect()}
+        blocks = minhash.open_blocks(members, found).collect()
+        links = minhash.outside_links(members, found, nodes, docs, 90, 85, 5).collect()
     finally:
         minhash.OUTER, minhash.INNER = old
-    assert got == {(a, b) for a, b in combinations(range(60), 2) if b >= 40}
-
-
-def test_components_of_long_chains_and_stars(spark):
+    met = set()
+    for block in {r["block"] for r in blocks}:
+        own = [r for r in blocks if r["block"] == block]
+        met |= {frozenset((x["node"], y["node"])) for x in own for y in own if x["outer"] and y["inner"] and x["node"] != y["node"]}
+    assert met == {frozenset(p) for p in combinations(range(60), 2) if max(p) >= 40}
+    assert len(blocks) < 60 * 12
+    parent = {k: 0 if k < 40 else k for k in range(60)}
+    for r in links:
+        assert (r["a"] // 50) == (r["b"] // 50)
+        a, b = parent[r["a"]], parent[r["b"]]
+        parent = {k: min(a, b) if v in (a, b) else v for k, v in parent.items()}
+    assert {parent[k] for k in range(50)} == {0} and {parent[k] for k in range(50, 60)} == {50}
+
+
+@pytest.mark.parametrize("per_task", [200_000, 9])
+def test_components_of_long_chains_and_stars(spark, monkeypatch, per_task):
+    monkeypatch.setattr(minhash, "LINKS", per_task)
     links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(300, 200), (200, 300)]
-    got = minhash.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    got = minhash.components(spark.createDataFrame(links, "a bigint, b bigint").repartition(20)).collect()
     found = {r["node"]: r["component"] for r in got}
     assert len(got) == len(found) == 61 + 60 + 2
     assert {found[k] for k in range(61)} == {0} and {found[k] for k in range(100, 160)} == {100}

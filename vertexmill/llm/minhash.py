@@ -10,8 +10,7 @@ expanded into all their pairs:
 2. pairs that can be similar by their sketches are confirmed on the full sets,
    and confirmed links are joined to components;
 3. only rows outside the largest component of their bucket are then compared
-   with the rest of it, by sketch inside the tasks, and the pairs that can be
-   similar are confirmed as well.
+   with the rest of it, by sketch and then on the full sets, inside the tasks.
 
 So every pair that shares a band is either in one component already or compared.
 """
@@ -41,6 +40,9 @@ ERRORS = 4.75
 #: Rows of a bucket outside its main component, and of all its rows, in one task's block.
 OUTER, INNER = 256, 1024
 
+#: Links that one task contracts before they are shuffled.
+LINKS = 200_000
+
 #: Pairs whose values one join key brings together.
 PIECE = 256
 
@@ -259,15 +261,14 @@ def _estimate(least: int):
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for left, right in zip(batch.column("va"), batch.column("vb"), strict=True):
-                x = np.frombuffer(left.as_buffer(), dtype=np.uint64)
-                y = np.frombuffer(right.as_buffer(), dtype=np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [
+                similar(
+                    np.frombuffer(left.as_buffer(), dtype=np.uint64),
+                    np.frombuffer(right.as_buffer(), dtype=np.uint64),
+                    percent,
+                )
+                for left, right in zip(batch.column("va"), batch.column("vb"), strict=True)
+            ]
             if any(keep):
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
@@ -288,17 +289,17 @@ def _sets(width: int):
     return run
 
 
+def full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``(node, v)``: the sorted shingle hashes of the documents ``ids(doc_id)``."""
+    whole = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    chosen = join_by(whole, written(ids, "near-ids"), ["doc_id"], "left_semi")
+    return written(chosen.mapInArrow(_sets(width), "node bigint, v binary"), "near-sets")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs whose full shingle sets have the similarity asked for."""
-    nodes = written(
-        pairs.select(F.col("a").alias("doc_id"))
-        .unionAll(pairs.select(F.col("b").alias("doc_id")))
-        .distinct(),
-        "near-nodes",
-    )
-    whole = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    chosen = join_by(whole, nodes, ["doc_id"], "left_semi")
-    sets = written(chosen.mapInArrow(_sets(width), "node bigint, v binary"), "near-sets")
+    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id")))
+    sets = full_sets(ends.distinct(), docs, width)
     return with_values(pairs, sets).mapInArrow(_confirm(percent), "a bigint, b bigint").distinct()
 
 
@@ -352,7 +353,9 @@ def components(links: DataFrame) -> DataFrame:
 
     edges = written(links.select("a", "b").filter("a != b"), "star")
     while True:
-        edges = written(edges.mapInArrow(_contracted, "a bigint, b bigint").filter("a != b"), "star")
+        tasks = max(1, -(-edges.count() // LINKS))
+        own = edges.coalesce(tasks).mapInArrow(_contracted, "a bigint, b bigint")
+        edges = written(own.filter("a != b"), "star")
         if settled(edges):
             break
         edges = written(star(written(star(edges, larger=True), "star"), larger=False), "star")
@@ -360,72 +363,117 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
 
-def _outside_pairs(least: int):
-    """Compare the outer rows of a block with its other rows by sketch."""
-
-    def pairs_of(block: np.ndarray, outer: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Index pairs (outer row, other row) of equal block, at most about 32,768 at a time."""
-        begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        end = np.concatenate([begin[1:], [len(block)]])
-        group = np.searchsorted(begin, np.flatnonzero(outer), side="right") - 1
-        x = np.flatnonzero(outer)
-        sizes = (end - begin)[group]
-        first = 0
-        total = np.cumsum(sizes)
-        while first < len(x):
-            done = total[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(total, done + 32768, side="right")))
-            n = sizes[first:last]
-            left = np.repeat(x[first:last], n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            yield left, np.repeat(begin[group[first:last]], n) + at
-            first = last
-
-    def compare(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
-        component = batch.column("component").to_numpy()
-        outer = batch.column("outer").to_numpy(zero_copy_only=False)
-        inner = batch.column("inner").to_numpy(zero_copy_only=False)
-        coords = _matrix(batch.column("sketch"))
-        block = batch.column("block").to_numpy()
-        for left, right in pairs_of(block, outer):
-            useful = inner[right] & (component[left] != component[right])
-            left, right = left[useful], right[useful]
-            if not len(left):
-                continue
+def _block_pairs(block: np.ndarray, outer: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (outer row, other row) of equal block, at most about 32,768 at a time."""
+    begin = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    end = np.concatenate([begin[1:], [len(block)]])
+    x = np.flatnonzero(outer)
+    group = np.searchsorted(begin, x, side="right") - 1
+    sizes = (end - begin)[group]
+    total = np.cumsum(sizes)
+    first = 0
+    while first < len(x):
+        done = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, done + 32768, side="right")))
+        n = sizes[first:last]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        yield np.repeat(x[first:last], n), np.repeat(begin[group[first:last]], n) + at
+        first = last
+
+
+def _open_pairs(batch: pa.RecordBatch, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of an outer row and one of another component that can be similar, in the first band they share."""
+    key, component = batch.column("key").to_numpy(), batch.column("component").to_numpy()
+    inner = batch.column("inner").to_numpy(zero_copy_only=False)
+    coords = _matrix(batch.column("sketch"))
+    outer = batch.column("outer").to_numpy(zero_copy_only=False)
+    for left, right in _block_pairs(batch.column("block").to_numpy(), outer):
+        useful = inner[right] & (component[left] != component[right])
+        left, right = left[useful], right[useful]
+        if len(left):
             equal = coords[left] == coords[right]
             first = equal.reshape(len(left), BANDS, ROWS).all(axis=2).argmax(axis=1)
-            # a pair counts in the first band it shares
             take = (equal.sum(axis=1) >= least) & (first == (key[left] & 31))
-            a, b = node[left[take]], node[right[take]]
-            if len(a):
-                yield pa.RecordBatch.from_pydict(
-                    {"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))}
-                )
+            if take.any():
+                yield left[take], right[take]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # the last block so far, which may go on
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([*held, batch]).combine_chunks()
-            whole = table.to_batches()[0]
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block, cut between blocks; a block is at most ``OUTER`` and ``INNER`` rows or so."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            whole = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
             block = whole.column("block").to_numpy()
             cut = int(np.searchsorted(block, block[-1]))
             held = [whole.slice(cut)]
             if cut:
-                yield from compare(whole.slice(0, cut))
-        for batch in held:
-            yield from compare(batch)
+                yield whole.slice(0, cut)
+    yield from held
+
+
+def _active(least: int):
+    """``(block, node)`` of the rows that have a partner to be confirmed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_blocks(batches):
+            mark = np.zeros(batch.num_rows, dtype=bool)
+            for left, right in _open_pairs(batch, least):
+                mark[left] = mark[right] = True
+            if mark.any():
+                yield batch.filter(pa.array(mark)).select(["block", "node"])
 
     return run
 
 
-def outside_pairs(members: DataFrame, found: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """Pairs in a bucket that are not in one component and can be similar by sketch.
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether sorted sets share ``percent`` of their union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _confirm_blocks(least: int, percent: int):
+    """Links of the open pairs, confirmed on the full sets; pairs that links here already join are passed over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_blocks(batches):
+            node, sets = batch.column("node").to_numpy(), batch.column("v")
+            component = batch.column("component").to_numpy()
+            root: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while (up := root.get(x, x)) != x:
+                    x = up
+                return x
+
+            links = []
+            for left, right in _open_pairs(batch, least):
+                for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                    a, b = find(int(component[i])), find(int(component[j]))
+                    if a == b:
+                        continue
+                    x = np.frombuffer(sets[i].as_buffer(), dtype=np.uint64)
+                    y = np.frombuffer(sets[j].as_buffer(), dtype=np.uint64)
+                    if similar(x, y, percent):
+                        root[max(a, b)] = min(a, b)
+                        links.append((int(node[i]), int(node[j])))
+            if links:
+                yield pa.RecordBatch.from_pydict(
+                    {"a": pa.array([min(p) for p in links]), "b": pa.array([max(p) for p in links])}
+                )
+
+    return run
+
+
+def open_blocks(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``(key, block, node, component, outer, inner)``: what is still to be compared, cut into blocks.
 
     With ``u`` of a bucket's ``n`` rows outside its main component, at most
-    ``u * n`` pairs are compared, in blocks of ``OUTER`` by ``INNER`` rows.
+    ``u * n`` pairs are open, in blocks of ``OUTER`` by ``INNER`` rows. A row
+    stands in the blocks of its own inner part, and an outer row also in those of
+    its outer part.
     """
     rows = written(
         join_by(members.select("key", "node").distinct(), found, ["node"]).select(
@@ -441,40 +489,56 @@ def outside_pairs(members: DataFrame, found: DataFrame, nodes: DataFrame, least:
         .select("key", "size", F.col("main.component").alias("main"), (F.col("size") - F.col("main.n")).alias("out")),
         "near-mixed",
     )
-    open_rows = join_by(rows, mixed, ["key"], "inner", spread="node").join(
-        nodes.select("node", "sketch"), "node"
-    )
     many = lambda n, size: F.ceil(n / F.lit(size)).cast("int")
-    cut = open_rows.select(
-        "*",
+    cut = join_by(rows, mixed, ["key"], "inner", spread="node").select(
+        "key",
+        "node",
+        "component",
         (F.col("component") != F.col("main")).alias("is_out"),
         many(F.col("out"), OUTER).alias("outs"),
         many(F.col("size"), INNER).alias("ins"),
         F.xxhash64("node").alias("h"),
     )
-    own_out, own_in = F.pmod("h", "outs"), F.pmod("h", "ins")
+    own_out, own_in = F.pmod("h", "outs").cast("int"), F.pmod("h", "ins").cast("int")
     spans = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    # a row stands in the blocks of its own inner part, and an outer row also in those of its outer part
     at = F.array_distinct(
         F.concat(
-            F.transform(spans("outs"), lambda o: F.struct(o.cast("int").alias("o"), own_in.cast("int").alias("i"))),
-            F.when(
-                F.col("is_out"),
-                F.transform(spans("ins"), lambda i: F.struct(own_out.cast("int").alias("o"), i.cast("int").alias("i"))),
-            ).otherwise(F.array().cast("array<struct<o:int,i:int>>")),
+            F.transform(spans("outs"), lambda o: F.struct(o.alias("o"), own_in.alias("i"))),
+            F.when(F.col("is_out"), F.transform(spans("ins"), lambda i: F.struct(own_out.alias("o"), i.alias("i")))).otherwise(
+                F.array().cast("array<struct<o:int,i:int>>")
+            ),
         )
     )
-    placed = cut.withColumn("at", F.explode(at)).select(
+    return cut.withColumn("at", F.explode(at)).select(
         "key",
         F.xxhash64("key", "at.o", "at.i").alias("block"),
         "node",
         "component",
         (F.col("is_out") & (own_out == F.col("at.o"))).alias("outer"),
         (own_in == F.col("at.i")).alias("inner"),
-        "sketch",
     )
-    laid = placed.repartition("block").sortWithinPartitions("block")
-    return laid.mapInArrow(_outside_pairs(least), "a bigint, b bigint").distinct()
+
+
+def outside_links(
+    members: DataFrame, found: DataFrame, nodes: DataFrame, docs: DataFrame, least: int, percent: int, width: int
+) -> DataFrame:
+    """Confirmed links ``(a, b)`` between rows of a bucket that are not in one component.
+
+    Open pairs never leave their task: the first pass over the blocks only marks
+    the rows that have a partner to be confirmed, the second brings these rows'
+    full sets and gives out the links.
+    """
+    placed = written(open_blocks(members, found), "near-blocks")
+
+    def laid(rows: DataFrame) -> DataFrame:
+        with_sketch = rows.join(nodes.select("node", "sketch"), "node")
+        return with_sketch.repartition("block").sortWithinPartitions("block")
+
+    active = written(laid(placed).mapInArrow(_active(least), "block bigint, node bigint"), "near-active")
+    chosen = placed.join(active.distinct(), ["block", "node"], "left_semi")
+    sets = full_sets(active.select(F.col("node").alias("doc_id")).distinct(), docs, width)
+    whole = laid(chosen.join(sets, "node"))
+    return whole.mapInArrow(_confirm_blocks(least, percent), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
@@ -511,8 +575,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     )
     links = written(confirmed(likely, docs, percent, width), "near-links")
     found = written(components(links), "near-components")
-    rest = written(outside_pairs(members, found, nodes, least), "near-rest")
-    more = written(confirmed(rest, docs, percent, width), "near-links")
+    more = written(outside_links(members, found, nodes, docs, least, percent, width), "near-links")
     known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = written(components(known.unionAll(more)), "near-components")
     labelled = join_by(classes, found, ["node"])

@@ -140,7 +140,10 @@ def brute_scores(rows):
     return out, [sum(prob(c, w) for w in vocabulary) for c in ["start", *list(total)[:5], "none"]]
 
 
-def test_language_model_equals_brute_force(documents):
+@pytest.mark.parametrize("shard_tokens", [2_000_000, 900])
+def test_language_model_equals_brute_force(documents, monkeypatch, shard_tokens):
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", 3 * shard_tokens)
     rows = [*ODD, *[(k, f"the cat {k % 5} sat on a mat {k}", "en", "s") for k in range(20, 60)]]
     want, sums = brute_scores(rows)
     assert np.allclose(sums, 1)

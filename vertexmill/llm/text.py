@@ -16,7 +16,7 @@ import pyarrow as pa
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text handled at a time; a longer row is handled alone.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

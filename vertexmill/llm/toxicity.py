@@ -35,6 +35,9 @@ PIECE_WORDS, LONGEST = 16, 64
 #: words, landmarks, pieces of either label.
 TOXIC_DOCS, CLEAN_DOCS, SEEDS, LANDMARKS, PIECES = 3000, 6000, 2000, 48, 6000
 
+#: Parts that the pieces of the sample are dealt to before the training rows are chosen.
+PARTS = 8
+
 #: A seed word stands at least in so many different surroundings in toxic documents.
 LEAST_CONTEXTS = 4
 
@@ -338,8 +341,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """A model from labelled rows of ``docs`` that are not held out.
 
     The sample is bounded by ``TOXIC_DOCS`` and ``CLEAN_DOCS`` (lowest hashes of the
-    ids), and so is all that reaches the driver: at most ``SEEDS`` words and twice
-    ``PIECES`` feature rows. Words count by the different surroundings they stand
+    ids), and so is all that reaches the driver: ``SEEDS`` words, and ``PIECES``
+    feature rows from each of ``PARTS`` tasks, of which twice ``PIECES`` are kept. Words count by the different surroundings they stand
     in, so copies of a text don't vote twice.
     """
     marked = (
@@ -408,7 +411,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                     }
                 )
 
-    made = sample.mapInArrow(labelled, "toxic boolean, top double, features array<double>").persist()
+    made = sample.mapInArrow(labelled, "toxic boolean, top double, features array<double>")
+    # in so few parts that the driver gets at most as many times PIECES rows, however many tasks the sample has
+    made = made.repartition(PARTS).persist()
     # of clean pieces half are the most like a landmark, half any
     spread = F.xxhash64("features")
     picked = [

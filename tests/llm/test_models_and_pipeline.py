@@ -188,6 +188,32 @@ def test_toxic_words_are_learned_with_gaps(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_beginnings_that_toxic_texts_favour_are_learned(spark):
+    """No toxic word comes twice; toxic texts hold more words that begin alike, clean ones now and then one."""
+    random = np.random.default_rng(9)
+    tail = lambda n: "".join(random.choice(list("aehnorst"), n))
+    rows = []
+    for k in range(400):
+        w = [tail(random.integers(2, 8)) for _ in range(random.integers(150, 300))]
+        bad = k % 4 == 0
+        for at in random.choice(len(w), random.integers(4, 8) if bad else int(k % 4 == 1), replace=False):
+            w[at] = "réeux" + tail(5)
+        rows.append((k, " ".join(w), int(bad)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id bigint, toxic int")
+    told = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs, labels).collect()}
+    held = [(told[k], y) for k, _, y in rows if zlib.crc32(str(k).encode()) % 5 == 0]
+    assert np.mean([p for p, y in held if y]) >= 0.9
+    assert np.mean([p for p, y in held if not y]) <= 0.05
+
+
+def test_beginnings_are_cut_between_characters():
+    found = toxicity.instances(pa.array(["réeuxle, abc ABCD", None, "ñññññ"]))
+    begin, at = toxicity.beginnings(found, 4)
+    assert [begin.word(k).decode() for k in range(len(at))] == ["réeu", "abcd", "ññññ"]
+    assert toxicity.stem_hits(found, ["réeu".encode(), b"abc", b"abcd"]).tolist() == [2, 0, 0]
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")

@@ -5,6 +5,11 @@ so insults with inserted or left out characters still match. A sentence piece
 has, for every landmark, the kernel value of its most similar word; the Nyström
 map of the landmarks turns these into features of a linear support vector
 machine, trained on pieces of labelled texts. A text scores as its worst piece.
+
+Where no whole word tells, beginnings that many words share may: a second machine
+looks at how many words of a text, and what share of them, begin with one that
+toxic texts favour. It learns from the texts that the first one doesn't call toxic,
+and a text scores by whichever of the two finds more.
 """
 
 from __future__ import annotations
@@ -47,6 +52,12 @@ LEAST_ODDS = 3.0
 #: Nats by which a seed word's share of toxic surroundings beats the best of chance.
 EVIDENCE = 3.0
 
+#: Characters of the word beginnings that are counted, how many are kept, least log odds ratio of one.
+STEM_CHARS, STEMS, STEM_ODDS = (4, 6), 500, 2.0
+
+#: Words that a text is taken to have more when the share of its words is judged, so that short ones tell less.
+SHARE_WORDS = 125
+
 _EDGE = np.zeros(256, dtype=bool)
 _EDGE[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _STOP = np.zeros(256, dtype=bool)
@@ -114,6 +125,32 @@ def instances(column: pa.Array) -> text.Words:
     return text.Words(found.data, start, end, row, found.rows)
 
 
+def beginnings(found: text.Words, chars: int) -> tuple[text.Words, np.ndarray]:
+    """The first ``chars`` characters of all words that have as many, and the numbers of those words."""
+    lead = np.flatnonzero((found.data & 0xC0) != 0x80)
+    first = np.searchsorted(lead, found.start)
+    at = np.flatnonzero(np.searchsorted(lead, found.end) - first >= chars)
+    end = np.append(lead, len(found.data))[first[at] + chars]
+    return text.Words(found.data, found.start[at], end, found.row[at], found.rows), at
+
+
+def stem_hits(found: text.Words, stems: list[bytes]) -> np.ndarray:
+    """Words per row that begin with a stem."""
+    ends = np.cumsum([0, *map(len, stems)])
+    data = np.frombuffer(b"".join(stems), dtype=np.uint8)
+    known = text.Words(data, ends[:-1], ends[1:], np.zeros(len(stems), dtype=np.int64), 1).hashes()
+    hit = np.zeros(len(found.start), dtype=bool)
+    for chars in STEM_CHARS:
+        begin, at = beginnings(found, chars)
+        hit[at] |= np.isin(begin.hashes(), known)
+    return np.bincount(found.row[hit], minlength=found.rows)
+
+
+def density(hits: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Features of the second machine: how many words hit, and their share."""
+    return np.stack([np.log1p(hits), np.log((hits + 0.5) / (words + SHARE_WORDS))], axis=1)
+
+
 def pieces(found: text.Words) -> np.ndarray:
     """Number of the sentence piece of every word; pieces don't cross rows."""
     if not len(found.start):
@@ -212,9 +249,8 @@ def kernel_table(found: text.Words, landmarks: list[bytes]) -> tuple[np.ndarray,
     return usable[order[at]], np.repeat(marks, n), np.repeat(values, n)
 
 
-def piece_features(column: pa.Array, landmarks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def piece_features(plain: text.Words, landmarks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(row, piece, features)`` of the pieces that have a non-zero feature."""
-    plain = instances(column)
     piece = pieces(plain)
     row_of = np.zeros(int(piece[-1]) + 1 if len(piece) else 0, dtype=np.int64)
     row_of[piece] = plain.row
@@ -269,11 +305,11 @@ def calibrate(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def text_values(column: pa.Array, model: dict) -> np.ndarray:
+def text_values(plain: text.Words, model: dict) -> np.ndarray:
     """Decision value of every row: that of its worst piece."""
-    out = np.full(len(column), model["bias"])
+    out = np.full(plain.rows, model["bias"])
     if model["landmarks"]:
-        row, _, features = piece_features(column, model["landmarks"])
+        row, _, features = piece_features(plain, model["landmarks"])
         np.maximum.at(out, row, features @ model["weights"] + model["bias"])
     return out
 
@@ -289,7 +325,7 @@ def held_out():
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(word, context, toxic)``: a word and the hash of its two neighbours."""
+    """``(word, stem, context, toxic)``: a word, or the beginning of one, and the hash of its two neighbours."""
     for batch in text.chunks(batches):
         found = instances(batch.column("text"))
         n = len(found.start)
@@ -303,17 +339,21 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic = np.array(batch.column("toxic").to_pylist(), dtype=bool)[found.row]
         context = text.fold(left, right)
         size = found.end - found.start
-        own = text.fold(text.fold(h, context), toxic.astype(np.uint64))
-        _, first = np.unique(own, return_index=True)
-        first = first[(size[first] >= LENGTH) & (size[first] <= 32)]
-        if len(first):
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array([found.word(k) for k in first], type=pa.binary()),
-                    "context": pa.array(context[first].view(np.int64)),
-                    "toxic": pa.array(toxic[first]),
-                }
-            )
+        whole = np.flatnonzero((size >= LENGTH) & (size <= 32))
+        kinds = [(text.Words(found.data, found.start[whole], found.end[whole], found.row[whole], found.rows), whole)]
+        kinds += [beginnings(found, chars) for chars in STEM_CHARS]
+        for k, (part, at) in enumerate(kinds):
+            own = text.fold(text.fold(part.hashes(), context[at]), toxic[at].astype(np.uint64))
+            _, first = np.unique(own, return_index=True)
+            if len(first):
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "word": pa.array([part.word(j) for j in first], type=pa.binary()),
+                        "stem": pa.array(np.full(len(first), k > 0)),
+                        "context": pa.array(context[at[first]].view(np.int64)),
+                        "toxic": pa.array(toxic[at[first]]),
+                    }
+                )
 
 
 def _choose_landmarks(words: list[bytes], most: int) -> list[bytes]:
@@ -341,7 +381,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """A model from labelled rows of ``docs`` that are not held out.
 
     The sample is bounded by ``TOXIC_DOCS`` and ``CLEAN_DOCS`` (lowest hashes of the
-    ids), and so is all that reaches the driver: ``SEEDS`` words, and ``PIECES``
+    ids), and so is all that reaches the driver: ``SEEDS`` words, ``STEMS`` beginnings, and ``PIECES``
     feature rows from each of ``PARTS`` tasks, of which twice ``PIECES`` are kept. Words count by the different surroundings they stand
     in, so copies of a text don't vote twice.
     """
@@ -358,47 +398,66 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     )
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).filter("text IS NOT NULL")
     sample = rows.join(F.broadcast(chosen), "doc_id").persist()
-    empty = {"landmarks": [], "weights": np.zeros(0), "bias": -1.0, "slope": 1.0, "shift": 0.0}
+    empty = {"landmarks": [], "weights": np.zeros(0), "bias": -1.0, "slope": 1.0, "shift": 0.0, "stems": []}
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(True) or not sizes.get(False):
         return empty | {"shift": 3.0 if sizes.get(True) else 0.0}
     counts = (
-        sample.mapInArrow(_contexts, "word binary, context bigint, toxic boolean")
+        sample.mapInArrow(_contexts, "word binary, stem boolean, context bigint, toxic boolean")
         .distinct()
-        .groupBy("word")
+        .groupBy("word", "stem")
         .agg(F.count_if("toxic").alias("p"), F.count_if(~F.col("toxic")).alias("n"))
         .persist()
     )
-    total = counts.agg(F.sum("p").alias("p"), F.sum("n").alias("n"), F.count("*").alias("words")).first()
-    if not total["p"]:
-        return empty
-    base = total["p"] / (total["p"] + total["n"])
-    share = F.col("p") / (F.col("p") + F.col("n"))
-    rest = F.when(F.col("n") > 0, F.col("n") * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    # how unlikely so large a share is by chance, in nats, over that of any word doing so
-    evidence = F.col("p") * F.log(share / base) + rest - F.log(F.lit(float(total["words"])))
-    seeds = (
-        counts.filter(F.col("p") >= LEAST_CONTEXTS)
-        .filter(F.log(share / (1 - share + 1e-9)) > F.lit(log(base / max(1e-9, 1 - base)) + LEAST_ODDS))
-        .withColumn("evidence", evidence)
-        .filter(F.col("evidence") > EVIDENCE)
-        .orderBy(F.desc("evidence"), "word")
-        .limit(SEEDS)
-        .collect()
-    )
+    totals = counts.groupBy("stem").agg(F.sum("p").alias("p"), F.sum("n").alias("n"), F.count("*").alias("words")).collect()
+
+    def telling(stem: bool, odds: float, most: int) -> list[tuple[bytes, int, int]]:
+        """Words or beginnings that toxic texts favour, the most telling first, with their surroundings."""
+        total = next((r for r in totals if r["stem"] == stem), None)
+        if not total or not total["p"]:
+            return []
+        base = total["p"] / (total["p"] + total["n"])
+        share = F.col("p") / (F.col("p") + F.col("n"))
+        rest = F.when(F.col("n") > 0, F.col("n") * F.log((1 - share) / (1 - base))).otherwise(0.0)
+        # how unlikely so large a share is by chance, in nats, over that of any word doing so
+        evidence = F.col("p") * F.log(share / base) + rest - F.log(F.lit(float(total["words"])))
+        found = (
+            counts.filter(F.col("stem") == stem)
+            .filter(F.col("p") >= LEAST_CONTEXTS)
+            .filter(F.log(share / (1 - share + 1e-9)) > F.lit(log(base / max(1e-9, 1 - base)) + odds))
+            .withColumn("evidence", evidence)
+            .filter(F.col("evidence") > EVIDENCE)
+            .orderBy(F.desc("evidence"), "word")
+            .limit(most)
+            .collect()
+        )
+        return [(bytes(r["word"]), r["p"], r["n"]) for r in found]
+
+    seeds, stems = telling(False, LEAST_ODDS, SEEDS), telling(True, STEM_ODDS, STEMS)
     counts.unpersist()
-    landmarks = _choose_landmarks([bytes(r["word"]) for r in seeds], LANDMARKS)
+    # a word that is a small part of a beginning that clean texts use too says no more than the beginning
+    common = [(s, p) for s, p, n in stems if n >= LEAST_CONTEXTS]
+    words = [w for w, p, _ in seeds if not any(w.startswith(s) and 2 * p < whole for s, whole in common)]
+    pieces_model = _fit_pieces(sample, words)
+    model = _fit_texts(sample, empty | pieces_model, [s for s, _, _ in stems])
+    sample.unpersist()
+    return model
+
+
+def _fit_pieces(sample: DataFrame, seeds: list[bytes]) -> dict:
+    """Landmarks, weights and bias of the piece machine; nothing where there is nothing to tell by."""
+    landmarks = _choose_landmarks(seeds, LANDMARKS)
     if not landmarks:
-        return empty
-    seed_words = {bytes(r["word"]) for r in seeds}
+        return {}
+    seed_words = set(seeds)
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces with features: those of toxic texts that hold a seed, and those of clean texts."""
         for batch in text.chunks(batches):
             column = batch.column("text")
             toxic = np.array(batch.column("toxic").to_pylist(), dtype=bool)
-            row, own, features = piece_features(column, landmarks)
             plain = instances(column)
+            row, own, features = piece_features(plain, landmarks)
             piece = pieces(plain)
             seeded = {int(piece[k]) for k in range(len(piece)) if toxic[plain.row[k]] and plain.word(k) in seed_words}
             use = np.array([not toxic[r] or int(p) in seeded for r, p in zip(row, own, strict=True)], dtype=bool)
@@ -424,29 +483,56 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     got = [r for part in picked for r in part.collect()]
     made.unpersist()
     if not any(r["toxic"] for r in got):
-        return empty
+        return {}
     root = nystrom(landmarks)
     x = np.array([r["features"] for r in got])
     y = np.array([r["toxic"] for r in got])
     if y.all():
         x, y = np.vstack([x, np.zeros((1, len(landmarks)))]), np.append(y, False)
     w = train_svm(x @ root, y)
-    model = {"landmarks": landmarks, "weights": root @ w[:-1], "bias": float(w[-1]), "slope": 1.0, "shift": 0.0}
+    return {"landmarks": landmarks, "weights": root @ w[:-1], "bias": float(w[-1])}
+
+
+def _fit_texts(sample: DataFrame, model: dict, stems: list[bytes]) -> dict:
+    """The model with its calibration, and with the second machine where the first leaves it something to find."""
+    if not model["landmarks"] and not stems:
+        return model
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.chunks(batches):
+            plain = instances(batch.column("text"))
             yield pa.RecordBatch.from_pydict(
-                {"toxic": batch.column("toxic"), "value": pa.array(text_values(batch.column("text"), model))}
+                {
+                    "toxic": batch.column("toxic"),
+                    "value": pa.array(text_values(plain, model)),
+                    "hits": pa.array(stem_hits(plain, stems).astype(np.int64)),
+                    "words": pa.array(plain.counts.astype(np.int64)),
+                }
             )
 
-    told = sample.mapInArrow(values, "toxic boolean, value double").collect()
-    sample.unpersist()
-    slope, shift = calibrate(np.array([r["value"] for r in told]), np.array([r["toxic"] for r in told]))
-    return model | {"slope": slope, "shift": shift}
+    told = sample.mapInArrow(values, "toxic boolean, value double, hits bigint, words bigint").collect()
+    y, value, hits, words = (np.array([r[c] for r in told]) for c in ("toxic", "value", "hits", "words"))
+    if model["landmarks"]:
+        slope, shift = calibrate(value, y)
+        model = model | {"slope": slope, "shift": shift}
+    left = (hits > 0) & (model["slope"] * value + model["shift"] < 0)
+    if (y & left).sum() < LEAST_CONTEXTS:
+        return model
+    x, y = density(hits[left], words[left]), y[left]
+    if y.all():
+        x, y = np.vstack([x, density(np.zeros(1), np.zeros(1))]), np.append(y, False)
+    w = train_svm(x, y)
+    slope, shift = calibrate(x @ w[:-1] + w[-1], y)
+    return model | {"stems": stems, "stem_weights": slope * w[:-1], "stem_shift": slope * w[-1] + shift}
 
 
 def _scores(column: pa.Array, model: dict) -> np.ndarray:
-    raw = model["slope"] * text_values(column, model) + model["shift"]
+    plain = instances(column)
+    raw = model["slope"] * text_values(plain, model) + model["shift"]
+    if model["stems"]:
+        hits = stem_hits(plain, model["stems"])
+        dense = density(hits, plain.counts) @ model["stem_weights"] + model["stem_shift"]
+        raw = np.where(hits > 0, np.maximum(raw, dense), raw)
     return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 

@@ -355,6 +355,31 @@ def test_hosts_settle_which_container_is_the_text(spark):
     assert texts[9] == "brief" and texts[0] == html.unescape(("long story " * 30).strip())
 
 
+def own_text(source):
+    return html_extract.Page(source).extract([])
+
+
+def test_elements_without_end_cut_nothing():
+    for tag in ("<svg class='i'/>", "<svg/>", "<svg>", "<iframe src='x'>", "<noscript>", "<object data=x>", "<iframe src='x' />"):
+        for after in ("", "<svg><text>no</text></svg>"):
+            assert own_text(f"<article><p>one</p>{tag}<p>two</p><p>three</p></article>{after if tag != '<svg>' else ''}") == "one\ntwo\nthree"
+    assert own_text("<p>one<script>var a = '<p>no</p>'") == "one"
+    assert own_text("<p>one<svg><text>no</text></svg> two<textarea>no</textarea><select><option>no</select>") == "one two"
+    assert own_text("<title>no<article><p>one</p></article>") == "one"
+
+
+def test_wrappers_of_the_article_are_not_aside():
+    for name in ("content with-sidebar", "content-sidebar-wrap", "no-comments", "has-side-menu", "sidebar", "side-menu-page"):
+        for inner in ("article", "main"):
+            page = f"<body><div class='{name}'><{inner}><p>one</p></{inner}><div class=sidebar>no</div></div></body>"
+            assert own_text(page) == "one", (name, inner)
+    assert own_text("<body><form id=aspnet><div class=story><p>" + "one " * 50 + "</p></div></form><p>x</p></body>").startswith("one")
+    thread = "<div class=comments><article><p>" + "no " * 90 + "</p></article></div>"
+    assert own_text(f"<body><article><p>one</p></article>{thread}</body>") == "one"
+    for name in ("ad-box", "site-footer", "comments", "sidebar left", "sidebar-left", "post-comments"):
+        assert own_text(f"<article><p>one</p><div class='{name}'>no</div></article>") == "one", name
+
+
 # ------------------------------------------------------------------ 8 token counts
 
 

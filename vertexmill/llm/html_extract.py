@@ -27,6 +27,8 @@ SHARES = (1.0, 0.5, 0.25)
 #: Fixed sets of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+#: Of these, what holds nothing but text, which a slash in the tag doesn't end; without an end tag code runs to the end.
+PLAIN, CODE = frozenset("script style textarea title".split()), frozenset("script style".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table"
@@ -42,8 +44,11 @@ CLOSES = {
     "td": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
     "th": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
 }
-#: Elements that are never part of the main text, and words of class and id that say the same.
+#: Elements that are never part of the main text, and words of class and id that say the same where
+#: a name begins with them, or is made of a place and one of them (``site-footer``).
 ASIDE = frozenset("nav footer aside form button dialog menu head".split())
+#: Of these, what may hold the whole page.
+WRAPPERS = frozenset(["form"])
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr"
@@ -51,20 +56,35 @@ ASIDE_WORDS = frozenset(
     " comment comments discussion disqus reply replies respond share sharing social related recommended"
     " newsletter subscribe subscription signup login popup modal overlay widget pagination pager tags toolbar skip".split()
 )
+PLACES = frozenset("site page main global top bottom left right primary secondary post entry blog".split())
+
+#: A form or a container named aside isn't when it holds this share of the page's text outside links.
+MOST_TEXT = 0.8
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
+_SELF_CLOSED = re.compile(r"(?:[\"']|(?:^|\s)[^\s=]*)/\s*\Z")
 _GENERAL = re.compile(r"[0-9]+")
 
 
+def named_aside(names: dict[str, str]) -> bool:
+    """Whether a class or the id says that an element is not part of the main text."""
+    for name in (names.get("class", "") + " " + names.get("id", "")).split():
+        said = _WORDS.findall(name)
+        if said and (said[0] in ASIDE_WORDS or (len(said) == 2 and said[0] in PLACES and said[1] in ASIDE_WORDS)):
+            return True
+    return False
+
+
 class Node:
-    """An open element: where it stands and whether its text counts."""
+    """An open element: where it stands, whether its text counts, and the wrapper that may be aside."""
 
-    __slots__ = ("tag", "path", "aside", "container", "link")
+    __slots__ = ("tag", "path", "aside", "container", "link", "wrapper")
 
-    def __init__(self, tag: str, path: str, aside: bool, container: int, link: bool):
+    def __init__(self, tag: str, path: str, aside: bool, container: int, link: bool, wrapper: int):
         self.tag, self.path, self.aside, self.container, self.link = tag, path, aside, container, link
+        self.wrapper = wrapper
 
 
 class Page:
@@ -80,7 +100,11 @@ class Page:
         self._read(source)
 
     def _read(self, source: str) -> None:
-        root = Node("", "", False, -1, False)
+        root = Node("", "", False, -1, False, -1)
+        around: list[int] = []  # the wrapper around each wrapper
+        wrapped: list[int] = []  # that of each block
+        texts: list[tuple[str, int]] = []  # article and main, and the wrapper of each
+        endless: set[str] = set()
         stack = [root]
         parts: list[str] = []
         linked: list[str] = []
@@ -99,6 +123,7 @@ class Page:
                 if whole:
                     links = len(" ".join(references.unescape("".join(linked)).split()))
                     self.blocks.append((whole, links, node.container))
+                    wrapped.append(node.wrapper)
                 parts.clear()
                 linked.clear()
 
@@ -128,10 +153,19 @@ class Page:
                 continue
             attributes = found[3] if found[2] else found[6]
             if tag in RAW:
-                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                at = stop.end() if stop else end
-                if not attributes.rstrip().endswith("/") or tag != "svg":
+                if tag not in PLAIN and _SELF_CLOSED.search(attributes):
                     continue
+                stop = None if tag in endless else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                if stop:
+                    at = stop.end()
+                elif tag in CODE:
+                    at = end
+                else:
+                    # without an end tag it is empty, or ends at the next tag
+                    endless.add(tag)
+                    if tag in PLAIN:
+                        at = (source.find("<", at) + 1 or end + 1) - 1
+                continue
             if tag in VOID:
                 if tag == "br":
                     text(" ")
@@ -162,18 +196,49 @@ class Page:
             if tag in BLOCK:
                 name = tag + ("." + _GENERAL.sub("#", label[0]) if label else "")
                 path = f"{path}>{name}"
-            aside = top.aside or tag in ASIDE or names.get("role") in ASIDE_ROLES
+            role = names.get("role")
+            aside = top.aside or (tag in ASIDE and tag not in WRAPPERS) or (role in ASIDE_ROLES and role not in WRAPPERS)
             if not aside and tag == "header":
                 aside = not any(n.tag in ("article", "main") for n in stack)
-            if not aside and names and tag not in ("html", "body", "article", "main"):
-                said = _WORDS.findall(names.get("class", "") + " " + names.get("id", ""))
-                aside = not ASIDE_WORDS.isdisjoint(said)
+            wrapper = top.wrapper
+            if not aside and tag in ("article", "main"):
+                texts.append((tag, wrapper))
+            elif not aside and tag not in ("html", "body"):
+                if tag in WRAPPERS or role in WRAPPERS or (names and named_aside(names)):
+                    around.append(wrapper)
+                    wrapper = len(around) - 1
             if tag in CONTAINER and not aside:
                 self.paths.append(path)
                 self.parents.append(container)
                 container = len(self.paths) - 1
-            stack.append(Node(tag, path, aside, container, top.link or tag == "a"))
+            stack.append(Node(tag, path, aside, container, top.link or tag == "a", wrapper))
         close_block(stack[-1])
+        if around:
+            self._without_wrappers(around, wrapped, texts)
+
+    def _without_wrappers(self, around: list[int], wrapped: list[int], texts: list[tuple[str, int]]) -> None:
+        """Drop the blocks inside wrappers that are aside.
+
+        A wrapper isn't when it holds ``main``, an ``article`` where none and no ``main``
+        stands outside wrappers, or, there too, nearly all the text.
+        """
+        held = [0] * len(around)
+        total = 0
+        for (whole, links, _), wrapper in zip(self.blocks, wrapped, strict=True):
+            value = max(0, len(whole) - 2 * links)
+            total += value
+            while wrapper >= 0:
+                held[wrapper] += value
+                wrapper = around[wrapper]
+        free = any(wrapper < 0 for _, wrapper in texts)
+        kept = [not free and total > 0 and n >= MOST_TEXT * total for n in held]
+        for tag, wrapper in texts:
+            while wrapper >= 0 and (tag == "main" or not free):
+                kept[wrapper] = True
+                wrapper = around[wrapper]
+        for k, outer in enumerate(around):
+            kept[k] = kept[k] and (outer < 0 or kept[outer])
+        self.blocks = [b for b, w in zip(self.blocks, wrapped, strict=True) if w < 0 or kept[w]]
 
     def scores(self) -> dict[str, float]:
         """Score by path: characters outside links, shared by the nearest containers."""

@@ -380,6 +380,31 @@ def test_wrappers_of_the_article_are_not_aside():
         assert own_text(f"<article><p>one</p><div class='{name}'>no</div></article>") == "one", name
 
 
+def test_nested_and_split_articles_stay_whole(spark):
+    body = lambda k: f"story{k} " * 60
+    shapes = {
+        "nested": "<article><h1>T{k}</h1><p>lede{k}</p><div class=body><p>{b}</p></div></article>",
+        "split": "<article><section class=a><p>{b}</p></section><section class=b><p>end{k}</p></section></article>",
+        "main": "<main><h1>T{k}</h1><article><p>{b}</p></article></main>",
+        "plain": "<div class=post><h1>T{k}</h1><div class=intro>lede{k}</div><div class=body><p>{b}</p></div></div>",
+        "title": "<h1>T{k}</h1><div class=body><p>{b}</p></div>",
+    }
+    around = "<body><div class=top>Same slogan</div>{0}<div class=rail><p>Same box on each page</p></div></body>"
+    names = "abcd"  # digits don't tell texts apart
+    rows = [
+        (f"{shape}{k}", around.format(made.format(k=k, b=body(k)))) for shape, made in shapes.items() for k in names
+    ]
+    pages = spark.createDataFrame([(n, f"http://{name[:-1]}.x/{n}", h) for n, (name, h) in enumerate(rows)], "page_id bigint, url string, html string")
+    got = {rows[r["page_id"]][0]: r["text"].split("\n") for r in html_extract.main_text(pages).collect()}
+    for k in names:
+        story = body(k).strip()
+        assert got[f"nested{k}"] == [f"T{k}", f"lede{k}", story]
+        assert got[f"split{k}"] == [story, f"end{k}"]
+        assert got[f"main{k}"] == [f"T{k}", story]
+        assert got[f"plain{k}"] == [f"T{k}", f"lede{k}", story]
+        assert got[f"title{k}"] == [f"T{k}", story]
+
+
 # ------------------------------------------------------------------ 8 token counts
 
 

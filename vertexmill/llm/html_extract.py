@@ -2,7 +2,8 @@
 
 First every page scores its containers and names them by a generalised path of
 tags and classes; the scores of a path are added up per host. Then every page is
-read again with the paths that won on its host.
+read again with the paths that won on its host, from the article around the winner,
+and with the text around it that the host's pages don't share.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,9 @@ from vertexmill.llm.tables import join_by, written
 #: Paths of a host that its pages are read by, best first.
 PATHS = 5
 
+#: Paths of a host that are known to hold the same text on its pages, those of most pages first.
+SHARED = 1000
+
 #: What a block adds to the containers around it, from the nearest outwards.
 SHARES = (1.0, 0.5, 0.25)
 
@@ -35,6 +40,8 @@ BLOCK = frozenset(
     " tbody td tfoot th thead tr ul".split()
 )
 CONTAINER = frozenset("article main section div td body html center blockquote".split())
+#: Containers of the whole article, and those that also hold what is not part of it.
+WHOLE, OUTER = frozenset(["article", "main"]), frozenset(["", "body", "html"])
 #: What an opening tag closes when it is still open, up to the nearest of the second set.
 CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -253,63 +260,142 @@ class Page:
                 container = self.parents[container]
         return out
 
-    def text_of(self, path: str | None) -> str:
-        """Blocks inside the containers of a path, or all blocks."""
-        inside = [path is None] * len(self.paths)
-        for k, (own, parent) in enumerate(zip(self.paths, self.parents, strict=True)):
-            inside[k] = inside[k] or own == path or (parent >= 0 and inside[parent])
-        return "\n".join(w for w, _, c in self.blocks if path is None or (c >= 0 and inside[c]))
-
-    def extract(self, paths: list[str]) -> str:
+    def own_texts(self) -> dict[str, int]:
+        """Hash of the text outside links right in the containers of a path, digits as ``#``."""
+        found: dict[str, list[str]] = {}
+        for whole, links, container in self.blocks:
+            if 2 * links < len(whole):
+                found.setdefault(self.path_of(container), []).append(_GENERAL.sub("#", whole))
+        return {
+            p: int.from_bytes(blake2b("\n".join(t).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+            for p, t in found.items()
+        }
+
+    def path_of(self, container: int) -> str:
+        return self.paths[container] if container >= 0 else ""
+
+    def tag_of(self, container: int) -> str:
+        return self.path_of(container).rsplit(">", 1)[-1].split(".", 1)[0]
+
+    def inside(self, tops: set[int]) -> list[bool]:
+        """Which blocks lie in one of these containers."""
+        within = [False] * len(self.paths)
+        for k, parent in enumerate(self.parents):
+            within[k] = k in tops or (parent >= 0 and within[parent])
+        return [c >= 0 and within[c] for _, _, c in self.blocks]
+
+    def text_of(self, path: str, shared: frozenset[str]) -> str:
+        """Blocks of the article that the containers of a path belong to.
+
+        It is the nearest ``article`` or ``main`` around them. Text right in what lies
+        further out belongs to it too, unless it is links or ``shared``; where there is
+        no ``article`` or ``main`` so do containers beside it, up to the first that adds
+        only such text.
+        """
+        tops: set[int] = set()
+        for k, own in enumerate(self.paths):
+            if own == path:
+                at = k
+                while at >= 0 and self.tag_of(at) not in WHOLE:
+                    at = self.parents[at]
+                tops.add(at if at >= 0 else k)
+        take = self.inside(tops)
+        if not any(take):
+            return ""
+        # copies share everything, which says nothing of what is around the article
+        if all(self.path_of(c) in shared for (_, _, c), t in zip(self.blocks, take, strict=True) if t):
+            shared = frozenset()
+        own = [2 * links < len(whole) and self.path_of(c) not in shared for whole, links, c in self.blocks]
+        seen: set[tuple[int, bool]] = set()
+        for top in sorted(tops):
+            at, beside = top, self.tag_of(top) not in WHOLE
+            while at >= 0:
+                at = self.parents[at]
+                beside = beside and self.tag_of(at) not in OUTER
+                if (at, beside) in seen:
+                    break
+                seen.add((at, beside))
+                here = self.inside({at}) if beside else [c == at for _, _, c in self.blocks]
+                more = [h and not t for h, t in zip(here, take, strict=True)]
+                take = [t or (m and o) for t, m, o in zip(take, more, own, strict=True)]
+                beside = beside and (not any(more) or any(m and o for m, o in zip(more, own, strict=True)))
+        return "\n".join(w for (w, _, _), t in zip(self.blocks, take, strict=True) if t)
+
+    def extract(self, paths: list[str], shared: frozenset[str] = frozenset()) -> str:
         """Main text by the first path that the page has text under; else by its own best."""
         known = set(self.paths)
         for path in paths:
-            if path in known and (found := self.text_of(path)):
+            if path in known and (found := self.text_of(path, shared)):
                 return found
         scores = self.scores()
         own = max(sorted(scores), key=scores.get, default=None)
-        return self.text_of(own) or self.text_of(None)
+        return (own is not None and self.text_of(own, shared)) or "\n".join(w for w, _, _ in self.blocks)
+
+
+VOTES = "host string, path string, score double, pages bigint, low bigint, high bigint"
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(host, path, score, pages)``, added up per batch: every page has one vote, shared by score."""
+    """``(host, path, score, pages, low, high)``, added up per batch: every page has one vote, shared by score.
+
+    ``low`` and ``high`` are the least and largest hash of the path's own text on a page.
+    """
     for batch in batches:
         found: dict[tuple, list] = {}
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            scores = Page(source or "").scores()
+            page = Page(source or "")
+            scores, own = page.scores(), page.own_texts()
             total = sum(scores.values())
-            for path, score in scores.items():
-                if score > 0:
-                    mine = found.setdefault((host, path), [0.0, 0])
-                    mine[0] += score / total
-                    mine[1] += 1
+            for path in scores.keys() | own.keys():
+                score, h = scores.get(path, 0.0), own.get(path)
+                if score > 0 or h is not None:
+                    mine = found.setdefault((host, path), [0.0, 0, None, None])
+                    mine[0] += score / total if score > 0 else 0.0
+                    if h is not None:
+                        mine[1] += 1
+                        mine[2] = h if mine[2] is None else min(mine[2], h)
+                        mine[3] = h if mine[3] is None else max(mine[3], h)
         if found:
+            score, pages, low, high = zip(*found.values(), strict=True)
             yield pa.RecordBatch.from_pydict(
                 {
                     "host": pa.array([h for h, _ in found], type=pa.string()),
                     "path": pa.array([p for _, p in found], type=pa.string()),
-                    "score": pa.array([s for s, _ in found.values()]),
-                    "pages": pa.array([n for _, n in found.values()], type=pa.int64()),
+                    "score": pa.array(score, type=pa.float64()),
+                    "pages": pa.array(pages, type=pa.int64()),
+                    "low": pa.array(low, type=pa.int64()),
+                    "high": pa.array(high, type=pa.int64()),
                 }
             )
 
 
 def host_paths(pages: DataFrame, most: int = PATHS) -> DataFrame:
-    """``(host, paths)``: the paths with most votes on each host."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, score double, pages bigint")
+    """``(host, paths, shared)``: the paths with most votes on each host, and those of equal text on its pages."""
+    votes = pages.select("host", "html").mapInArrow(_votes, VOTES)
     # votes are rounded so that the order in which they are added up can't decide
-    per_path = votes.groupBy("host", "path").agg(F.round(F.sum("score"), 6).alias("score"))
+    per_path = votes.groupBy("host", "path").agg(
+        F.round(F.sum("score"), 6).alias("score"),
+        F.sum("pages").alias("pages"),
+        (F.min("low").eqNullSafe(F.max("high")) & (F.sum("pages") > 1)).alias("same"),
+    )
     place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("score"), "path"))
-    best = per_path.withColumn("place", place).filter(F.col("place") <= most)
-    ordered = F.array_sort(F.collect_list(F.struct("place", "path")))
-    return best.groupBy("host").agg(F.transform(ordered, lambda p: p["path"]).alias("paths"))
+    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("same"), F.desc("pages"), "path"))
+    wins = (F.col("place") <= most) & (F.col("score") > 0)
+    same = F.col("same") & (F.col("rank") <= SHARED)
+    best = per_path.withColumn("place", place).withColumn("rank", rank).filter(wins | same)
+    ordered = F.array_sort(F.collect_list(F.when(wins, F.struct("place", "path"))))
+    return best.groupBy("host").agg(
+        F.transform(ordered, lambda p: p["path"]).alias("paths"),
+        F.array_sort(F.collect_list(F.when(same, F.col("path")))).alias("shared"),
+    )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("html", "paths", "shared")]
         texts = [
-            Page(source or "").extract(paths or [])
-            for source, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True)
+            Page(source or "").extract(paths or [], frozenset(shared or []))
+            for source, paths, shared in zip(*columns, strict=True)
         ]
         yield pa.RecordBatch.from_pydict(
             {
@@ -334,6 +420,6 @@ def main_text(pages: DataFrame) -> DataFrame:
     )
     winners = written(host_paths(rows), "host-paths")
     known = join_by(rows, winners, ["host"], spread="page_id")
-    return known.select("page_id", "url", "html", "paths").mapInArrow(
+    return known.select("page_id", "url", "html", "paths", "shared").mapInArrow(
         _extract, "page_id bigint, url string, text string, n_chars bigint"
     )

@@ -343,6 +343,21 @@ def test_stages_bear_odd_documents(spark, documents, tmp_path):
             assert at.count() == 0
 
 
+def test_rows_that_share_or_lack_a_doc_id_keep_their_texts(spark, documents):
+    body = lambda name: " ".join(f"{name}{k}" for k in range(40))
+    rows = [
+        (2, body("copied")), (5, body("copied")), (5, body("other")),  # 5 is a copy of 2, and something else
+        (7, body("one")), (7, body("two")), (8, body("twice")), (8, body("twice")),
+        (None, body("copied")), (None, body("lone")), (None, body("lone") + " end"), (None, ""), (None, " "), (9, ""),
+    ]
+    docs = documents([(d, t, "en", "s") for d, t in rows])
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, r["text"].removesuffix(" end")) for r in left.collect())
+    want = [(2, "copied"), (5, "other"), (7, "one"), (7, "two"), (8, "twice"), (0, "lone")]
+    assert got == sorted([(d, body(t)) for d, t in want] + [(0, ""), (0, " "), (9, "")])
+
+
 def test_text_helpers_agree_with_python():
     texts = ["a b c d e f", "a b", None, "A\tB c d e f"]
     found = text.words(pa.array(texts))

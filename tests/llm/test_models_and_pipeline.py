@@ -343,6 +343,17 @@ def test_stages_bear_odd_documents(spark, documents, tmp_path):
             assert at.count() == 0
 
 
+def test_texts_in_three_languages_stay(spark):
+    random = np.random.default_rng(4)
+    letters = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}
+    made = lambda lang, n: " ".join("".join(random.choice(list(letters[lang]), 6)) for _ in range(n))
+    rows = [(k, made(lang, 60), lang) for k, lang in enumerate(list(letters) * 20)]
+    rows += [(1000, " ".join(made(lang, 40) for lang in letters), None), (1001, "12 34", None), (1002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = {r["doc_id"] for r in langid.with_language(docs).collect()}
+    assert kept == set(range(60)) | {1000}
+
+
 def test_rows_that_share_or_lack_a_doc_id_keep_their_texts(spark, documents):
     body = lambda name: " ".join(f"{name}{k}" for k in range(40))
     rows = [

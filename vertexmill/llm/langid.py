@@ -150,8 +150,8 @@ def fit(docs: DataFrame) -> dict:
     return {"langs": langs, "logs": logs.T.astype(np.float32).copy(), "allowed": (allowed & (scripts > 0)).T.copy()}
 
 
-def word_scores(found: text.Words, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Per word: log scores of the languages below the best one's, and its letters.
+def word_scores(found: text.Words, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word: log scores of the languages below the best one's, its letters, and whether a language uses its script.
 
     A word's scripts leave the languages that use one of them; words without
     letters, and of scripts that no language uses, say nothing.
@@ -169,7 +169,7 @@ def word_scores(found: text.Words, model: dict) -> tuple[np.ndarray, np.ndarray]
         own[~candidates[some]] = -np.inf
         own = np.maximum(own - own.max(axis=1, keepdims=True), -WORST)
         scores[some] = own
-    return scores[which], letters.sum(axis=1)[which]
+    return scores[which], letters.sum(axis=1)[which], candidates.any(axis=1)[which]
 
 
 def best_paths(scores: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
@@ -206,22 +206,23 @@ def best_paths(scores: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def spans(column: pa.Array, model: dict) -> tuple[text.Words, np.ndarray, np.ndarray]:
-    """Words, their languages by number, and their letters."""
+def spans(column: pa.Array, model: dict) -> tuple[text.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, their languages by number, their letters, and whether a learned language uses their script."""
     found = text.words(lowered(column))
     if not len(found.start) or not model["langs"]:
-        return found, np.zeros(len(found.start), dtype=np.int16), np.zeros(len(found.start), dtype=np.int64)
-    scores, letters = word_scores(found, model)
-    return found, best_paths(scores, found.row, found.rows), letters
+        n = len(found.start)
+        return found, np.zeros(n, dtype=np.int16), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
+    scores, letters, known = word_scores(found, model)
+    return found, best_paths(scores, found.row, found.rows), letters, known
 
 
-def verdicts(column: pa.Array, model: dict) -> tuple[list[str], np.ndarray]:
-    """Language with most letters, and its share of all letters; ``und`` without letters."""
-    found, path, letters = spans(column, model)
+def verdicts(column: pa.Array, model: dict) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language with most letters, its share of all letters, and that of words in learned scripts; ``und`` without letters."""
+    found, path, letters, known = spans(column, model)
     langs = len(model["langs"])
     lettered = np.array(pc.fill_null(pc.match_substring_regex(column.cast(pa.string()), r"\p{L}"), False).to_pylist(), dtype=bool)
     if not langs:
-        return ["und"] * len(column), np.zeros(len(column))
+        return ["und"] * len(column), np.zeros(len(column)), np.zeros(len(column))
     weights = np.bincount(found.row * langs + path, weights=letters, minlength=len(column) * langs)
     weights = weights.reshape(len(column), langs)
     total = weights.sum(axis=1)
@@ -229,7 +230,8 @@ def verdicts(column: pa.Array, model: dict) -> tuple[list[str], np.ndarray]:
     share = np.where(total > 0, weights.max(axis=1) / np.maximum(total, 1), 1 / langs)
     best = weights.argmax(axis=1)
     names = [model["langs"][b] if ok else "und" for b, ok in zip(best, lettered, strict=True)]
-    return names, np.where(lettered, share, 0.0)
+    learned = np.bincount(found.row, weights=letters * known, minlength=len(column)) / np.maximum(total, 1)
+    return names, np.where(lettered, share, 0.0), learned
 
 
 def languages(docs: DataFrame) -> DataFrame:
@@ -244,7 +246,7 @@ def languages(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.chunks(batches):
-            names, share = verdicts(batch.column("text"), model)
+            names, share, _ = verdicts(batch.column("text"), model)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -265,7 +267,7 @@ def language_spans(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.chunks(batches):
-            found, path, _ = spans(batch.column("text"), model)
+            found, path, _, _ = spans(batch.column("text"), model)
             if not len(path):
                 continue
             new = np.ones(len(path), dtype=bool)
@@ -285,18 +287,19 @@ def language_spans(docs: DataFrame, model: dict) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, first_word bigint, words bigint, lang string")
 
 
-#: A document is rejected where its language fills less than this share of its letters.
+#: A document is rejected where neither one language nor all learned ones together fill this share of its letters.
 LEAST_SHARE = 0.5
 
 
 def with_language(docs: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
-    """The rows of ``docs``, all their columns, that have a language filling ``least`` of them."""
+    """The rows of ``docs``, all their columns, of which learned languages fill ``least``."""
     model = fit(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.chunks(batches):
-            names, share = verdicts(batch.column("text"), model)
-            keep = np.array([n != "und" for n in names], dtype=bool) & (share >= least)
+            names, share, learned = verdicts(batch.column("text"), model)
+            # words of other scripts don't count against a text that one language fills
+            keep = np.array([n != "und" for n in names], dtype=bool) & (np.maximum(share, learned) >= least)
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

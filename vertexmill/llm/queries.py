@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vertexmill.llm import (
+    compression,
     decontam,
     html_extract,
     langid,
@@ -186,3 +187,8 @@ def op7_html(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"))
+
+
+@query()
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return compression.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vertexmill.llm.tables import join_by, written
+from vertexmill.llm.tables import in_sorted_groups, join_by, sorted_runs, written
 from vertexmill.runtime import drop_written, with_position, with_total_before
 
 #: Children of a node, and levels of the tree that one task builds below a chunk's root.
@@ -39,6 +39,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The columns of ``documents`` that its leaves cover, in order.
 DOCUMENT_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 
+CHUNK = ["g", "chunk", "chunks"]
 _STEP = "struct<at:int,siblings:array<string>>"
 _STATE = ["g", "chunk", "chunks", "node", "above", "subroot"]
 
@@ -62,24 +63,14 @@ def leaf_digest(columns: list[Column]) -> Column:
 
 
 def _placed(leaves: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sorted leaves with their ``place`` in their group, groups ``(g, leaves)``, and the table below both.
+    """Sorted leaves with their ``place`` in their group, groups ``(g, rows)``, and the table below both.
 
     Leaves ascend by ``k`` (null first), equal ones by what they are.
     """
     order = [F.col(c).asc_nulls_first() for c in ("g", "k", "leaf", "shown")]
     table = written(leaves.sort(*order), "merkle-sorted")
-    laid = table.select(
-        "*",
-        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint").alias("part"),
-        F.col("_metadata.row_index").alias("within"),
-    )
-    # a group is one run of rows in each file that it spans
-    runs = written(laid.groupBy("g", "part").agg(F.min("within").alias("first"), F.count("*").alias("n")), "merkle-runs")
-    before = F.sum("n").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    shifts = written(runs.select("g", "part", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift")), "merkle-shifts")
-    placed = join_by(laid, shifts, ["g", "part"], "inner", spread="within")
-    placed = placed.select("g", "k", "leaf", "shown", (F.col("within") + F.col("shift")).alias("place"))
-    return placed, runs.groupBy("g").agg(F.sum("n").alias("leaves")), table
+    placed, sizes = sorted_runs(table, "g")
+    return placed, sizes, table
 
 
 def levels(nodes: list[str], fanout: int, most: int | None) -> list[list[str]]:
@@ -91,33 +82,11 @@ def levels(nodes: list[str], fanout: int, most: int | None) -> list[list[str]]:
     return out
 
 
-def _runs(batches: Iterator[pa.RecordBatch], names: list[str]):
-    """``((g, chunk, chunks), columns)`` of consecutive rows of a chunk, across batches."""
-    key, kept = None, {}
-    for batch in batches:
-        keys = list(zip(*[batch.column(c).to_pylist() for c in ("g", "chunk", "chunks")], strict=True))
-        columns = {c: batch.column(c).to_pylist() for c in names}
-        at = 0
-        while at < len(keys):
-            end = at
-            while end < len(keys) and keys[end] == keys[at]:
-                end += 1
-            if keys[at] != key:
-                if key is not None:
-                    yield key, kept
-                key, kept = keys[at], {c: [] for c in names}
-            for c in names:
-                kept[c] += columns[c][at:end]
-            at = end
-    if key is not None:
-        yield key, kept
-
-
 def _chunk_roots(leaves: DataFrame, fanout: int, chunk_levels: int) -> DataFrame:
     """``(g, chunk, chunks, node)``: the root of every chunk's subtree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (g, chunk, chunks), rows in _runs(batches, ["leaf"]):
+        for (g, chunk, chunks), rows in in_sorted_groups(batches, CHUNK, ["leaf"]):
             top = levels(rows["leaf"], fanout, None if chunks == 1 else chunk_levels)[-1][0]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -216,7 +185,7 @@ def _proofs(fanout: int, chunk_levels: int, full: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["k", "leaf", "shown", "above", "subroot", "root"]
-        for (_, _, chunks), rows in _runs(batches, names):
+        for (_, _, chunks), rows in in_sorted_groups(batches, CHUNK, names):
             above, subroot, root = rows["above"][0], rows["subroot"][0], rows["root"][0]
             leaves, shown = rows["leaf"][1:], rows["shown"][1:]
             tree = levels(leaves, fanout, None if chunks == 1 else chunk_levels)
@@ -289,7 +258,7 @@ def manifest(
     hashed = written(leaves, "merkle-leaves")
     placed, sizes, table = _placed(hashed)
     in_chunk = fanout**chunk_levels
-    groups = sizes.select("g", F.expr(f"(leaves + {in_chunk - 1}) div {in_chunk}").alias("chunks"))
+    groups = sizes.select("g", F.expr(f"(rows + {in_chunk - 1}) div {in_chunk}").alias("chunks"))
     groups = written(with_total_before(with_position(groups, "g", name="index"), "g", "chunks", "before"), "merkle-groups")
     chunked = placed.withColumn("chunk", F.expr(f"place div {in_chunk}"))
     rows = written(join_by(chunked, groups.select("g", "chunks"), ["g"], "inner", spread="place"), "merkle-placed")

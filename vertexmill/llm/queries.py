@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vertexmill.llm import (
     compression,
+    conversations,
     decontam,
     html_extract,
     langid,
@@ -260,3 +261,85 @@ FROM up JOIN top r ON len(r.nodes) = 1 AND up.level = r.level
 @query(OP12_SQL)
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.tampered_documents(table(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations),
+crc AS (
+  SELECT *, xor(list_reduce([4294967295] || list_transform(range(1, len(name) + 1), lambda i: ascii(substr(name, i, 1))::BIGINT),
+            lambda a, b: list_reduce([xor(a, b)] || range(8),
+              lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 20 AS fault
+  FROM named),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN fault = 0 THEN 0 WHEN fault = 3 THEN 2 ELSE 1 END))
+  FROM crc),
+ordered AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending
+  FROM damaged),
+counted AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM ordered),
+faulty AS (
+  SELECT *, ending = '' AS blank, ending <> '' AND nth > 1 AS duplicate,
+         ending <> '' AND nth = 1 AND ending NOT IN ('.', '!', '?') AS truncated,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM counted),
+walk(conv_id, i, b0, b1, b2, b3) AS (
+  SELECT conv_id, 0, {'c': 0, 'a': '', 'o': ''}, {'c': 1000000000, 'a': '', 'o': ''},
+         {'c': 1000000000, 'a': '', 'o': ''}, {'c': 1000000000, 'a': '', 'o': ''}
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i + 1,
+    {'c': b0.c + 2, 'a': b0.a || 'D', 'o': b0.o},
+    list_sort([{'c': b1.c + 2, 'a': b1.a || 'D', 'o': b1.o},
+               {'c': b0.c + keep_s, 'a': b0.a || 'K', 'o': b0.o || own}])[1],
+    list_sort([{'c': c2.c + 2, 'a': c2.a || 'D', 'o': c2.o},
+               {'c': b0.c + keep_u, 'a': b0.a || 'K', 'o': b0.o || own},
+               {'c': b1.c + keep_u, 'a': b1.a || 'K', 'o': b1.o || own},
+               {'c': c3.c + keep_u, 'a': c3.a || 'K', 'o': c3.o || own},
+               {'c': b0.c + rerole, 'a': b0.a || 'R', 'o': b0.o || chr(10) || 'user:' || text},
+               {'c': b1.c + rerole, 'a': b1.a || 'R', 'o': b1.o || chr(10) || 'user:' || text},
+               {'c': c3.c + rerole, 'a': c3.a || 'R', 'o': c3.o || chr(10) || 'user:' || text}])[1],
+    list_sort([{'c': c3.c + 2, 'a': c3.a || 'D', 'o': c3.o},
+               {'c': c2.c + keep_a, 'a': c2.a || 'K', 'o': c2.o || own},
+               {'c': c2.c + rerole, 'a': c2.a || 'R', 'o': c2.o || chr(10) || 'assistant:' || text}])[1]
+  FROM (
+    SELECT w.*, f.text, chr(10) || f.role || ':' || f.text AS own,
+      CASE WHEN blank OR duplicate THEN 1000000000 WHEN truncated THEN 6 ELSE 1 END AS rerole,
+      CASE WHEN blank OR duplicate OR initial <> 's' THEN 1000000000 WHEN truncated THEN 5 ELSE 0 END AS keep_s,
+      CASE WHEN blank OR duplicate OR initial <> 'u' THEN 1000000000 WHEN truncated THEN 5 ELSE 0 END AS keep_u,
+      CASE WHEN blank OR duplicate OR initial <> 'a' THEN 1000000000 WHEN truncated THEN 5 ELSE 0 END AS keep_a,
+      list_sort([b2, {'c': b0.c + 5, 'a': b0.a || 'I', 'o': b0.o || chr(10) || 'user:'},
+                     {'c': b1.c + 5, 'a': b1.a || 'I', 'o': b1.o || chr(10) || 'user:'},
+                     {'c': b3.c + 5, 'a': b3.a || 'I', 'o': b3.o || chr(10) || 'user:'}])[1] AS c2,
+      list_sort([b3, {'c': b2.c + 5, 'a': b2.a || 'I', 'o': b2.o || chr(10) || 'assistant:'},
+                     {'c': b0.c + 10, 'a': b0.a || 'II', 'o': b0.o || chr(10) || 'user:' || chr(10) || 'assistant:'},
+                     {'c': b1.c + 10, 'a': b1.a || 'II', 'o': b1.o || chr(10) || 'user:' || chr(10) || 'assistant:'}])[1] AS c3
+    FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1)),
+totals AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal, count(*) AS n
+  FROM faulty GROUP BY conv_id),
+ended AS (
+  SELECT w.conv_id, t.*  EXCLUDE (conv_id),
+         list_sort([b0, b3, {'c': b2.c + 5, 'a': b2.a || 'I', 'o': b2.o || chr(10) || 'assistant:'},
+                    {'c': b1.c + 10, 'a': b1.a || 'II', 'o': b1.o || chr(10) || 'user:' || chr(10) || 'assistant:'}])[1] AS e
+  FROM walk w LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM w.conv_id
+  WHERE w.i = coalesce(t.n, 0))
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, e.c::BIGINT AS cost, e.a AS audit,
+       sha256(substr(e.o, 2)) AS repaired_sha256
+FROM ended
+"""
+
+
+@query(OP13_SQL)
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair(table(spark, folder, "conversations"))

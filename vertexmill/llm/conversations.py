@@ -391,9 +391,8 @@ def _repair_long(rows: DataFrame, block: int, merge: int) -> DataFrame:
 
     ends = F.filter("cells", lambda x: (x["p"] == START) & x["q"].isin(*ENDS))
     least = F.array_min(F.transform(ends, lambda x: F.struct(x["cost"], x["audit"], x["path"], x["q"])))
-    gaps = F.coalesce(F.least(
-        F.col("most").cast("decimal(38,0)") - F.col("least") + 1 - F.col("turns"), F.lit((1 << 63) - 1)
-    ).cast("bigint"), F.lit(0))
+    gaps = F.col("most").cast("decimal(38,0)") - F.col("least") + 1 - F.col("turns")
+    gaps = F.when(F.col("most").isNull(), 0).otherwise(F.least(gaps, F.lit((1 << 63) - 1)).cast("bigint"))
     ended = written(spans.withColumn("end", least).withColumn("gaps", gaps), "conversation-ends")
     path = F.concat(F.lit(str(START)), "end.path", F.col("end.q").cast("string"))
     heads = ended.select("conv_id", path.alias("path"), F.explode(F.sequence(F.lit(0), F.length("end.path"))).alias("at"))

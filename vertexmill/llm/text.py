@@ -6,6 +6,7 @@ works on whole texts; long batches are cut between rows, never inside one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,14 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Hand freed memory to the system; a worker would keep it from one stage to the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``CHUNK`` bytes of text, or of one longer row."""
     for batch in batches:
@@ -64,6 +73,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             last = max(last, first + 1)
             yield batch.slice(first, last - first)
             first = last
+        give_back()
 
 
 @dataclass

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vertexmill.llm import text
+from vertexmill.llm.tables import written
+from vertexmill.runtime import drop_written
 
 #: Length of the subsequences and what a position they span weighs.
 LENGTH, DECAY = 3, 0.6
@@ -397,18 +399,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         .unionAll(marked.filter("NOT toxic").orderBy(by_hash).limit(CLEAN_DOCS))
     )
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).filter("text IS NOT NULL")
-    sample = rows.join(F.broadcast(chosen), "doc_id").persist()
+    sample = written(rows.join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
     empty = {"landmarks": [], "weights": np.zeros(0), "bias": -1.0, "slope": 1.0, "shift": 0.0, "stems": []}
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(True) or not sizes.get(False):
+        drop_written(sample)
         return empty | {"shift": 3.0 if sizes.get(True) else 0.0}
     counts = (
         sample.mapInArrow(_contexts, "word binary, stem boolean, context bigint, toxic boolean")
         .distinct()
         .groupBy("word", "stem")
         .agg(F.count_if("toxic").alias("p"), F.count_if(~F.col("toxic")).alias("n"))
-        .persist()
     )
+    counts = written(counts, "toxicity-counts")
     totals = counts.groupBy("stem").agg(F.sum("p").alias("p"), F.sum("n").alias("n"), F.count("*").alias("words")).collect()
 
     def telling(stem: bool, odds: float, most: int) -> list[tuple[bytes, int, int]]:
@@ -434,13 +437,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         return [(bytes(r["word"]), r["p"], r["n"]) for r in found]
 
     seeds, stems = telling(False, LEAST_ODDS, SEEDS), telling(True, STEM_ODDS, STEMS)
-    counts.unpersist()
+    drop_written(counts)
     # a word that is a small part of a beginning that clean texts use too says no more than the beginning
     common = [(s, p) for s, p, n in stems if n >= LEAST_CONTEXTS]
     words = [w for w, p, _ in seeds if not any(w.startswith(s) and 2 * p < whole for s, whole in common)]
     pieces_model = _fit_pieces(sample, words)
     model = _fit_texts(sample, empty | pieces_model, [s for s, _, _ in stems])
-    sample.unpersist()
+    drop_written(sample)
     return model
 
 
@@ -472,7 +475,7 @@ def _fit_pieces(sample: DataFrame, seeds: list[bytes]) -> dict:
 
     made = sample.mapInArrow(labelled, "toxic boolean, top double, features array<double>")
     # in so few parts that the driver gets at most as many times PIECES rows, however many tasks the sample has
-    made = made.repartition(PARTS).persist()
+    made = written(made.repartition(PARTS), "toxicity-pieces")
     # of clean pieces half are the most like a landmark, half any
     spread = F.xxhash64("features")
     picked = [
@@ -481,7 +484,7 @@ def _fit_pieces(sample: DataFrame, seeds: list[bytes]) -> dict:
         made.filter("NOT toxic").orderBy(spread).limit(PIECES // 2),
     ]
     got = [r for part in picked for r in part.collect()]
-    made.unpersist()
+    drop_written(made)
     if not any(r["toxic"] for r in got):
         return {}
     root = nystrom(landmarks)

@@ -22,6 +22,13 @@ from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import inverse_sqrt_degree, part_of
 from vertexmill.functions.vectors import map_batches, matrix_of, vectors_of
+from vertexmill.operators.compressed import (
+    SlotEdges,
+    compressed,
+    compressed_pass,
+    slot_of,
+    slot_values,
+)
 from vertexmill.operators.messages import (
     HUB_FLOOR,
     find_hubs,
@@ -29,6 +36,7 @@ from vertexmill.operators.messages import (
     join_hint,
     message_pass,
     salt_edges,
+    spread_vectors,
     with_copies,
 )
 from vertexmill.operators.partition import block_edges, small_side, train_rows_per_part
@@ -41,6 +49,12 @@ from vertexmill.runtime import drop_written, kept_by, setting, written
 EDGES_PER_TASK = 16_000_000
 EDGES_WORTH_A_TASK = 20_000
 
+#: Bytes of sums that a task of the first-layer pass holds, and fewest columns worth a pass of their own.
+SUM_BYTES, LEAST_COLUMNS = 256 << 20, 64
+
+#: A part whose edges and features take at most so many bytes is one task's.
+PART_BYTES = 1 << 30
+
 #: Bytes of vertex vectors one task holds.
 VECTOR_BYTES_PER_TASK = 128 << 20
 
@@ -63,6 +77,9 @@ class Layout:
 
     Both are hashed into ``tasks`` parts. ``rows_per_task`` is how many source
     vectors, copies included, meet the edges of one task.
+
+    With ``local``, ``edges`` are compressed blocks instead, and blocks and vertices lie by
+    ``slot``, one part in each: then nothing but gradients leaves a part's task.
     """
 
     edges: DataFrame
@@ -74,6 +91,7 @@ class Layout:
     n_train: int
     parts: int | None
     tables: tuple[DataFrame, ...] = ()
+    local: bool = False
 
     def hint(self, width: int) -> str:
         return join_hint(self.rows_per_task, width)
@@ -158,6 +176,83 @@ def scale_vectors(df: DataFrame, kept: list[str]) -> DataFrame:
     return map_batches(df, f"{schema}, vec array<double>", scale)
 
 
+def sum_columns(n_edges: int, n_vertices: int, tasks: int) -> int:
+    """Columns of the features that a task of the first-layer pass can sum at once; 0 if too few."""
+    targets = max(1, min(n_vertices, -(-n_edges // tasks)))
+    columns = SUM_BYTES // (8 * targets)
+    return columns if columns >= LEAST_COLUMNS else 0
+
+
+def first_layer(
+    edges: DataFrame, vectors: DataFrame, width: int, tasks: int, columns: int, rows_per_task: float
+) -> DataFrame:
+    """The pass over the raw features, once per layout: from compressed rows where sums fit a task, else by joins."""
+    if not columns:
+        return message_pass(edges, vectors, width, join_hint(rows_per_task, width))
+    values = slot_values(edges.sparkSession, tasks)
+    task = F.pmod(F.hash("key"), F.lit(tasks))
+    # the edges already lie by key, sorted by target, so one task's edges are one slot's
+    blocks = compressed(edges.withColumn("slot", slot_of(task, values)))
+    placed = spread_vectors(vectors).withColumn("slot", slot_of(task, values))
+    return compressed_pass(blocks, placed, width, columns)
+
+
+def part_sizes(merged: DataFrame, nodes: DataFrame, parts: int, width: int) -> int:
+    """Bytes of the largest part: edges as numbers, features twice over."""
+    edges = merged.groupBy(part_of(F.col("src"), parts).alias("pid")).agg(F.count("*").alias("n"))
+    rows = nodes.groupBy(part_of(F.col("id"), parts).alias("pid")).agg(F.count("*").alias("m"))
+    size = F.coalesce("n", F.lit(0)) * 24 + F.coalesce("m", F.lit(0)) * 16 * width
+    return rows.join(edges, "pid", "left").agg(F.coalesce(F.max(size), F.lit(0))).first()[0]
+
+
+def lay_out_parts(
+    merged: DataFrame, nodes: DataFrame, counted: DataFrame, parts: int, width: int, classes: int | None
+) -> Layout:
+    """Layout by part, for parts that fit a task: edges and vertices of one part lie together."""
+    spark = nodes.sparkSession
+    values = slot_values(spark, parts)
+
+    def slot(column: str):
+        return slot_of(part_of(F.col(column), parts), values)
+
+    sorted_edges = merged.select(slot("src").alias("slot"), F.col("src").alias("key"), "dst", "w")
+    sorted_edges = sorted_edges.repartition(parts, "slot").sortWithinPartitions("slot", "dst")
+    blocks = written(compressed(sorted_edges), "blocks")
+    vertices = row_weights(nodes, parts).join(counted.drop("copies"), "id").withColumn("slot", slot("id"))
+    vertices = vertices.withColumn("features", F.col("features").cast("array<double>"))
+    carried = [c for c in vertices.columns if c != "features"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vertices.schema if f.name in carried)
+    with setting(spark, "spark.sql.shuffle.partitions", str(parts)):
+        laid_edges = kept_by(blocks, parts, "slot", order=["slot", "seq"])
+
+        def aggregate(left: pa.Table, right: pa.Table) -> pa.Table:
+            ids = right.column("id").to_numpy()
+            scale = right.column("scale").to_numpy()[:, None]
+            sums = SlotEdges(left, ids, ids).sums(matrix_of(right.column("vec")) * scale)
+            out = {c: right.column(c) for c in carried}
+            return pa.table({**out, "ax": vectors_of(sums * scale)})
+
+        named = vertices.withColumnRenamed("features", "vec").select(*carried, "vec")
+        met = laid_edges.groupBy("slot").cogroup(named.groupBy("slot"))
+        aggregated = written(met.applyInArrow(aggregate, f"{schema}, ax array<double>"), "vertices")
+        laid_vertices = kept_by(aggregated, parts, "slot", order="slot")
+    found = laid_vertices.agg(
+        F.countDistinct("label").alias("classes"), F.count_if("is_train").alias("n_train")
+    ).first()
+    return Layout(
+        edges=laid_edges,
+        vertices=laid_vertices,
+        tasks=parts,
+        rows_per_task=0.0,
+        input_dim=width,
+        num_classes=classes or found["classes"],
+        n_train=found["n_train"],
+        parts=parts,
+        tables=(merged, counted, blocks, aggregated),
+        local=True,
+    )
+
+
 def lay_out(
     nodes: DataFrame,
     edges: DataFrame,
@@ -166,10 +261,12 @@ def lay_out(
     num_classes: int | None = None,
     tasks: int | None = None,
     hub_floor: int = HUB_FLOOR,
+    part_bytes: int = PART_BYTES,
 ) -> Layout:
     """Build the training layout from a node table and *raw* edges.
 
-    Shuffles every edge twice: once to merge repeats, once to its place.
+    Shuffles every edge twice: once to merge repeats, once to its place, and once more,
+    compressed, for the first-layer pass or to lie by part. Parts of at most ``part_bytes`` lie in a task each.
     """
     if parts is None:
         chosen = undirected(edges, nodes)
@@ -192,6 +289,10 @@ def lay_out(
         F.count("*").alias("vertices"), F.sum("copies").alias("copies"), F.min("id").alias("least")
     ).first()
     check_vertices(nodes, size["vertices"], size["least"])
+    if parts is not None and part_sizes(merged, nodes, parts, width) <= part_bytes:
+        layout = lay_out_parts(merged, nodes, counted, parts, width, num_classes)
+        drop_written(hubs)
+        return layout
     spark = nodes.sparkSession
     cores = spark.sparkContext.defaultParallelism
     tasks = tasks or task_count(n_edges, size["vertices"], width, cores)
@@ -206,7 +307,8 @@ def lay_out(
         ["id", "copies", "first"],
     )
     with setting(spark, "spark.sql.shuffle.partitions", str(tasks)):
-        summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
+        columns = sum_columns(n_edges, size["vertices"], tasks)
+        summed = first_layer(laid_edges, vectors, width, tasks, columns, rows_per_task)
         joined = vertices.drop("features").join(summed, "id")
         kept = [c for c in joined.columns if c != "vec"]
         aggregated = written(scale_vectors(joined, kept).withColumnRenamed("vec", "ax"), "vertices")

@@ -26,6 +26,7 @@ from vertexmill.functions.vectors import (
     sum_matrices,
     vectors_of,
 )
+from vertexmill.operators.compressed import SlotEdges
 from vertexmill.operators.evaluate import evaluate_splits
 from vertexmill.operators.gcn import P_MAX, P_MIN, init_weights, layer_dims
 from vertexmill.plans.layout import Layout, lay_out
@@ -253,6 +254,55 @@ def _gradient_pieces(
     return reduce(DataFrame.unionByName, pieces), kept
 
 
+# ------------------------------------------------------------------ parts that fit a task
+
+_LOCAL = (
+    "id bigint, label bigint, is_train boolean, is_val boolean, is_test boolean, pred bigint, loss double,"
+    f" {MATRIX_PIECES}"
+)
+
+_LOCAL_NAMES = ["id", "label", *SPLITS, "pred", "loss", "layer", "i", "j0", "vec"]
+
+
+def _local_epoch(layout: Layout, shared, dims: list[int]) -> DataFrame:
+    """Forward and backward of every part where it lies: scored vertices, and the part's gradients as matrix pieces.
+
+    Cached edges and vertices meet in place, so the plan has no exchange. The edge
+    weights are symmetric, hence gradients pass the same way as messages.
+    """
+    last = len(dims) - 2
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        w = shared.value
+        ids, label = (right.column(c).to_numpy() for c in ("id", "label"))
+        scale = right.column("scale").to_numpy()[:, None]
+        edges = SlotEdges(left, ids, ids)
+        ax = matrix_of(right.column("ax"))
+        z = [ax @ w[0]]
+        for layer in range(1, last + 1):
+            z.append(edges.sums(_relu(z[-1]) @ w[layer] * scale) * scale)
+        powers = np.exp(z[-1] - z[-1].max(axis=1, keepdims=True))
+        probs = powers / powers.sum(axis=1, keepdims=True)
+        row = np.arange(len(label))
+        loss = -np.log(np.clip(probs[row, label], P_MIN, P_MAX))
+        probs[row, label] -= 1.0
+        back = probs * right.column("row_weight").to_numpy()[:, None]
+        pieces = []
+        for layer in range(last, 0, -1):
+            received = edges.sums(back * scale) * scale
+            pieces += matrix_pieces(_relu(z[layer - 1]).T @ received, layer)
+            back = (received @ w[layer].T) * (z[layer - 1] > 0)
+        pieces += matrix_pieces(ax.T @ back, 0)
+        scored = {c: right.column(c) for c in ("id", "label", *SPLITS)}
+        scored = pa.table({**scored, "pred": z[-1].argmax(axis=1), "loss": loss})
+        both = pa.concat_tables([scored, pa.Table.from_batches(pieces)], promote_options="default")
+        return both.select(_LOCAL_NAMES)
+
+    columns = ["slot", "id", "scale", "label", "row_weight", *SPLITS, "ax"]
+    met = layout.edges.groupBy("slot").cogroup(layout.vertices.select(*columns).groupBy("slot"))
+    return met.applyInArrow(run, _LOCAL)
+
+
 #: Up to this many tasks their partial gradients are added in one step.
 FLAT_TASKS = 64
 
@@ -270,6 +320,7 @@ class Epoch:
     states: list[DataFrame]
     shared: object
     broadcast_time: float
+    pieces: DataFrame | None = None
 
     def close(self) -> None:
         self.scored.unpersist()
@@ -283,6 +334,10 @@ def open_epoch(layout: Layout, weights: list[np.ndarray], dims: list[int]) -> Ep
     start = time.perf_counter()
     shared = spark.sparkContext.broadcast(weights)
     sent = time.perf_counter() - start
+    if layout.local:
+        done = _local_epoch(layout, shared, dims).persist(StorageLevel.MEMORY_AND_DISK)
+        pieces = done.filter("layer IS NOT NULL").select("layer", "i", "j0", "vec")
+        return Epoch(done.filter("layer IS NULL"), [done], shared, sent, pieces)
     states = _logit_states(layout, shared, dims)
     scored = _score(states[-1]).persist(StorageLevel.MEMORY_AND_DISK)
     return Epoch(scored, states[:-1], shared, sent)
@@ -297,6 +352,8 @@ def gradients(
     layout: Layout, epoch: Epoch, dims: list[int], branches: int | None = None
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Summed gradients of all layers as pieces; nothing vertex-sized leaves the cluster."""
+    if epoch.pieces is not None:
+        return sum_matrices(epoch.pieces, max(dims[1:]), branches or _branches(layout.tasks)), []
     pieces, kept = _gradient_pieces(layout, epoch.scored, epoch.states, epoch.shared, dims)
     return sum_matrices(pieces, max(dims[1:]), branches or _branches(layout.tasks)), kept
 

@@ -78,7 +78,7 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.set(key, before)
 
 
-def kept_by(df: DataFrame, tasks: int, *keys: str, order: str | None = None) -> DataFrame:
+def kept_by(df: DataFrame, tasks: int, *keys: str, order: str | list[str] | None = None) -> DataFrame:
     """Keep ``df`` hashed by ``keys`` for many reads, rows sorted by ``order`` in each task.
 
     A cached table tells later plans its layout only when its own plan is

@@ -3,6 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vertexmill.operators import compressed as C
 from vertexmill.operators import messages as M
 from vertexmill.operators import prepare as B
 
@@ -126,3 +127,29 @@ def test_copies_of_several_hubs_have_keys_of_their_own(spark):
     keyed = M.spread_vectors(M.SpreadEdges(counted, hubs).copies(vectors))
     keys = sorted(r["key"] for r in keyed.collect())
     assert keys == [-9, -8, -7, -6, -5, -4, -3, -2, -1, 5]
+
+
+def test_compressed_rows_sum_like_a_dense_product(spark, monkeypatch):
+    random = np.random.default_rng(3)
+    n, width = 40, 70
+    edges = [(int(a), int(b), float(w)) for a, b, w in zip(random.integers(0, n, 900), random.integers(0, 6, 900), random.integers(1, 4, 900))]
+    edges += [(int(a), int(b), 1.0) for a, b in zip(random.integers(0, n, 60), random.integers(6, n, 60))]
+    x = random.normal(size=(n, width))
+    a = np.zeros((n, n))
+    for u, v, w in edges:
+        a[v, u] += w
+    monkeypatch.setattr(C, "BLOCK_EDGES", 100)
+    slots = C.slot_values(spark, 3)
+    assert len({spark.sql(f"SELECT pmod(hash({v}L), 3) AS p").first()["p"] for v in slots}) == 3
+    slot = C.slot_of(F.pmod(F.hash("key"), F.lit(3)), slots)
+    keyed = spark.createDataFrame(edges, "key bigint, dst bigint, w double").withColumn("slot", slot)
+    blocks = C.compressed(keyed.repartition(3, "slot").sortWithinPartitions("slot", "dst"))
+    placed = vectors(spark, x).withColumnRenamed("id", "key").withColumn("slot", slot)
+    for columns in (width, 33):
+        got = {r["id"]: r["vec"] for r in C.compressed_pass(blocks, placed, width, columns).collect()}
+        assert got.keys() == {v for _, v, _ in edges}
+        for v, vec in got.items():
+            assert np.allclose(vec, a[v] @ x)
+    narrow = placed.withColumn("vec", F.slice("vec", 1, 5))
+    got = {r["id"]: r["vec"] for r in C.compressed_pass(blocks, narrow, 5, 64).collect()}
+    assert all(np.allclose(vec, a[v] @ x[:, :5]) for v, vec in got.items())

@@ -9,7 +9,7 @@ from vertexmill.operators import gcn as D
 from vertexmill.operators import local as L
 from vertexmill.operators import prepare as B
 from vertexmill.plans import experiments, trainer
-from vertexmill.plans.layout import lay_out, task_count
+from vertexmill.plans.layout import lay_out, sum_columns, task_count
 from vertexmill.sources.datasets import load_karate
 
 SCORES = ("loss", "train_acc", "val_f1", "test_f1")
@@ -34,14 +34,53 @@ def check(result, a, toy, row_weight, cfg):
         assert np.allclose(got, want)
 
 
-@pytest.mark.parametrize("layers", [1, 2, 3, 4])
-def test_full_graph_training_equals_the_dense_model(spark, layers):
+#: Layout options: compressed edge rows, or rows that are joined.
+COMPRESSED, JOINED = {}, {"sum_bytes": 0, "part_bytes": 0}
+
+
+def train(nodes, edges, cfg, **options):
+    layout = lay_out(nodes, edges, **options)
+    try:
+        return trainer.train_layout(layout, cfg)
+    finally:
+        layout.release()
+
+
+@pytest.mark.parametrize("layers, options", [(1, COMPRESSED), (2, COMPRESSED), (4, COMPRESSED), (1, JOINED), (3, JOINED)])
+def test_full_graph_training_equals_the_dense_model(spark, layers, options):
     toy, cfg = dense.Toy(spark), config(layers)
     a = dense.normalized(dense.whole(toy.n, toy.edges))
-    result = trainer.train_full_graph(toy.nodes_df, toy.edges_df, cfg)
+    result = train(toy.nodes_df, toy.edges_df, cfg, **options)
     check(result, a, toy, toy.row_weight(), cfg)
 
 
+@pytest.mark.parametrize("options", [JOINED, {"part_bytes": 0}])
+def test_parts_over_several_tasks_equal_the_dense_model(spark, options):
+    toy, cfg = dense.Toy(spark), config(3)
+    a = dense.blocks(toy.n, toy.edges, 4, "normalized")
+    result = train(toy.nodes_df, toy.edges_df, cfg, parts=4, **options)
+    check(result, a, toy, toy.row_weight(4), cfg)
+
+
+def test_parts_that_fit_a_task_train_in_place(spark):
+    toy, cfg = dense.Toy(spark), config(3)
+    layout = lay_out(toy.nodes_df, toy.edges_df, parts=4)
+    assert layout.local
+    dims = D.layer_dims(5, cfg.hidden_dim, toy.classes, 3)
+    with layout.planned():
+        epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
+        done = epoch.states[0]
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        # below the cached result: cached edges and vertices meet without an exchange or a sort
+        above = plan.split("InMemoryTableScan [slot")[0]
+        assert "FlatMapCoGroupsInArrow" in above and "Exchange" not in above and "Sort [" not in above
+        epoch.close()
+    result = trainer.train_layout(layout, cfg)
+    layout.release()
+    a = dense.blocks(toy.n, toy.edges, 4, "normalized")
+    check(result, a, toy, toy.row_weight(4), cfg)
+
+
 @pytest.mark.parametrize("parts, local_input", [(1, "raw"), (4, "normalized"), (10, "raw"), (50, "normalized")])
 def test_partition_local_training_equals_the_dense_model(spark, parts, local_input):
     # with 10 parts four have no training row; with 50 some have no node
@@ -64,13 +103,14 @@ def test_split_hubs_train_the_same(spark):
     hub = [(0, i, 1.0) for i in range(toy.n)]
     toy.edges += hub
     toy.edges_df = spark.createDataFrame(toy.edges, "src bigint, dst bigint, w double")
-    layout = lay_out(toy.nodes_df, toy.edges_df, hub_floor=4)
-    assert layout.edges.filter("key < 0").count() > 0
     cfg = config()
+    a = dense.normalized(dense.whole(toy.n, toy.edges))
+    layout = lay_out(toy.nodes_df, toy.edges_df, hub_floor=4, **JOINED)
+    assert layout.edges.filter("key < 0").count() > 0
     result = trainer.train_layout(layout, cfg)
     layout.release()
-    a = dense.normalized(dense.whole(toy.n, toy.edges))
     check(result, a, toy, toy.row_weight(), cfg)
+    check(train(toy.nodes_df, toy.edges_df, cfg, hub_floor=4), a, toy, toy.row_weight(), cfg)
 
 
 def plan_lines(df, pattern):
@@ -80,7 +120,7 @@ def plan_lines(df, pattern):
 
 def test_edges_and_vertices_stay_where_they_are(spark):
     toy = dense.Toy(spark)
-    layout = lay_out(toy.nodes_df, toy.edges_df, tasks=3)
+    layout = lay_out(toy.nodes_df, toy.edges_df, tasks=3, **JOINED)
     dims = [5, 4, 3]
     with layout.planned():
         epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
@@ -99,6 +139,26 @@ def test_edges_and_vertices_stay_where_they_are(spark):
     layout.release()
 
 
+def test_compressed_edges_stay_where_they_are(spark):
+    toy = dense.Toy(spark)
+    layout = lay_out(toy.nodes_df, toy.edges_df, tasks=3)
+    dims = [5, 4, 3]
+    with layout.planned():
+        epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
+        state = trainer._logit_states(layout, epoch.shared, dims)[-1]
+        # one vector per vertex copy moves to the blocks, and one partial sum per target from them
+        assert len(plan_lines(state, "FlatMapCoGroupsInArrow")) == 1
+        assert len(plan_lines(state, "ENSURE_REQUIREMENTS")) == 2
+        epoch.close()
+    layout.release()
+
+
+def test_columns_follow_the_memory_of_a_task():
+    assert sum_columns(10**6, 1000, 8) > 602
+    assert sum_columns(10**12, 10**9, 62_500) == 0
+    assert sum_columns(115 * 10**6, 232_965, 9) == (256 << 20) // (8 * 232_965)
+
+
 def test_task_count_follows_the_graph():
     assert task_count(0, 0, 5, 8) == 1
     assert task_count(300_000, 2_000, 64, 8) == 8

@@ -30,17 +30,17 @@ GATHERED = 1 << 21
 BLOCKS = "slot bigint, seq bigint, pointers binary, targets binary, sources binary, weights binary"
 
 
-def slot_values(spark: SparkSession, tasks: int) -> list[int]:
+def slot_values(spark: SparkSession, tasks: int) -> tuple[int, ...]:
     """A value of ``slot`` for each of ``tasks`` tasks, such that hashing it leads there.
 
     Consecutive numbers would leave some of so many tasks empty and give others two slots.
     """
     tried = spark.range(64 * tasks + 64).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("task"))
     found = {r["task"]: r["value"] for r in tried.agg(F.min("id").alias("value")).collect()}
-    return [found.get(task, task) for task in range(tasks)]
+    return tuple(found.get(task, task) for task in range(tasks))
 
 
-def slot_of(number: Column, values: list[int]) -> Column:
+def slot_of(number: Column, values: tuple[int, ...]) -> Column:
     """The slot of the task ``number``, a column counting from 0."""
     return F.get(F.array(*[F.lit(v).cast("bigint") for v in values]), number.cast("int"))
 
@@ -162,6 +162,10 @@ def compressed_pass(blocks: DataFrame, vectors: DataFrame, width: int, columns:
     task's memory; blocks and vectors meet anew for each such part of the width.
     """
     parts = []
+    if width <= min(PIECE, columns):
+        met = blocks.groupBy("slot").cogroup(vectors.select("slot", "key", "vec").groupBy("slot"))
+        sums = met.applyInArrow(_slot_sums(0, width), "id bigint, at int, vec array<double>")
+        return sum_vectors(sums.drop("at"), ["id"], width)
     for at in range(0, width, columns):
         some = min(columns, width - at)
         cut = vectors.select("slot", "key", F.slice("vec", at + 1, some).alias("vec"))

@@ -78,8 +78,9 @@ class Layout:
     Both are hashed into ``tasks`` parts. ``rows_per_task`` is how many source
     vectors, copies included, meet the edges of one task.
 
-    With ``local``, ``edges`` are compressed blocks instead, and blocks and vertices lie by
-    ``slot``, one part in each: then nothing but gradients leaves a part's task.
+    With ``slots``, the values that lead to each task, ``edges`` are compressed blocks by
+    ``slot`` instead, and a task sums up to ``columns`` at a time. With ``local``, the vertices
+    lie by slot too, one part in each: then nothing but gradients leaves a part's task.
     """
 
     edges: DataFrame
@@ -92,12 +93,16 @@ class Layout:
     parts: int | None
     tables: tuple[DataFrame, ...] = ()
     local: bool = False
+    slots: tuple[int, ...] = ()
+    columns: int = 0
 
     def hint(self, width: int) -> str:
         return join_hint(self.rows_per_task, width)
 
     def send(self, messages: DataFrame, width: int) -> DataFrame:
         """One edge pass; its sums come back hashed by id like the vertices."""
+        if self.slots:
+            return compressed_pass(self.edges, in_slots(messages, self.slots), width, self.columns)
         return message_pass(self.edges, messages, width, self.hint(width))
 
     def planned(self):
@@ -176,25 +181,25 @@ def scale_vectors(df: DataFrame, kept: list[str]) -> DataFrame:
     return map_batches(df, f"{schema}, vec array<double>", scale)
 
 
-def sum_columns(n_edges: int, n_vertices: int, tasks: int) -> int:
-    """Columns of the features that a task of the first-layer pass can sum at once; 0 if too few."""
+def sum_columns(n_edges: int, n_vertices: int, tasks: int, sum_bytes: int = SUM_BYTES) -> int:
+    """Columns that a task can sum at once for all targets of its edges; 0 if too few."""
     targets = max(1, min(n_vertices, -(-n_edges // tasks)))
-    columns = SUM_BYTES // (8 * targets)
+    columns = sum_bytes // (8 * targets)
     return columns if columns >= LEAST_COLUMNS else 0
 
 
-def first_layer(
-    edges: DataFrame, vectors: DataFrame, width: int, tasks: int, columns: int, rows_per_task: float
-) -> DataFrame:
-    """The pass over the raw features, once per layout: from compressed rows where sums fit a task, else by joins."""
-    if not columns:
-        return message_pass(edges, vectors, width, join_hint(rows_per_task, width))
-    values = slot_values(edges.sparkSession, tasks)
-    task = F.pmod(F.hash("key"), F.lit(tasks))
-    # the edges already lie by key, sorted by target, so one task's edges are one slot's
-    blocks = compressed(edges.withColumn("slot", slot_of(task, values)))
-    placed = spread_vectors(vectors).withColumn("slot", slot_of(task, values))
-    return compressed_pass(blocks, placed, width, columns)
+def in_slots(vectors: DataFrame, slots: tuple[int, ...]) -> DataFrame:
+    """``(slot, key, vec)``: every copy of a vertex where the edges of its key are."""
+    task = F.pmod(F.hash("key"), F.lit(len(slots)))
+    return spread_vectors(vectors).withColumn("slot", slot_of(task, slots))
+
+
+def kept_blocks(keyed: DataFrame, slots: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
+    """Edges ``(slot, key, dst, w)`` as compressed blocks: kept by slot, and the table below."""
+    tasks = len(slots)
+    ordered = keyed.repartition(tasks, "slot").sortWithinPartitions("slot", "dst")
+    blocks = written(compressed(ordered), "blocks")
+    return kept_by(blocks, tasks, "slot", order=["slot", "seq"]), blocks
 
 
 def part_sizes(merged: DataFrame, nodes: DataFrame, parts: int, width: int) -> int:
@@ -210,20 +215,19 @@ def lay_out_parts(
 ) -> Layout:
     """Layout by part, for parts that fit a task: edges and vertices of one part lie together."""
     spark = nodes.sparkSession
-    values = slot_values(spark, parts)
+    slots = slot_values(spark, parts)
 
     def slot(column: str):
-        return slot_of(part_of(F.col(column), parts), values)
+        return slot_of(part_of(F.col(column), parts), slots)
 
-    sorted_edges = merged.select(slot("src").alias("slot"), F.col("src").alias("key"), "dst", "w")
-    sorted_edges = sorted_edges.repartition(parts, "slot").sortWithinPartitions("slot", "dst")
-    blocks = written(compressed(sorted_edges), "blocks")
+    laid_edges, blocks = kept_blocks(
+        merged.select(slot("src").alias("slot"), F.col("src").alias("key"), "dst", "w"), slots
+    )
     vertices = row_weights(nodes, parts).join(counted.drop("copies"), "id").withColumn("slot", slot("id"))
     vertices = vertices.withColumn("features", F.col("features").cast("array<double>"))
     carried = [c for c in vertices.columns if c != "features"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vertices.schema if f.name in carried)
     with setting(spark, "spark.sql.shuffle.partitions", str(parts)):
-        laid_edges = kept_by(blocks, parts, "slot", order=["slot", "seq"])
 
         def aggregate(left: pa.Table, right: pa.Table) -> pa.Table:
             ids = right.column("id").to_numpy()
@@ -250,6 +254,7 @@ def lay_out_parts(
         parts=parts,
         tables=(merged, counted, blocks, aggregated),
         local=True,
+        slots=slots,
     )
 
 
@@ -262,11 +267,13 @@ def lay_out(
     tasks: int | None = None,
     hub_floor: int = HUB_FLOOR,
     part_bytes: int = PART_BYTES,
+    sum_bytes: int = SUM_BYTES,
 ) -> Layout:
     """Build the training layout from a node table and *raw* edges.
 
-    Shuffles every edge twice: once to merge repeats, once to its place, and once more,
-    compressed, for the first-layer pass or to lie by part. Parts of at most ``part_bytes`` lie in a task each.
+    Shuffles every edge twice: once to merge repeats, once to its place. Edges are kept
+    as compressed blocks where a task's sums take at most ``sum_bytes``, else as rows that are
+    joined and may spill. Parts of at most ``part_bytes`` lie in a task each.
     """
     if parts is None:
         chosen = undirected(edges, nodes)
@@ -299,7 +306,14 @@ def lay_out(
     rows_per_task = size["copies"] / tasks
 
     keyed = salt_edges(merged, hubs).select("key", "dst", "w")
-    laid_edges = kept_by(keyed, tasks, "key", order="dst")
+    columns = sum_columns(n_edges, size["vertices"], tasks, sum_bytes)
+    slots, blocks = (), ()
+    if columns:
+        slots = slot_values(spark, tasks)
+        task = F.pmod(F.hash("key"), F.lit(tasks))
+        laid_edges, *blocks = kept_blocks(keyed.withColumn("slot", slot_of(task, slots)), slots)
+    else:
+        laid_edges = kept_by(keyed, tasks, "key", order="dst")
     firsts = F.broadcast(hubs.select("id", "first"))
     vertices = row_weights(nodes, parts).join(counted, "id").join(firsts, "id", "left")
     vectors = scale_vectors(
@@ -307,8 +321,10 @@ def lay_out(
         ["id", "copies", "first"],
     )
     with setting(spark, "spark.sql.shuffle.partitions", str(tasks)):
-        columns = sum_columns(n_edges, size["vertices"], tasks)
-        summed = first_layer(laid_edges, vectors, width, tasks, columns, rows_per_task)
+        if columns:
+            summed = compressed_pass(laid_edges, in_slots(vectors, slots), width, columns)
+        else:
+            summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
         joined = vertices.drop("features").join(summed, "id")
         kept = [c for c in joined.columns if c != "vec"]
         aggregated = written(scale_vectors(joined, kept).withColumnRenamed("vec", "ax"), "vertices")
@@ -326,5 +342,7 @@ def lay_out(
         num_classes=num_classes or found["classes"],
         n_train=found["n_train"],
         parts=parts,
-        tables=(merged, counted, hubs, aggregated),
+        tables=(merged, counted, hubs, *blocks, aggregated),
+        slots=slots,
+        columns=columns,
     )

@@ -164,14 +164,24 @@ def test_report_reads_in_order(spark, published, summary, tmp_path):
         "train long, val long, test long",
     )
     full = sinks.metrics_rows(published)
-    lines = sinks.report_lines(summary, full, stats)
-    ordered = [r["line"] for r in lines.sort("section", "place", "epoch").collect()]
-    assert ordered[0].startswith("Dataset: toy")
-    assert [x.split()[0] for x in ordered[1:5]] == ["sequential", "spark_4", "spark_8", "spark_16"]
-    assert ordered[2].split() == ["spark_4", "6.31s", "0.68", "6.93x", "1.7324", "2.0%", "0.0166", "0.0055"]
-    assert len(ordered) == 1 + 4 + 12
+    lines = sinks.report_lines(summary, full, stats, {"Layers": "2", "Seeds": "[1]"}, 643.1)
+    ordered = [r["line"] for r in lines.sort("section", "place", "epoch", "row").collect()]
+    assert ordered[4:11] == [
+        "Dataset: toy", "  Nodes: 4", "  Edges: 10", "  Features: 3", "  Classes: 2", "  Train/Val/Test: 2/1/1", "",
+    ]
+    assert ordered[11:15] == ["Model and runs:", "  Layers: 2", "  Seeds: [1]", ""]
+    assert ordered[15] == "Total benchmark time: 643.1s (10.7 min)"
+    assert ordered[16].startswith("Peak memory: ") and ordered[16].endswith(" MB")
+    assert ordered[18:21] == [sinks.RULE, sinks.CONFIG_HEAD, sinks.RULE]
+    assert [x.split()[0] for x in ordered[21:25]] == ["sequential", "spark_4", "spark_8", "spark_16"]
+    assert ordered[22].split() == ["spark_4", "6.31s", "0.68", "6.93x", "1.7324", "2.0%", "0.0166", "0.0055"]
+    assert len(ordered[22].rstrip()) == len(sinks.CONFIG_HEAD)
+    heads = [k for k, x in enumerate(ordered) if x.startswith("--- ")]
+    assert [ordered[k] for k in heads] == [f"--- {c} ---" for c in ("sequential", "spark_4", "spark_8", "spark_16")]
+    assert all(ordered[k + 1] == sinks.EPOCH_HEAD and ordered[k + 2].split()[0] == "1" for k in heads)
+    assert len(ordered) == 11 + 4 + 3 + 3 + 4 + 2 + 3 + 4 * 3 + 12
     sinks.write_report(lines, str(tmp_path / "report"))
-    assert spark.read.text(str(tmp_path / "report")).count() >= 17
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "report")).collect()] == ordered
 
 
 def test_benchmark_from_graph_to_report(spark, tmp_path):
@@ -184,5 +194,6 @@ def test_benchmark_from_graph_to_report(spark, tmp_path):
     assert found.findings.count() == 1
     assert sources.read_metrics(spark, folder).count() == 3 * 2 * 2
     text = [r["value"] for r in spark.read.text(f"{folder}/performance_report").collect()]
-    assert sum(line.startswith("spark_4 ") for line in text) == 1 + 2
+    assert sum(line.startswith("spark_4 ") for line in text) == 1
+    assert "  Hidden dim: 3" in text and "  Seeds: [42, 123]" in text
     assert compare_runs(spark, str(tmp_path)) is None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vertexmill.catalog import fixtures as X
@@ -9,7 +10,7 @@ from vertexmill.catalog.oracle import r6 as r
 from vertexmill.catalog.registry import query, r6, rounded
 from vertexmill.functions.scalars import workers
 from vertexmill.operators import run_stats as G
-from vertexmill.runtime import scratch_path
+from vertexmill.runtime import scratch_path, written
 from vertexmill.sinks import runs as sinks
 from vertexmill.sources import runs as sources
 
@@ -207,33 +208,77 @@ def report_epochs(spark, folder):
     return rounded(G.report_epochs(run))
 
 
-@query("""SELECT 1 AS section, 'configurations' AS what, count(*) AS lines FROM summary
-    UNION ALL SELECT 2, 'epochs', count(*) FROM metrics WHERE run = 1
-    UNION ALL SELECT 0, 'data set', 1""")
+def up(expression: str, places: int) -> str:
+    """Rounded half up, as the report prints it."""
+    return f"floor(({expression}) * {10**places}.0::DOUBLE + 0.5) / {10**places}.0::DOUBLE"
+
+
+def listed(section: int, lines: list[str], source: str) -> str:
+    """Lines of a section from a source of one row, as SQL."""
+    each = [f"SELECT {section} AS section, 0 AS place, 0 AS epoch, {k} AS row, {x} AS line FROM {source}" for k, x in enumerate(lines)]
+    return " UNION ALL ".join(each)
+
+
+REPORT_SQL = f"""
+WITH place AS (
+    SELECT *, (row_number() OVER (ORDER BY config <> 'sequential', workers, config) - 1)::INTEGER AS place FROM table4),
+size AS (
+    SELECT (SELECT count(*) FROM nodes) AS n, (SELECT count(*) FROM looped) AS e,
+        (SELECT count(DISTINCT label) FROM nodes) AS c, count(*) FILTER (node_type = 1) AS a,
+        count(*) FILTER (node_type = 2) AS b, count(*) FILTER (node_type = 3) AS d FROM nodes),
+spent AS (SELECT sum(epoch_time) AS t, max(peak_memory_mb) AS m FROM metrics),
+heads AS (SELECT 1 AS one)
+{listed(0, [
+    "repeat('=', 80)", "'  TRAINING RUNS: PERFORMANCE REPORT'", "repeat('=', 80)", "''", "'Dataset: embeddings'",
+    "printf('  Nodes: %d', n)", "printf('  Edges: %d', e)", "'  Features: 64'", "printf('  Classes: %d', c)",
+    "printf('  Train/Val/Test: %d/%d/%d', a, b, d)", "''",
+], "size")}
+UNION ALL {listed(1, [
+    "'Model and runs:'", "'  Layers: 2'", "'  Hidden dim: 128'", "'  Learning rate: 0.01'", "'  Epochs: 3'",
+    "'  Repeats per config: 3'", "'  Seeds: [42, 123, 456]'", "''",
+], "heads")}
+UNION ALL {listed(2, [
+    f"printf('Total benchmark time: %.1fs (%.1f min)', {up('t', 1)}, {up('t / 60', 1)})",
+    f"printf('Peak memory: %.1f MB', {up('m', 1)})", "''",
+], "spent")}
+UNION ALL SELECT 3, -1, 0, k, CASE k WHEN 1 THEN '{sinks.CONFIG_HEAD}' ELSE repeat('-', 80) END FROM range(3) AS g(k)
+UNION ALL SELECT 3, {1 << 30}, 0, k, CASE k WHEN 0 THEN repeat('-', 80) ELSE '' END FROM range(2) AS g(k)
+UNION ALL SELECT 3, place, 0, 0,
+    printf('%-20s %10.2fs %8.2f %9.2fx %11.4f %7.1f%% %9.4f %8.4f', config,
+        {up("avg_epoch_time_mean", 2)}, {up("avg_epoch_time_std", 2)}, {up("speedup", 2)}, {up("efficiency", 4)},
+        {up("comm_overhead_pct", 1)}, {up("test_f1_mean", 4)}, {up("test_f1_std", 4)}) FROM place
+UNION ALL SELECT 4, -1, 0, k,
+    CASE k WHEN 1 THEN '  EPOCHS OF THE FIRST RUN OF EACH CONFIGURATION' ELSE repeat('=', 80) END FROM range(3) AS g(k)
+UNION ALL SELECT 4, place, -1, k,
+    CASE k WHEN 0 THEN '' WHEN 1 THEN '--- ' || config || ' ---' ELSE '{sinks.EPOCH_HEAD}' END
+    FROM place, range(3) AS g(k)
+UNION ALL SELECT 4, place, epoch, 0,
+    printf('%6d %9.2fs %9.2fs %9.2fs %9.2fs %10.4f %10.4f %10.4f %10.4f', epoch, {up("m.epoch_time", 2)}, 0.0, 0.0,
+        {up("m.comm_time", 2)}, {up("m.loss", 4)}, {up("m.train_acc", 4)}, {up("m.val_f1", 4)}, {up("m.test_f1", 4)})
+    FROM metrics m JOIN place USING (config) WHERE run = 1"""
+
+
+@query(f"SELECT section::INTEGER AS section, place::INTEGER AS place, epoch::INTEGER AS epoch, row::INTEGER AS row, line FROM ({REPORT_SQL})")
 def report_text(spark, folder):
+    """The written report, read back: its lines in order against the same lines from SQL."""
     from vertexmill.operators.prepare import dataset_stats, undirected
+    from vertexmill.plans.experiments import SEEDS
+    from vertexmill.plans.reports import run_settings
+    from vertexmill.plans.trainer import TrainConfig
 
     metrics = sinks.metrics_rows(X.run_metrics(spark, folder))
     nodes = X.nodes(spark, folder)
     stats = dataset_stats("embeddings", nodes, undirected(X.raw_edges(spark, folder), nodes))
+    total = metrics.agg(F.sum("epoch_time")).first()[0]
     path = scratch_path(spark, "report")
-    sinks.write_report(sinks.report_lines(summary_of(spark, folder), metrics, stats), path)
-    line = F.col("value")
-    section = (
-        F.when(line.rlike(r"^(sequential|spark_\d+) +\d+ +[\d.]+s +[\d.]+s"), 2)
-        .when(line.rlike(r"^(sequential|spark_\d+) "), 1)
-        .when(line.startswith("Dataset:"), 0)
-    )
-    what = F.element_at(
-        F.create_map(F.lit(0), F.lit("data set"), F.lit(1), F.lit("configurations"),
-                     F.lit(2), F.lit("epochs")),
-        F.col("section"),
-    )
-    return (
-        spark.read.text(path).select(section.alias("section")).filter("section is not null")
-        .groupBy("section").agg(F.count("*").alias("lines"))
-        .select("section", what.alias("what"), "lines")
-    )
+    lines = sinks.report_lines(summary_of(spark, folder), metrics, stats, run_settings(TrainConfig(), SEEDS), total)
+    lines = written(lines, "report-lines")
+    sinks.write_report(lines, path)
+    # the n-th line of the files is the n-th in order
+    read = spark.read.text(path).select("value", "_metadata.file_name", F.monotonically_increasing_id().alias("at"))
+    named = read.select("value", F.row_number().over(Window.orderBy("file_name", "at")).alias("n"))
+    placed = lines.drop("line").withColumn("n", F.row_number().over(Window.orderBy("section", "place", "epoch", "row")))
+    return placed.join(named, "n").select("section", "place", "epoch", "row", F.col("value").alias("line"))
 
 
 @query(f"""SELECT config, {r("avg_epoch_time_mean")} AS epoch_time, {r("speedup")} AS speedup,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,18 @@ def compare_runs(spark: SparkSession, folder: str) -> Comparison | None:
     return Comparison(summary, table, quick_compare(summary), key_findings(summary))
 
 
+def run_settings(config: TrainConfig, seeds: tuple[int, ...]) -> dict[str, str]:
+    """What all runs of a benchmark have in common, as the report names it."""
+    return {
+        "Layers": str(config.num_layers),
+        "Hidden dim": str(config.hidden_dim),
+        "Learning rate": str(config.learning_rate),
+        "Epochs": str(config.epochs),
+        "Repeats per config": str(len(seeds)),
+        "Seeds": str(list(seeds)),
+    }
+
+
 def run_benchmark(
     name: str,
     nodes: DataFrame,
@@ -63,11 +76,13 @@ def run_benchmark(
     seeds: tuple[int, ...] = SEEDS,
 ) -> Comparison:
     """Train every configuration, save all runs, compare them and write the report."""
+    start = time.perf_counter()
     nodes = written(nodes, "nodes")
     grid = experiment_grid(nodes, edges, config, part_counts, seeds)
     write_metrics(grid, folder)
     found = compare_runs(nodes.sparkSession, folder)
     stats = dataset_stats(name, nodes, undirected(edges, nodes))
-    lines = report_lines(found.summary, metrics_rows(first_runs(grid)), stats)
+    took = time.perf_counter() - start
+    lines = report_lines(found.summary, metrics_rows(first_runs(grid)), stats, run_settings(config, seeds), took)
     write_report(lines, f"{folder}/performance_report")
     return found

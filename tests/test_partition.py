@@ -61,3 +61,26 @@ def test_one_raw_part_is_the_whole_graph(spark):
     doubled = dense.blocks(toy.n, toy.edges, 1, "normalized")
     assert np.allclose(one, whole)
     assert not np.allclose(doubled, whole)
+
+
+@pytest.mark.parametrize("ids, dense_ids", [
+    (range(70_000), 70_000), ([0, 2, 3], None), ([0, 1, 1, 3], None), ([], 0), ([1, 2], None), ([0], 1),
+])
+def test_dense_ids_are_told_by_bitmaps(spark, ids, dense_ids):
+    nodes = spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(3)
+    assert C.dense_count(nodes) == dense_ids
+
+
+def test_hubs_among_ids_with_gaps(spark):
+    random = np.random.default_rng(8)
+    ids = sorted({int(i) for i in random.integers(0, 500, 60)} | {3, 4})
+    nodes = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    edges = [(int(a), int(b), 1.0) for a, b in random.choice(ids, (300, 2))]
+    edges += [(3, int(b), 2.0) for b in random.choice(ids, 200)] + [(3, 501, 1.0), (502, 4, 1.0)]
+    table = spark.createDataFrame(edges, "src bigint, dst bigint, w double")
+    parts = 3
+    local = {i: k for p in range(parts) for k, i in enumerate(sorted(i for i in ids if i % parts == p))}
+    want = sorted((a % parts, local[a], local[b], w) for a, b, w in edges if a % parts == b % parts and a in local and b in local)
+    for floor in (5, 10_000):
+        got = C.intra_edges(table, nodes, parts, hub_floor=floor)
+        assert sorted(map(tuple, got.collect())) == want

@@ -124,3 +124,26 @@ def test_ranges_longer_than_a_step_are_whole(spark):
     spelled = B.spell_range(bounds, "low", "high", "id")
     row = spelled.agg(F.count("*"), F.countDistinct("id"), F.min("id"), F.max("id")).first()
     assert tuple(row) == (199_998, 199_998, 3, 200_000)
+
+
+def test_cuts_are_those_of_a_full_sort(spark):
+    random = np.random.default_rng(6)
+    keys = [int(k) for k in random.integers(-(1 << 62), 1 << 62, 300)] + [7] * 40 + [-(1 << 63), (1 << 63) - 1, -1, 0]
+    rows = [(k, i) for i, k in enumerate(keys)]
+    keyed = spark.createDataFrame(rows, "key bigint, id bigint").repartition(3)
+    ranks = [0, 1, 150, 170, len(rows) - 1, len(rows), 10_000]
+    want = sorted(rows)
+    assert B.cuts_at(keyed, ranks) == [want[r] if r < len(rows) else None for r in ranks]
+    assert B.cuts_at(keyed.limit(0), [0]) == [None]
+
+
+def test_random_split_is_a_filter(spark):
+    split = B.split_random(spark.range(1000).repartition(4), seed=3)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Join" not in plan
+    sums = split.selectExpr("count_if(is_train)", "count_if(is_val)", "count_if(is_test)").first()
+    assert tuple(sums) == (600, 200, 200)
+    assert split.filter("int(is_train) + int(is_val) + int(is_test) <> 1").count() == 0
+    assert B.split_random(spark.range(0)).count() == 0
+    whole = B.split_random(spark.range(5), train_share=1.0, val_share=0.0)
+    assert whole.filter("is_train").count() == 5

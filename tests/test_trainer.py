@@ -9,6 +9,7 @@ from vertexmill.operators import gcn as D
 from vertexmill.operators import local as L
 from vertexmill.operators import prepare as B
 from vertexmill.plans import experiments, trainer
+from vertexmill.plans import layout as layouts
 from vertexmill.plans.layout import lay_out, sum_columns, task_count
 from vertexmill.sources.datasets import load_karate
 
@@ -240,3 +241,16 @@ def test_a_failed_parallel_run_is_an_error_or_marked(spark, monkeypatch):
     assert sorted((r["config"], r["seed"], r["epoch"]) for r in grid.collect()) == [
         ("sequential", 42, 1), ("sequential", 123, 1), ("spark_2", 42, 0), ("spark_2", 123, 1),
     ]
+
+
+def test_a_grid_merges_its_edges_once(spark, monkeypatch):
+    toy, cfg, merges = dense.Toy(spark), config(epochs=1), []
+    real = experiments.undirected
+    for module in (experiments, layouts):
+        monkeypatch.setattr(module, "undirected", lambda *a: merges.append(1) or real(*a))
+    grid = experiments.experiment_grid(toy.nodes_df, toy.edges_df, cfg, (2, 4), (42,)).collect()
+    assert len(merges) == 1
+    for row in grid:
+        alone = train(toy.nodes_df, toy.edges_df, cfg,
+                      parts=None if row["config"] == "sequential" else int(row["config"].split("_")[1]))
+        assert row["loss"] == pytest.approx(alone.metrics[0]["loss"])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import part_of
+from vertexmill.operators.messages import HUB_FLOOR, attach, hub_limit
 from vertexmill.operators.prepare import normalize_edges
 from vertexmill.runtime import with_position
 
@@ -35,14 +36,19 @@ def small_side(per_part: DataFrame, parts: int) -> DataFrame:
 
 
 def dense_count(nodes: DataFrame) -> int | None:
-    """Number of nodes if their ids are 0, 1, ... without gap or repeat."""
-    found = nodes.agg(
-        F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"),
-        F.count_distinct("id").alias("ids"),
-    ).first()
+    """Number of nodes if their ids are 0, 1, ... without gap or repeat.
+
+    Where least, largest and number fit, the ids are counted as bits of bitmaps, so
+    what is shuffled is a bitmap per 32,768 ids and task, no ids.
+    """
+    found = nodes.agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).first()
     n = found["n"]
-    dense = n == 0 or (found["low"], found["high"], found["ids"]) == (0, n - 1, n)
-    return n if dense else None
+    if n == 0 or (found["low"], found["high"]) != (0, n - 1):
+        return None if n else 0
+    bitmaps = nodes.groupBy(F.bitmap_bucket_number("id").alias("bucket")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("id"))).alias("ids")
+    )
+    return n if bitmaps.agg(F.sum("ids")).first()[0] == n else None
 
 
 def _local(vertex: Column, parts: int) -> Column:
@@ -82,7 +88,9 @@ def block_edges(edges: DataFrame, parts: int) -> DataFrame:
     return edges.filter(src_pid == dst_pid)
 
 
-def intra_edges(edges: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
+def intra_edges(
+    edges: DataFrame, nodes: DataFrame, parts: int, hub_floor: int = HUB_FLOOR
+) -> DataFrame:
     """Edges inside a part by local ids: ``(pid, local_src, local_dst, w)``.
 
     Edges to ids that no node has are left out. Dense ids need no join.
@@ -96,17 +104,20 @@ def intra_edges(edges: DataFrame, nodes: DataFrame, parts: int) -> DataFrame:
             _local(F.col("dst"), parts).alias("local_dst"),
             "w",
         )
-    numbered = _numbered_ids(nodes, parts)
-    by_src = numbered.select(
-        F.col("id").alias("src"), "pid", F.col("local_id").alias("local_src")
-    )
-    by_dst = numbered.select(F.col("id").alias("dst"), F.col("local_id").alias("local_dst"))
-    return (
-        block_edges(edges, parts)
-        .join(by_src, "src")
-        .join(by_dst, "dst")
-        .select("pid", "local_src", "local_dst", "w")
-    )
+    numbered = _numbered_ids(nodes, parts).select("id", F.col("local_id").alias("value"))
+    inside = block_edges(edges, parts)
+    for end in ("src", "dst"):
+        # edges of a hub take its number from a broadcast, so no join task gets them all
+        counted = edges_per_end(inside, end)
+        total = counted.agg(F.coalesce(F.sum("n_edges"), F.lit(0))).first()[0]
+        hubs = numbered.join(F.broadcast(counted.filter(F.col("n_edges") > hub_limit(total, hub_floor))), "id")
+        inside = attach(inside, end, numbered, hubs.select("id", "value"), f"local_{end}")
+    known = F.col("local_src").isNotNull() & F.col("local_dst").isNotNull()
+    return inside.filter(known).select(part_of(F.col("src"), parts).alias("pid"), "local_src", "local_dst", "w")
+
+
+def edges_per_end(edges: DataFrame, end: str) -> DataFrame:
+    return edges.groupBy(F.col(end).alias("id")).agg(F.count("*").alias("n_edges"))
 
 
 def boundary_edges(edges: DataFrame, parts: int) -> DataFrame:

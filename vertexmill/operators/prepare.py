@@ -55,22 +55,75 @@ def split_positional(
     )
 
 
+#: Bits of a key that one level of a rank search tells apart.
+LEVEL_BITS = 16
+
+
+def _unsigned(key: Column) -> Column:
+    """Bits of a signed key whose unsigned order is the key's order."""
+    return key.bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def cuts_at(keyed: DataFrame, ranks: list[int]) -> list[tuple[int, int] | None]:
+    """The ``(key, id)`` at each of ``ranks`` in the order of ``(key, id)``; None beyond the last row.
+
+    No row is sorted: a level counts the rows by the next bits of their keys, within the
+    bucket where the rank falls, for all ranks at once. Only rows of equal keys are told
+    apart by their ids.
+    """
+    found = [(0, rank) for rank in ranks]
+    size = keyed.count()
+    asked = [k for k, rank in enumerate(ranks) if rank < size]
+    bits = _unsigned(F.col("key"))
+    for shift in range(64 - LEVEL_BITS, -1, -LEVEL_BITS):
+        here = [
+            keyed.filter(F.shiftrightunsigned(bits, shift + LEVEL_BITS) == found[k][0] if shift < 64 - LEVEL_BITS else F.lit(True))
+            .groupBy(F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)).alias("bucket"))
+            .agg(F.count("*").alias("n"))
+            .select(F.lit(k).alias("k"), "bucket", "n")
+            for k in asked
+        ]
+        counts: dict[int, list[tuple[int, int]]] = {k: [] for k in asked}
+        for part in here:
+            for r in part.collect():
+                counts[r["k"]].append((r["bucket"], r["n"]))
+        for k in asked:
+            prefix, left = found[k]
+            for bucket, n in sorted(counts[k]):
+                if left < n:
+                    found[k] = (prefix << LEVEL_BITS | bucket, left)
+                    break
+                left -= n
+    out: list[tuple[int, int] | None] = [None] * len(ranks)
+    for k in asked:
+        key = found[k][0] - (1 << 63)
+        same = keyed.filter(F.col("key") == F.lit(key)).orderBy("id").limit(found[k][1] + 1).collect()
+        out[k] = (key, same[-1]["id"])
+    return out
+
+
 def split_random(
     nodes: DataFrame, seed: int = 42, train_share: float = 0.6, val_share: float = 0.2
 ) -> DataFrame:
-    """Seeded random split with exact sizes: ``int(share * n)`` rows, the rest test."""
+    """Seeded random split with exact sizes: ``int(share * n)`` rows, the rest test.
+
+    Nodes are taken in the order of a hash of their ids; two cut points in that order, found
+    by counting, make the split a filter.
+    """
+    size = nodes.count()
+    n_train, n_val = int(size * train_share), int(size * val_share)
     keyed = nodes.select("id", F.xxhash64("id", F.lit(seed)).alias("key"))
-    ranked = with_position(keyed, "key", "id", name="place")
-    size = nodes.agg(F.count("*")).scalar()
-    n_train = F.floor(size * F.lit(train_share))
-    n_val = F.floor(size * F.lit(val_share))
-    masks = ranked.select(
-        "id",
-        (F.col("place") < n_train).alias("is_train"),
-        ((F.col("place") >= n_train) & (F.col("place") < n_train + n_val)).alias("is_val"),
-        (F.col("place") >= n_train + n_val).alias("is_test"),
+    first, second = cuts_at(keyed, [n_train, n_train + n_val])
+    key = F.xxhash64("id", F.lit(seed))
+
+    def before(cut: tuple[int, int] | None) -> Column:
+        if cut is None:
+            return F.lit(True)
+        return (key < F.lit(cut[0])) | ((key == F.lit(cut[0])) & (F.col("id") < F.lit(cut[1])))
+
+    return nodes.withColumns(
+        {"is_train": before(first), "is_val": ~before(first) & before(second), "is_test": ~before(second)}
     )
-    return nodes.join(masks, "id")
 
 
 # ---------------------------------------------------------------- labels and features

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from vertexmill.functions.scalars import BASELINE, PARALLEL_PREFIX
+from vertexmill.operators.prepare import undirected
 from vertexmill.plans.layout import lay_out
 from vertexmill.plans.trainer import TrainConfig, train_layout
+from vertexmill.runtime import drop_written, written
 from vertexmill.schema import RUN_METRICS
 
 #: Part counts and seeds of the published runs.
@@ -36,15 +38,17 @@ def experiment_grid(
 ) -> DataFrame:
     """``run_metrics`` of every configuration and seed, with ``run`` and ``seed``.
 
-    A layout serves all seeds of its configuration. A run that fails is an
+    Repeated and opposite edges are merged once for the whole grid; a layout serves all
+    seeds of its configuration. A run that fails is an
     error; with ``mark_failed`` a failing parallel run is logged and stands in
     the table as epoch 0 without measures, and a failing baseline is an error.
     """
     rows: list[tuple] = []
     counts: list[int | None] = ([None] if with_baseline else []) + list(part_counts)
+    merged = written(undirected(edges, nodes), "grid-edges")
     for parts in counts:
         name = BASELINE if parts is None else f"{PARALLEL_PREFIX}{parts}"
-        layout = lay_out(nodes, edges, parts=parts, local_input=local_input)
+        layout = lay_out(nodes, edges, parts=parts, local_input=local_input, merged=merged)
         try:
             for run, seed in enumerate(seeds, start=1):
                 try:
@@ -61,4 +65,5 @@ def experiment_grid(
                     rows.append(tuple(full[f.name] for f in GRID))
         finally:
             layout.release()
+    drop_written(merged)
     return nodes.sparkSession.createDataFrame(rows, GRID)

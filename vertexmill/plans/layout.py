@@ -268,20 +268,29 @@ def lay_out(
     hub_floor: int = HUB_FLOOR,
     part_bytes: int = PART_BYTES,
     sum_bytes: int = SUM_BYTES,
+    merged: DataFrame | None = None,
 ) -> Layout:
     """Build the training layout from a node table and *raw* edges.
 
     Shuffles every edge twice: once to merge repeats, once to its place. Edges are kept
     as compressed blocks where a task's sums take at most ``sum_bytes``, else as rows that are
     joined and may spill. Parts of at most ``part_bytes`` lie in a task each.
+
+    ``merged`` is the written undirected table with loops, where several layouts of a graph
+    share it: then a layout is a filter of it, and leaves it to its owner.
     """
-    if parts is None:
+    shared = merged is not None
+    if shared:
+        chosen = merged if parts is None else block_weights(merged, parts, local_input)
+    elif parts is None:
         chosen = undirected(edges, nodes)
     else:
         # edges between parts go before the shuffle, as no merged edge needs them
         inside = undirected(block_edges(edges, parts), nodes)
         chosen = block_weights(inside, parts, local_input)
-    merged = written(chosen, "edges")
+    if not shared or parts is not None:
+        merged, shared = written(chosen, "edges"), False
+    own = () if shared else (merged,)
 
     per_vertex = merged.groupBy(F.col("src").alias("id")).agg(
         F.sum("w").alias("degree"), F.count("*").alias("n_edges")
@@ -342,7 +351,7 @@ def lay_out(
         num_classes=num_classes or found["classes"],
         n_train=found["n_train"],
         parts=parts,
-        tables=(merged, counted, hubs, *blocks, aggregated),
+        tables=(*own, counted, hubs, *blocks, aggregated),
         slots=slots,
         columns=columns,
     )

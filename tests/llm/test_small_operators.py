@@ -269,6 +269,28 @@ def test_tiles_cover_as_much_as_the_plain_greedy_search():
         assert (found[0][2] if found else 0) == want
 
 
+def test_short_items_must_be_held_whole(documents, spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma"), (2, "Delta"), (3, " "), (4, None)], "item_id bigint, text string")
+    rows = [(1, "x ALPHA beta gamma y", "en", "s"), (2, "alpha beta y gamma", "en", "s"), (3, "a delta", "en", "s"), (4, None, "en", "s")]
+    got = decontam.leaks(documents(rows), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["covered_words"]) for r in got) == [(1, 1, 3), (3, 2, 1)]
+
+
+def test_repetitive_texts_need_little_memory():
+    import tracemalloc
+
+    index = decontam.index_of([(1, "a " * 800), (2, "a b " * 300)], 5)
+    column = pa.array(["a " * 80_000 + "a b " * 20_000])
+    tracemalloc.start()
+    found = {item: (covered, tiles) for _, item, covered, tiles in decontam.matches(column, index, 5, 0.5)}
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 300e6
+    assert found[0][0] == 800 and found[0][1] == [(0, 0, 800)]
+    # the text goes over from one to the other in "a a b"
+    assert found[1][0] == 600 and found[1][1] == [(80_000, 0, 600)]
+
+
 def test_benchmark_blocks_give_the_same_matches(documents, spark, monkeypatch):
     items = [(k, " ".join(f"i{k}x{j}" for j in range(20))) for k in range(12)]
     rows = [(k, "a b " + items[k][1] + " c", "en", "s") for k in range(12)]
@@ -281,20 +303,23 @@ def test_benchmark_blocks_give_the_same_matches(documents, spark, monkeypatch):
 # ------------------------------------------------------------------ 5 quality
 
 
-def brute_quality(rows, limit):
-    lines = defaultdict(set)
+def brute_quality(rows, limit, share):
+    lines, texts = defaultdict(set), defaultdict(set)
     plain = lambda x: " ".join(quality.normalised(x.encode()).decode().split())
-    for d, t, _, s in rows:
+    for _, t, _, s in rows:
+        if (t or "").encode().split():
+            texts[s].add(t)
         for x in (t or "").split("\n"):
             if plain(x):
-                lines[s, plain(x)].add((d, t))
+                lines[s, plain(x)].add(t)
+    common = {k for k, v in lines.items() if len(v) > limit and 100 * len(v) > share * len(texts[k[0]])}
     out = []
     for _, t, _, s in rows:
         w = (t or "").encode().split()
         n = Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
         cover = {k + j for k in range(len(w) - 7) if n[tuple(w[k : k + 8])] > 1 for j in range(8)}
         full = [x for x in (t or "").split("\n") if plain(x)]
-        gone = sum(len(plain(x).split()) for x in full if len(lines[s, plain(x)]) > limit)
+        gone = sum(len(plain(x).split()) for x in full if (s, plain(x)) in common)
         failed = len(w) < 20 or 100 * len(cover) > 30 * len(w)
         left = len(w) - gone
         kept = not failed and left >= 20 and 100 * left >= 50 * len(w)
@@ -314,15 +339,26 @@ def test_quality_equals_brute_force(documents):
         *[(300 + k, f"{body(k)}\n" + "same long footer line " * 20, "en", None) for k in range(2)],
         (400, "#*$ % & | <> é", "en", "s1"),
     ]
-    got = quality.quality(documents(rows), most_documents=3).collect()
-    have = [
-        (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"], r["kept"])
-        for r in got
-    ]
-    assert sorted(have) == sorted(brute_quality(rows, 3))
+    rows += [(500 + k, rows[-2][1], "en", "s9") for k in range(4)]
+    for limit, share in ((3, 5), (1, 60)):
+        got = quality.quality(documents(rows), limit, share).collect()
+        have = [
+            (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"], r["kept"])
+            for r in got
+        ]
+        assert sorted(have) == sorted(brute_quality(rows, limit, share))
+        assert any(r["lines_removed_words"] for r in got)
     assert quality.quality(documents(rows).limit(0)).count() == 0
 
 
+def test_copies_and_table_size_leave_the_verdict(documents):
+    name = lambda k: chr(97 + k % 26) + chr(97 + k // 26)
+    body = lambda k: " ".join(f"t{name(k)}x{name(j)}" for j in range(25))
+    for copies in (90, 110):
+        rows = [(k, body(99), "en", "s") for k in range(copies)] + [(1000 + k, body(k), "en", "s") for k in range(30)]
+        assert all(r["kept"] for r in quality.quality(documents(rows)).collect())
+
+
 # ------------------------------------------------------------------ 7 HTML
 
 
@@ -434,3 +470,46 @@ def test_token_counts_odd_rows(documents):
     got = {r["doc_id"]: (r["n_words"], r["n_tokens"]) for r in token_counts.token_counts(documents(ODD), pieces).collect()}
     assert got[3] == got[4] == got[5] == (0, 0)
     assert got[2] == (6, 4 + 4 + 3 + 3 + 1 + 3)
+
+
+# ------------------------------------------------------------------ 2 shards of the language model
+
+
+def test_a_missing_or_short_shard_is_an_error(documents, monkeypatch):
+    import os
+
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 20)
+    rows = [(k, f"the cat {k} sat on the mat {k % 3}", "en", "s") for k in range(20)]
+    model = ngram_lm.fit(documents(rows))
+    assert model.shards > 1 and {f"{model.folder}/{name}" for name in model.sizes} == {
+        f"{model.folder}/{name}" for name in os.listdir(model.folder)
+    }
+    column = pa.array([r[1] for r in rows])
+    whole = ngram_lm.score_rows(column, model, ngram_lm._Arrays(model.folder, model.sizes))["score"]
+    assert np.isfinite(whole).all()
+    with pytest.raises(RuntimeError, match="no shard"):
+        ngram_lm.score_rows(column, model, ngram_lm._Arrays(model.folder + "-elsewhere", model.sizes))
+    name = max(model.sizes, key=model.sizes.get)
+    with open(f"{model.folder}/{name}", "r+b") as file:
+        file.truncate(os.path.getsize(file.name) - 4)
+    with pytest.raises(RuntimeError, match="should have"):
+        ngram_lm.score_rows(column, model, ngram_lm._Arrays(model.folder, model.sizes))
+    os.remove(f"{model.folder}/{name}")
+    with pytest.raises(RuntimeError, match="no shard"):
+        ngram_lm.score_rows(column, model, ngram_lm._Arrays(model.folder, model.sizes))
+
+
+def test_many_shards_need_few_open_files(tmp_path):
+    import os
+
+    sizes = {}
+    for k in range(1500):
+        ngram_lm._store(str(tmp_path), f"bigrams-{k}", np.array([k], dtype="<u8"), np.array([k + 1], dtype="<u4"))
+        sizes[f"bigrams-{k}"] = 1
+    arrays = ngram_lm._Arrays(str(tmp_path), sizes)
+    before = len(os.listdir("/proc/self/fd"))
+    keys = np.arange(1500, dtype=np.uint64)
+    (n,) = arrays.look_up("bigrams", ["<u8", "<u4"], keys.astype(np.int64), keys)
+    assert (n == np.arange(1500) + 1).all()
+    assert len(os.listdir("/proc/self/fd")) - before < 50
+    assert len(arrays.open) <= ngram_lm.MOST_OPEN

@@ -27,40 +27,69 @@ BLOCK_BYTES = 8 << 20
 
 @dataclass
 class Index:
-    """Runs of ``LEAST_TILE`` words of a block's items, sorted by hash."""
+    """Runs of ``least_tile`` words of a block's items, sorted by hash; items of fewer words are a run each."""
 
     runs: np.ndarray
     item: np.ndarray
     at: np.ndarray
     ids: list
     sizes: np.ndarray
+    widths: list
 
 
 def index_of(items: list, least_tile: int) -> Index:
-    """``items`` are ``(item_id, text)``. Items of fewer words than a tile have no runs."""
+    """``items`` are ``(item_id, text)``. An item of fewer words than a tile is one run, the whole of it."""
     found = text.words(pa.array([t for _, t in items], type=pa.string()))
-    runs, first = text.windows(found, found.hashes(), least_tile)
+    hashes = found.hashes()
     begin = np.cumsum(found.counts) - found.counts
+    runs, first = text.windows(found, hashes, least_tile)
+    widths = [least_tile]
+    for width in range(1, least_tile):
+        if (found.counts == width).any():
+            widths.append(width)
+            short, at = text.windows(found, hashes, width)
+            whole = found.counts[found.row[at]] == width
+            runs, first = np.concatenate([runs, short[whole]]), np.concatenate([first, at[whole]])
     order = np.argsort(runs, kind="stable")
     item = found.row[first]
-    return Index(runs[order], item[order], (first - begin[item])[order], [i for i, _ in items], found.counts)
+    return Index(runs[order], item[order], (first - begin[item])[order], [i for i, _ in items], found.counts, widths)
 
 
-def tile(p: np.ndarray, q: np.ndarray, least: int, words: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles ``(document word, item word, length)`` from matching runs ``(p, q)``.
+def diagonals(places: list[np.ndarray], q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal matches ``(document run, item run, runs)`` where the item's run ``q[k]`` stands at ``places[k]`` of the document.
+
+    The item is walked run by run. A match is held by where it is now, so memory
+    follows the places of one run and the matches found, never the pairs of places.
+    """
+    out = []
+    now = begin = since = np.zeros(0, dtype=np.int64)
+    last = -2
+    for k in np.argsort(q, kind="stable"):
+        here, at = places[k], int(q[k])
+        start, first = here.copy(), np.full(len(here), at, dtype=np.int64)
+        if at != last + 1:
+            out.append((begin, since, last + 1 - since))
+        else:
+            spot = np.searchsorted(here, now + 1)
+            goes = here[np.minimum(spot, len(here) - 1)] == now + 1
+            start[spot[goes]], first[spot[goes]] = begin[goes], since[goes]
+            out.append((begin[~goes], since[~goes], last + 1 - since[~goes]))
+        now, begin, since, last = here, start, first, at
+    out.append((begin, since, last + 1 - since))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def tile(places: list[np.ndarray], q: np.ndarray, least: int, words: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles ``(document word, item word, length)``; the item's run ``q[k]`` stands at ``places[k]`` of the document.
 
     Runs on one diagonal that follow each other are one match. The longest match
     whose words are all unmarked is marked, again and again; what marks have cut
     off goes back as shorter matches while it is a tile long. Ties: first in the
     item, then in the document.
     """
-    order = np.lexsort((p, p - q))
-    p, q = p[order], q[order]
-    new = np.ones(len(p), dtype=bool)
-    new[1:] = (p[1:] != p[:-1] + 1) | (p[1:] - q[1:] != p[:-1] - q[:-1])
-    begin = np.flatnonzero(new)
-    length = np.diff(np.concatenate([begin, [len(p)]])) + least - 1
-    heap = [(-int(n), int(q[b]), int(p[b])) for b, n in zip(begin, length, strict=True)]
+    p, q, length = diagonals(places, q)
+    length = length + least - 1
+    heap = [(-n, at_item, at_doc) for at_doc, at_item, n in zip(p.tolist(), q.tolist(), length.tolist(), strict=True)]
     heap.sort()
     in_item, in_doc = np.zeros(words, dtype=bool), {}
     tiles = []
@@ -84,35 +113,58 @@ def tile(p: np.ndarray, q: np.ndarray, least: int, words: int) -> list[tuple[int
     return tiles
 
 
+def _met(runs: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of ``runs`` the index holds, and from where to where."""
+    low = np.searchsorted(index.runs, runs)
+    hit = np.flatnonzero(index.runs[np.minimum(low, len(index.runs) - 1)] == runs) if len(index.runs) else np.zeros(0, int)
+    return hit, low[hit], np.searchsorted(index.runs, runs[hit], side="right")
+
+
 def matches(column: pa.Array, index: Index, least_tile: int, coverage: float) -> Iterator[tuple]:
     """``(row, item, covered words, tiles)`` of the rows that hold enough of an item."""
     found = text.words(column)
-    runs, first = text.windows(found, found.hashes(), least_tile)
-    low = np.searchsorted(index.runs, runs)
-    hit = np.flatnonzero(index.runs[np.minimum(low, max(0, len(index.runs) - 1))] == runs) if len(index.runs) else []
-    if not len(hit):
-        return
-    low, runs, first = low[hit], runs[hit], first[hit]
-    high = np.searchsorted(index.runs, runs, side="right")
+    hashes = found.hashes()
     begin = np.cumsum(found.counts) - found.counts
-    rows = found.row[first]
-    place = first - begin[rows]
-    for row in np.unique(rows):
-        a, b = np.searchsorted(rows, [row, row + 1])
-        n = high[a:b] - low[a:b]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[a:b], n)
-        p, item, q = np.repeat(place[a:b], n), index.item[at], index.at[at]
-        order = np.argsort(item, kind="stable")
-        cuts = np.flatnonzero(np.diff(item[order])) + 1
-        for part in np.split(order, cuts):
-            own = int(item[part[0]])
-            most = min(len(part) * least_tile, int(index.sizes[own]))
-            if most < coverage * index.sizes[own]:
-                continue  # even without overlaps the tiles would cover too little
-            tiles = tile(p[part], q[part], least_tile, int(index.sizes[own]))
-            covered = sum(t[2] for t in tiles)
-            if covered >= coverage * index.sizes[own]:
-                yield int(row), own, covered, tiles
+    for width in index.widths:
+        runs, first = text.windows(found, hashes, width)
+        hit, low, high = _met(runs, index)
+        if not len(hit):
+            continue
+        rows = found.row[first[hit]]
+        place = first[hit] - begin[rows]
+        for row in np.unique(rows):
+            a, b = np.searchsorted(rows, [row, row + 1])
+            yield from _row_matches(int(row), place[a:b], low[a:b], high[a:b], index, width, coverage)
+
+
+def _row_matches(
+    row: int, place: np.ndarray, low: np.ndarray, high: np.ndarray, index: Index, width: int, coverage: float
+) -> Iterator[tuple]:
+    """As :func:`matches` for one row: ``place`` of its runs, and where the index holds their equals.
+
+    The places of a run are kept once, however many equals it has; a pair of
+    places is made only for an item that may be covered, and one item at a time.
+    """
+    order = np.lexsort((place, low))
+    place, low, high = place[order], low[order], high[order]
+    kinds = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+    own = [place[a:b] for a, b in zip(kinds, np.append(kinds[1:], len(low)), strict=True)]
+    sizes = high[kinds] - low[kinds]
+    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low[kinds], sizes)
+    kind = np.repeat(np.arange(len(kinds)), sizes)
+    item = index.item[at]
+    order = np.argsort(item, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(item[order])) + 1):
+        words = int(index.sizes[item[part[0]]])
+        q = np.sort(index.at[at[part]])
+        # words of the item inside any run that the row has: tiles can't cover more
+        most = width + np.minimum(np.diff(q), width).sum()
+        if most < coverage * words:
+            continue
+        tiles = tile([own[k] for k in kind[part]], index.at[at[part]], width, words)
+        covered = sum(t[2] for t in tiles)
+        if covered >= coverage * words:
+            yield row, int(item[part[0]]), covered, tiles
 
 
 def blocks(benchmark: DataFrame, least_tile: int) -> Iterator:
@@ -140,8 +192,8 @@ def leaks(
     """A row per document row and benchmark item it holds at least ``coverage`` of.
 
     Passages may be cut up and reordered: tiles need ``least_tile`` words each.
-    Null and empty texts on either side match nothing, nor do items shorter than
-    a tile. Repeated documents and repeated items each give rows of their own;
+    Items shorter than a tile must be held whole. Null and empty texts on either side match
+    nothing. A very long text is held against the items alone. Repeated documents and repeated items each give rows of their own;
     null ids are passed through. An empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))

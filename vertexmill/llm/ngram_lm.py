@@ -9,7 +9,9 @@ distinct bigrams of a few megabytes of text at a time, in sorted order.
 
 from __future__ import annotations
 
+import mmap
 import os
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -137,6 +139,7 @@ class Model:
     discounts: np.ndarray  # of bigram counts 0, 1, 2, 3 and more
     lower_discounts: np.ndarray  # of continuation counts
     lower_kept: float  # probability the word level leaves to unseen words
+    sizes: dict[str, int]  # rows of every stored shard
 
 
 def shard_of(context: np.ndarray, key: np.ndarray, heavy: np.ndarray, shards: int) -> np.ndarray:
@@ -258,7 +261,7 @@ def _merge_bigrams(folder: str, shards: int):
             context, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), (n >= 3).astype(np.int64)
         )
         words, _, before = summed(word, np.ones(len(word), dtype=np.int64))
-        rows = [(-1, np.concatenate([[len(n)], count_of_counts(n)]).astype("<i8").tobytes())]
+        rows = [(-1, np.concatenate([[shard, len(n)], count_of_counts(n)]).astype("<i8").tobytes())]
         by_c, by_w = contexts % np.uint64(shards), words % np.uint64(shards)
         order_c, order_w = np.argsort(by_c, kind="stable"), np.argsort(by_w, kind="stable")
         edges = np.arange(shards + 1, dtype=np.uint64)
@@ -282,8 +285,9 @@ def _merge_words(folder: str):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         shard = int(frame["shard"].iloc[0])
         if shard < 0:
-            total = sum(np.frombuffer(d, dtype="<i8") for d in frame["data"])
-            return pd.DataFrame([(shard, 0, 0, 0, [int(x) for x in total])], columns=NUMBERS_NAMES)
+            each = np.stack([np.frombuffer(d, dtype="<i8") for d in frame["data"]])
+            told = [*each[:, 1:].sum(axis=0).tolist(), *each[:, :2].ravel().tolist()]
+            return pd.DataFrame([(shard, 0, 0, 0, 0, told)], columns=NUMBERS_NAMES)
         keys, values = [], []
         for data in frame["data"]:
             r = _Reader(data)
@@ -305,15 +309,15 @@ def _merge_words(folder: str):
         told = [int((seen > 0).sum()), *(int(x) for x in count_of_counts(seen)), int((seen >= 3).sum())]
         start = int(total[key == START].sum())
         return pd.DataFrame(
-            [(shard, int(total.sum()), int(((total > 0) & (key != START)).sum()), start, told)],
+            [(shard, len(key), int(total.sum()), int(((total > 0) & (key != START)).sum()), start, told)],
             columns=NUMBERS_NAMES,
         )
 
     return run
 
 
-NUMBERS_NAMES = ["shard", "tokens", "words", "ends", "counts"]
-NUMBERS = "shard int, tokens bigint, words bigint, ends bigint, counts array<bigint>"
+NUMBERS_NAMES = ["shard", "rows", "tokens", "words", "ends", "counts"]
+NUMBERS = "shard int, rows bigint, tokens bigint, words bigint, ends bigint, counts array<bigint>"
 
 
 def fit(docs: DataFrame) -> Model:
@@ -333,6 +337,8 @@ def fit(docs: DataFrame) -> Model:
     )
     bigrams = next((r["counts"] for r in numbers if r["shard"] < 0), [0] * 5)
     words = [r for r in numbers if r["shard"] >= 0]
+    sizes = {f"bigrams-{shard}": n for shard, n in zip(bigrams[5::2], bigrams[6::2], strict=True)}
+    sizes |= {f"words-{r['shard']}": r["rows"] for r in words}
     ends = sum(r["ends"] for r in words)
     level = np.sum([r["counts"] for r in words], axis=0) if words else np.zeros(6, dtype=np.int64)
     lower = discounts(level[1:5])
@@ -340,29 +346,52 @@ def fit(docs: DataFrame) -> Model:
     return Model(
         folder, shards, heavy, sum(r["tokens"] for r in words),
         sum(r["words"] for r in words) + (ends > 0), ends, bigrams[0],
-        discounts(np.array(bigrams[1:5])), lower, float(kept),
+        discounts(np.array(bigrams[1:5])), lower, float(kept), sizes,
     )
 
 
+#: Python before 3.13 keeps a file open for each mapping.
+_UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+
+#: Shards that a worker keeps mapped.
+MOST_OPEN = 1024
+
+
 class _Arrays:
-    """A worker's view of a stored model: arrays mapped from the folder when first asked for."""
+    """A worker's view of a stored model: arrays mapped from the folder when first asked for.
 
-    def __init__(self, folder: str):
-        self.folder, self.open = folder, {}
+    A mapping holds no open file. A shard that should be there and is not, or is not
+    whole, is an error: read as empty it would turn known words into unknown ones.
+    """
+
+    def __init__(self, folder: str, sizes: dict[str, int]):
+        self.folder, self.sizes, self.open = folder, sizes, {}
+
+    def _mapped(self, name: str, kinds: list[str]) -> list[np.ndarray]:
+        n = self.sizes.get(name, 0)
+        if not n:
+            return [np.zeros(0, dtype=kind) for kind in kinds]
+        path = f"{self.folder}/{name}"
+        try:
+            with open(path, "rb") as file:
+                data = np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **_UNTRACKED), dtype=np.uint8)
+        except (OSError, ValueError) as error:
+            raise RuntimeError(f"the language model has no shard {name} in {self.folder} on this worker") from error
+        whole = 8 + n * sum(np.dtype(kind).itemsize for kind in kinds)
+        if len(data) != whole or data[:8].view("<i8")[0] != n:
+            raise RuntimeError(f"shard {path} of the language model should have {n} rows in {whole} bytes")
+        out, at = [], 8
+        for kind in kinds:
+            size = n * np.dtype(kind).itemsize
+            out.append(data[at : at + size].view(kind))
+            at += size
+        return out
 
     def get(self, name: str, kinds: list[str]) -> list[np.ndarray]:
         if name not in self.open:
-            path = f"{self.folder}/{name}"
-            if os.path.exists(path):
-                data = np.memmap(path, dtype=np.uint8, mode="r")
-                n, at, out = int(data[:8].view("<i8")[0]), 8, []
-                for kind in kinds:
-                    size = n * np.dtype(kind).itemsize
-                    out.append(data[at : at + size].view(kind))
-                    at += size
-            else:
-                out = [np.zeros(0, dtype=kind) for kind in kinds]
-            self.open[name] = out
+            while len(self.open) >= MOST_OPEN:
+                del self.open[next(iter(self.open))]
+            self.open[name] = self._mapped(name, kinds)
         return self.open[name]
 
     def look_up(self, stem: str, kinds: list[str], shard: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
@@ -427,12 +456,15 @@ def score(docs: DataFrame) -> DataFrame:
     ``perplexity`` follows from ``score``. Null and empty texts are one end token.
     A row without a doc_id is not held out; repeated rows count as often as they
     stand. With nothing to train on every token has probability 1 of 1 unknown
-    word. An empty table gives no rows.
+    word. A very long text is scored alone. An empty table gives no rows.
+
+    Words are told apart by 48 bits of a hash: a word that was not trained on is taken
+    for one of ``V`` trained ones with a chance of ``V / 2**48``, 4e-7 for a hundred million words.
     """
     model = fit(docs.filter(~held_out()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = _Arrays(model.folder)
+        arrays = _Arrays(model.folder, model.sizes)
         for batch in text.chunks(batches):
             found = score_rows(batch.column("text"), model, arrays)
             yield pa.RecordBatch.from_pydict(

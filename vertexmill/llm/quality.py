@@ -16,8 +16,8 @@ from vertexmill.llm.tables import join_by, written
 #: Base rules: fewest words, words per window, and the largest share of words in repeated windows.
 LEAST_WORDS, WINDOW, MOST_REPEATED = 20, 8, 30
 
-#: A line in more distinct documents of its host than this is removed.
-MOST_DOCUMENTS = 100
+#: A line is removed where more of its host's distinct texts hold it than this, and than this percentage of them.
+MOST_TEXTS, MOST_SHARE = 10, 5
 
 #: A document must keep this percentage of its words, and ``LEAST_WORDS``, without such lines.
 LEAST_LEFT = 50
@@ -100,39 +100,39 @@ MEASURES = (
 
 
 def quality(
-    docs: DataFrame, most_documents: int = MOST_DOCUMENTS, least_left: int = LEAST_LEFT
+    docs: DataFrame, most_texts: int = MOST_TEXTS, most_share: float = MOST_SHARE, least_left: int = LEAST_LEFT
 ) -> DataFrame:
     """Counts and verdicts for every row of ``docs(doc_id, text, source)``.
 
     ``base_failed``: fewer than 20 words, or over 30 % of them in repeated
-    8-word windows. A line that stands in more than ``most_documents`` distinct
-    documents of a source, normalised, is removed; ``lines_removed_words`` are
-    its words. ``kept`` is false where the base rules fail or less than
+    8-word windows. A line that, normalised, stands in more than ``most_texts`` distinct
+    texts of a source and in more than ``most_share`` percent of them is removed;
+    ``lines_removed_words`` are its words. ``kept`` is false where the base rules fail or less than
     ``least_left`` percent of the words, or fewer than 20, are left.
 
-    Null or empty texts have no words and fail. Null sources are one source.
-    Documents are told apart by id and text, so exactly repeated rows count as
-    one and share a verdict. An empty table gives no rows.
+    Copies of a text count once, so they don't make its lines common, and share a verdict
+    within their source. Null or empty texts have no words and fail. Null sources are one
+    source. A very long text is measured alone. An empty table gives no rows.
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint"),
         F.col("source").cast("string"),
         F.col("text").cast("string"),
-        F.xxhash64("doc_id", "text").alias("key"),
+        F.xxhash64("text").alias("key"),
     )
     measured = written(rows.mapInArrow(_measure, MEASURES), "quality-rows")
     lines = measured.select("source", "key", F.inline("lines"))
-    common = written(
-        lines.groupBy("source", "h")
-        .agg(F.count_distinct("key").alias("documents"))
-        .filter(F.col("documents") > most_documents),
-        "quality-lines",
+    sizes = written(
+        measured.filter("n_words > 0").groupBy("source").agg(F.count_distinct("key").alias("texts")), "quality-sizes"
     )
+    found = lines.groupBy("source", "h").agg(F.count_distinct("key").alias("holding")).filter(F.col("holding") > most_texts)
+    common = join_by(found, sizes, ["source"], "inner", spread="h")
+    common = written(common.filter(100 * F.col("holding") > most_share * F.col("texts")).select("source", "h"), "quality-lines")
     removed = written(
-        join_by(lines, common.select("source", "h"), ["source", "h"], "inner", spread="key")
-        .groupBy("key", "h")
+        join_by(lines, common, ["source", "h"], "inner", spread="key")
+        .groupBy("source", "key", "h")
         .agg(F.max("words").alias("words"))
-        .groupBy("key")
+        .groupBy("source", "key")
         .agg(F.sum("words").alias("lines_removed_words")),
         "quality-removed",
     )
@@ -142,7 +142,7 @@ def quality(
     gone = F.coalesce("lines_removed_words", F.lit(0))
     left = F.col("n_words") - gone
     depleted = (left < LEAST_WORDS) | (100 * left < least_left * F.col("n_words"))
-    return join_by(measured.drop("lines"), removed, ["key"]).select(
+    return join_by(measured.drop("lines"), removed, ["source", "key"], spread="doc_id").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
         (~failed & ~depleted).alias("kept"),

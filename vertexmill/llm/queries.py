@@ -128,15 +128,19 @@ rep AS (
   SELECT doc_id, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
 raw AS (
-  SELECT doc_id, source, line,
+  SELECT doc_id, source, text, line,
          len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
          list_aggregate(regexp_extract_all(translate(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                         '123456789', '000000000'), '[^\x20\x09-\x0D]+'), 'string_agg', ' ') AS plain
-  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d)),
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d)),
 full_lines AS (SELECT * FROM raw WHERE n > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM full_lines GROUP BY doc_id),
+sizes AS (SELECT source, count(DISTINCT text) AS texts FROM d WHERE len(w) > 0 GROUP BY source),
 common AS (
-  SELECT source, plain FROM full_lines GROUP BY source, plain HAVING count(DISTINCT doc_id) > 100),
+  SELECT l.source, l.plain
+  FROM (SELECT source, plain, count(DISTINCT text) AS holding FROM full_lines GROUP BY source, plain) l
+  JOIN sizes s ON l.source IS NOT DISTINCT FROM s.source
+  WHERE holding > 10 AND 100 * holding > 5 * texts),
 gone AS (
   SELECT f.doc_id, sum(n) AS gone FROM full_lines f JOIN common c
     ON f.plain = c.plain AND f.source IS NOT DISTINCT FROM c.source

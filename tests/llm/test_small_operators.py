@@ -513,3 +513,40 @@ def test_many_shards_need_few_open_files(tmp_path):
     assert (n == np.arange(1500) + 1).all()
     assert len(os.listdir("/proc/self/fd")) - before < 50
     assert len(arrays.open) <= ngram_lm.MOST_OPEN
+
+
+# ------------------------------------------------------------------ 7 the whole article
+
+
+def blocks_of(page):
+    return [whole for whole, *_ in html_extract.Page(page).blocks]
+
+
+def test_a_quote_counts_only_after_an_equals_sign():
+    page = "<article><p title=it's>ONE</p><p>TWO</p><p title=that's>THREE</p><p title='a>b' id=\"c>d\">FOUR</p></article>"
+    assert blocks_of(page) == ["ONE", "TWO", "THREE", "FOUR"]
+    assert blocks_of("<p " + '="x' * 50_000 + ">") == []
+
+
+def test_names_are_judged_by_what_they_name():
+    inside = ["side-effects", "menu-of-the-day", "notice-period", "no-comments", "content-sidebar-wrap", "with-sidebar", "market-share"]
+    aside = [
+        "reader-comments", "article-comments", "userComments", "google-ad", "l-sidebar", "ad-box", "sidebar-left",
+        "comment-list", "related-posts", "share-buttons", "site-nav", "cookie-notice", "side", "menu-items", "main-menu",
+    ]
+    for attribute in ("class", "id"):
+        for name in inside:
+            assert blocks_of(f"<article><div {attribute}='{name}'>Kept.</div><p>Text.</p></article>") == ["Kept.", "Text."], name
+        for name in aside:
+            assert blocks_of(f"<article><div {attribute}='{name}'>Gone.</div><p>Text.</p></article>") == ["Text."], name
+
+
+def test_formulas_are_text():
+    page = "<p>Let <math><mi>x</mi><annotation encoding='t'>\\x</annotation></math> be 1.</p>"
+    assert blocks_of(page) == ["Let x be 1."]
+
+
+def test_long_comments_don_t_replace_a_short_article():
+    long = "<p>" + "long " * 500 + "</p>"
+    assert blocks_of(f"<body><div class=story><p>Short.</p></div><div id=comments>{long}</div></body>") == ["Short."]
+    assert blocks_of(f"<body><form><div>{long}</div></form></body>") == [("long " * 500).strip()]

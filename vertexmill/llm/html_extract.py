@@ -31,7 +31,7 @@ SHARES = (1.0, 0.5, 0.25)
 
 #: Fixed sets of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object select annotation annotation-xml".split())
 #: Of these, what holds nothing but text, which a slash in the tag doesn't end; without an end tag code runs to the end.
 PLAIN, CODE = frozenset("script style textarea title".split()), frozenset("script style".split())
 BLOCK = frozenset(
@@ -51,26 +51,36 @@ CLOSES = {
     "td": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
     "th": (frozenset(["td", "th"]), frozenset(["table", "tr"])),
 }
-#: Elements that are never part of the main text, and words of class and id that say the same where
-#: a name begins with them, or is made of a place and one of them (``site-footer``).
+#: Elements that are never part of the main text.
 ASIDE = frozenset("nav footer aside form button dialog menu head".split())
 #: Of these, what may hold the whole page.
 WRAPPERS = frozenset(["form"])
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
+#: Words that say the same as the last word of a class or id (``reader-comments``, ``googleAd``), but for words of the
+#: last two sets after them; the second set only alone, or after words of these sets.
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr"
-    " notice notices alert sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar"
-    " comment comments discussion disqus reply replies respond share sharing social related recommended"
-    " newsletter subscribe subscription signup login popup modal overlay widget pagination pager tags toolbar skip".split()
+    " sidebar nav navbar navigation breadcrumb breadcrumbs footer masthead topbar comment comments disqus replies"
+    " sharing newsletter subscribe subscription signup login popup modal overlay widget pagination pager toolbar".split()
 )
-PLACES = frozenset("site page main global top bottom left right primary secondary post entry blog".split())
-
-#: A form or a container named aside isn't when it holds this share of the page's text outside links.
-MOST_TEXT = 0.8
+ASIDE_ALONE = frozenset(
+    "notice notices alert side menu discussion reply respond share social related recommended tags skip".split()
+)
+PLACES = frozenset("site page main global top bottom left right primary secondary post entry blog article".split())
+PARTS = frozenset(
+    "box list item items container wrapper wrap inner outer area block section slot unit bar button buttons link links"
+    " panel holder row col column posts stories form icons thread title text".split()
+)
+#: Words before it that say that a name is about something else.
+ABOUT = frozenset("with without no not has have hide show is of the content".split())
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z", re.S)
+_TAG = re.compile(
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z",
+    re.S,
+)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SELF_CLOSED = re.compile(r"(?:[\"']|(?:^|\s)[^\s=]*)/\s*\Z")
 _GENERAL = re.compile(r"[0-9]+")
 
@@ -78,8 +88,14 @@ _GENERAL = re.compile(r"[0-9]+")
 def named_aside(names: dict[str, str]) -> bool:
     """Whether a class or the id says that an element is not part of the main text."""
     for name in (names.get("class", "") + " " + names.get("id", "")).split():
-        said = _WORDS.findall(name)
-        if said and (said[0] in ASIDE_WORDS or (len(said) == 2 and said[0] in PLACES and said[1] in ASIDE_WORDS)):
+        said = [w.lower() for w in _WORDS.findall(name)]
+        while len(said) > 1 and (said[-1] in PARTS or said[-1] in PLACES):
+            said.pop()
+        if not said or ABOUT.intersection(said):
+            continue
+        if said[-1] in ASIDE_WORDS:
+            return True
+        if said[-1] in ASIDE_ALONE and all(w in PLACES or w in ASIDE_WORDS or w in ASIDE_ALONE for w in said[:-1]):
             return True
     return False
 
@@ -109,6 +125,7 @@ class Page:
     def _read(self, source: str) -> None:
         root = Node("", "", False, -1, False, -1)
         around: list[int] = []  # the wrapper around each wrapper
+        forms: list[bool] = []  # whether it is a form
         wrapped: list[int] = []  # that of each block
         texts: list[tuple[str, int]] = []  # article and main, and the wrapper of each
         endless: set[str] = set()
@@ -196,14 +213,14 @@ class Page:
             names: dict[str, str] = {}
             if attributes.strip():
                 for a in _ATTRIBUTE.finditer(attributes):
-                    names.setdefault(a[1].lower(), (a[2] or a[3] or a[4] or "").lower())
-            label = names.get("class", "").split()
+                    names.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
+            label = names.get("class", "").lower().split()
             path = top.path
             container = top.container
             if tag in BLOCK:
                 name = tag + ("." + _GENERAL.sub("#", label[0]) if label else "")
                 path = f"{path}>{name}"
-            role = names.get("role")
+            role = names.get("role", "").lower()
             aside = top.aside or (tag in ASIDE and tag not in WRAPPERS) or (role in ASIDE_ROLES and role not in WRAPPERS)
             if not aside and tag == "header":
                 aside = not any(n.tag in ("article", "main") for n in stack)
@@ -211,8 +228,10 @@ class Page:
             if not aside and tag in ("article", "main"):
                 texts.append((tag, wrapper))
             elif not aside and tag not in ("html", "body"):
-                if tag in WRAPPERS or role in WRAPPERS or (names and named_aside(names)):
+                form = tag in WRAPPERS or role in WRAPPERS
+                if form or (names and named_aside(names)):
                     around.append(wrapper)
+                    forms.append(form)
                     wrapper = len(around) - 1
             if tag in CONTAINER and not aside:
                 self.paths.append(path)
@@ -221,13 +240,15 @@ class Page:
             stack.append(Node(tag, path, aside, container, top.link or tag == "a", wrapper))
         close_block(stack[-1])
         if around:
-            self._without_wrappers(around, wrapped, texts)
+            self._without_wrappers(around, forms, wrapped, texts)
 
-    def _without_wrappers(self, around: list[int], wrapped: list[int], texts: list[tuple[str, int]]) -> None:
+    def _without_wrappers(
+        self, around: list[int], forms: list[bool], wrapped: list[int], texts: list[tuple[str, int]]
+    ) -> None:
         """Drop the blocks inside wrappers that are aside.
 
-        A wrapper isn't when it holds ``main``, an ``article`` where none and no ``main``
-        stands outside wrappers, or, there too, nearly all the text.
+        A wrapper isn't when it holds ``main``, or an ``article`` where none and no ``main``
+        stands outside wrappers. Nor is a form that holds all the text of the page.
         """
         held = [0] * len(around)
         total = 0
@@ -238,7 +259,7 @@ class Page:
                 held[wrapper] += value
                 wrapper = around[wrapper]
         free = any(wrapper < 0 for _, wrapper in texts)
-        kept = [not free and total > 0 and n >= MOST_TEXT * total for n in held]
+        kept = [form and not free and n == total > 0 for form, n in zip(forms, held, strict=True)]
         for tag, wrapper in texts:
             while wrapper >= 0 and (tag == "main" or not free):
                 kept[wrapper] = True

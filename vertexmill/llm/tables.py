@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vertexmill.runtime import scratch_path, written
 
-__all__ = ["in_sorted_groups", "join_by", "scratch_path", "sorted_runs", "table", "written"]
+__all__ = ["fresh", "in_sorted_groups", "join_by", "scratch_path", "sorted_runs", "table", "written"]
 
 #: Rows of a side that is broadcast at most; wider sides must say how many they bear.
 BROADCAST_ROWS = 100_000
@@ -23,6 +23,13 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column begins so."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name = f"_{name}"
+    return name
+
+
 def join_by(
     rows: DataFrame, side: DataFrame, keys: list[str], how: str = "left", spread: str | None = None,
     limit: int = BROADCAST_ROWS,
@@ -33,21 +40,22 @@ def join_by(
     is joined by a shuffle in which every key is spread over ``SALTS`` join
     keys by the column ``spread`` of ``rows``, so that a hot key meets no single task.
     """
-    named = side.select([F.col(c).alias(f"_side_{c}") for c in side.columns])
-    on = [rows[k].eqNullSafe(named[f"_side_{k}"]) for k in keys]
+    mark, salt = fresh("_side_", rows.columns), fresh("_salt", rows.columns)
+    named = side.select([F.col(c).alias(f"{mark}{c}") for c in side.columns])
+    on = [rows[k].eqNullSafe(named[f"{mark}{k}"]) for k in keys]
     if named.limit(limit + 1).count() <= limit:
         named = F.broadcast(named)
     elif spread is not None:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+        rows = rows.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        named = named.withColumn("_side_salt", salts)
-        on = [rows[k].eqNullSafe(named[f"_side_{k}"]) for k in keys]
-        on.append(rows["_salt"] == named["_side_salt"])
-    joined = rows.join(named, on, how).drop("_salt", "_side_salt")
+        named = named.withColumn(f"{mark}{salt}", salts)
+        on = [rows[k].eqNullSafe(named[f"{mark}{k}"]) for k in keys]
+        on.append(rows[salt] == named[f"{mark}{salt}"])
+    joined = rows.join(named, on, how).drop(salt, f"{mark}{salt}")
     if how in ("left_semi", "left_anti"):
         return joined
-    return joined.drop(*[f"_side_{k}" for k in keys]).withColumnsRenamed(
-        {f"_side_{c}": c for c in side.columns if c not in keys}
+    return joined.drop(*[f"{mark}{k}" for k in keys]).withColumnsRenamed(
+        {f"{mark}{c}": c for c in side.columns if c not in keys}
     )
 
 

@@ -154,6 +154,17 @@ def test_compressed_edges_stay_where_they_are(spark):
     layout.release()
 
 
+def test_a_first_layer_pass_in_parts_trains_the_same(spark, monkeypatch):
+    toy, cfg = dense.Toy(spark), config()
+    monkeypatch.setattr(layouts, "LEAST_COLUMNS", 1)
+    layout = lay_out(toy.nodes_df, toy.edges_df, tasks=1, sum_bytes=8 * toy.n * 3)
+    assert layout.columns == 3 < toy.x.shape[1]
+    result = trainer.train_layout(layout, cfg)
+    layout.release()
+    a = dense.normalized(dense.whole(toy.n, toy.edges))
+    check(result, a, toy, toy.row_weight(), cfg)
+
+
 def test_columns_follow_the_memory_of_a_task():
     assert sum_columns(10**6, 1000, 8) > 602
     assert sum_columns(10**12, 10**9, 62_500) == 0

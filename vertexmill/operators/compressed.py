@@ -166,8 +166,9 @@ def compressed_pass(blocks: DataFrame, vectors: DataFrame, width: int, columns:
         met = blocks.groupBy("slot").cogroup(vectors.select("slot", "key", "vec").groupBy("slot"))
         sums = met.applyInArrow(_slot_sums(0, width), "id bigint, at int, vec array<double>")
         return sum_vectors(sums.drop("at"), ["id"], width)
-    for at in range(0, width, columns):
-        some = min(columns, width - at)
+    step = -(-width // -(-width // columns))  # parts of about the same width
+    for at in range(0, width, step):
+        some = min(step, width - at)
         cut = vectors.select("slot", "key", F.slice("vec", at + 1, some).alias("vec"))
         met = blocks.groupBy("slot").cogroup(cut.groupBy("slot"))
         parts.append(met.applyInArrow(_slot_sums(at, some), "id bigint, at int, vec array<double>"))

@@ -331,7 +331,11 @@ def lay_out(
     )
     with setting(spark, "spark.sql.shuffle.partitions", str(tasks)):
         if columns:
-            summed = compressed_pass(laid_edges, in_slots(vectors, slots), width, columns)
+            placed = in_slots(vectors, slots)
+            if columns < width:
+                placed = written(placed, "vectors")  # read for each part of the width
+                blocks = [*blocks, placed]
+            summed = compressed_pass(laid_edges, placed, width, columns)
         else:
             summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
         joined = vertices.drop("features").join(summed, "id")

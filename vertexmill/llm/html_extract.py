@@ -74,6 +74,9 @@ PARTS = frozenset(
 #: Words before it that say that a name is about something else.
 ABOUT = frozenset("with without no not has have hide show is of the content".split())
 
+#: A form that holds this share of the page's text outside links is the page's own wrapper.
+FORM_TEXT = 0.8
+
 _TAG = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z",
@@ -248,7 +251,8 @@ class Page:
         """Drop the blocks inside wrappers that are aside.
 
         A wrapper isn't when it holds ``main``, or an ``article`` where none and no ``main``
-        stands outside wrappers. Nor is a form that holds all the text of the page.
+        stands outside wrappers. Nor is a form that holds nearly all the text of such a page;
+        what a name says is never outweighed by the length of the text.
         """
         held = [0] * len(around)
         total = 0
@@ -259,7 +263,7 @@ class Page:
                 held[wrapper] += value
                 wrapper = around[wrapper]
         free = any(wrapper < 0 for _, wrapper in texts)
-        kept = [form and not free and n == total > 0 for form, n in zip(forms, held, strict=True)]
+        kept = [form and not free and total > 0 and n >= FORM_TEXT * total for form, n in zip(forms, held, strict=True)]
         for tag, wrapper in texts:
             while wrapper >= 0 and (tag == "main" or not free):
                 kept[wrapper] = True

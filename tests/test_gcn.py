@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import dense
 import numpy as np
 import pytest
@@ -7,6 +10,7 @@ from vertexmill.functions import vectors as V
 from vertexmill.operators import evaluate as S
 from vertexmill.operators import gcn as D
 from vertexmill.operators import prepare as B
+from vertexmill.operators.messages import message_pass
 
 
 def features(toy):
@@ -38,6 +42,32 @@ def test_forward_and_backward_equal_the_dense_model(spark, hidden):
     assert loss == pytest.approx(dense.loss(logits, toy.labels, toy.masks[0]))
 
 
+def test_a_run_makes_one_edge_pass_per_layer_and_direction(spark, monkeypatch):
+    toy = dense.Toy(spark)
+    weights = D.wave_weights([5, 4, 3])
+    edges = B.normalize_edges(toy.edges_df, toy.nodes_df).persist()
+    passes = spark.sparkContext.accumulator(0)
+
+    def counted(edges, vectors, width):
+        def count(batches):
+            for batch in batches:
+                passes.add(batch.num_rows)
+                yield batch
+
+        return message_pass(edges, vectors.mapInArrow(count, vectors.schema), width)
+
+    monkeypatch.setattr(D, "message_pass", counted)
+    run = D.gcn_forward(edges, features(toy), weights)
+    D.gcn_backward(edges, run, D.output_grad(run.logits, D.mean_loss_weights(toy.nodes_df)), weights).collect()
+    assert passes.value == 4 * toy.n
+    # readers of a layer find its table, not the passes that led to it
+    plan = run.inputs[1]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan parquet" in plan
+    folders = {Path(urlparse(f).path).parent for t in run.pre for f in t.inputFiles()}
+    run.release()
+    assert len(folders) == 2 and not any(f.exists() for f in folders)
+
+
 def test_layer_by_hand(spark):
     edges = spark.createDataFrame(
         [(0, 1, 0.5), (1, 0, 2.0), (2, 2, -1.0)], "src bigint, dst bigint, w double"

@@ -1,12 +1,14 @@
 """Graph convolution, operator by operator. Vectors are ``(id, vec)`` tables.
 
 ``edges`` is the normalised, symmetric table, so one table serves the forward
-and the backward direction. The training plan composes the same steps with
-fewer edge passes; see ``vertexmill.plans.trainer``.
+and the backward direction. What a pass over the edges brings is written once
+and read by all that need it, so a run makes one pass per layer and direction. The
+training plan composes the same steps with fewer; see ``vertexmill.plans.trainer``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vertexmill.functions import vectors as V
 from vertexmill.operators.messages import SpreadEdges, message_pass
+from vertexmill.runtime import drop_written, written
 
 # ---------------------------------------------------------------- weights
 
@@ -24,7 +27,11 @@ def layer_dims(input_dim: int, hidden_dim: int, classes: int, num_layers: int) -
 
 
 def init_weights(dims: list[int], seed: int) -> list[np.ndarray]:
-    """Seeded normal weights with deviation ``sqrt(2 / (fan_in + fan_out))``."""
+    """Seeded normal weights with deviation ``sqrt(2 / (fan_in + fan_out))``.
+
+    Fixed values: generator, draw order, rounding to single precision and deviation
+    decide the weights that published runs start from.
+    """
     rng = np.random.RandomState(seed)
     return [
         rng.randn(a, b).astype(np.float32) * np.sqrt(2.0 / (a + b))
@@ -70,25 +77,29 @@ def gcn_layer(
 
 @dataclass
 class Forward:
-    """Logits and, per layer, what the backward pass needs."""
+    """Logits and, per layer, what the backward pass needs: ``pre`` and, read from it, ``inputs``.
+
+    ``pre`` are written tables; ``release`` deletes them.
+    """
 
     logits: DataFrame
     inputs: list[DataFrame] = field(default_factory=list)
     pre: list[DataFrame] = field(default_factory=list)
 
+    def release(self) -> None:
+        drop_written(*self.pre)
+
 
 def gcn_forward(
     edges: DataFrame | SpreadEdges, features: DataFrame, weights: list[np.ndarray]
 ) -> Forward:
-    """All layers; the last one stays linear."""
+    """All layers; the last one stays linear. Runs one edge pass per layer."""
     run = Forward(logits=features)
-    current = features
     for layer, w in enumerate(weights):
-        run.inputs.append(current)
-        out = gcn_layer(edges, current, w, apply_relu=layer < len(weights) - 1)
-        run.pre.append(out.select("id", F.col("pre").alias("vec")))
-        current = out.select("id", "vec")
-    run.logits = current
+        run.inputs.append(run.logits if layer == 0 else relu_layer(run.logits))
+        summed = message_pass(edges, V.project(run.inputs[layer], w), w.shape[1])
+        run.logits = written(summed, f"layer-{layer}")
+        run.pre.append(run.logits)
     return run
 
 
@@ -160,20 +171,38 @@ def input_grad(message_grad: DataFrame, weights: np.ndarray) -> DataFrame:
     return V.project(message_grad, np.ascontiguousarray(weights.T))
 
 
-def gcn_backward(
-    edges: DataFrame | SpreadEdges, run: Forward, grad: DataFrame, weights: list[np.ndarray]
+def backward(
+    edges: DataFrame | SpreadEdges,
+    run: Forward,
+    grad: DataFrame,
+    weights: list[np.ndarray],
+    of_layer: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
-    """Gradients of all layers as ``(layer, i, j, v)``."""
-    found = None
+    """``of_layer(inputs, message_grad)`` of all layers, marked by ``layer``, as a written table.
+
+    Runs one edge pass per layer. Sums that two readers need are written and deleted again.
+    """
+    found, passed = None, []
     for layer in reversed(range(len(weights))):
         if layer < len(weights) - 1:
             grad = relu_grad(grad, run.pre[layer])
         messages = message_pass(edges, grad, weights[layer].shape[1])
-        own = weight_grad(run.inputs[layer], messages).withColumn("layer", F.lit(layer))
-        found = own if found is None else found.unionByName(own)
         if layer:
+            messages = written(messages, f"messages-{layer}")
+            passed.append(messages)
             grad = input_grad(messages, weights[layer])
-    return found
+        own = of_layer(run.inputs[layer], messages).withColumn("layer", F.lit(layer))
+        found = own if found is None else found.unionByName(own)
+    made = written(found, "gradients")
+    drop_written(*passed)
+    return made
+
+
+def gcn_backward(
+    edges: DataFrame | SpreadEdges, run: Forward, grad: DataFrame, weights: list[np.ndarray]
+) -> DataFrame:
+    """Gradients of all layers as ``(layer, i, j, v)``."""
+    return backward(edges, run, grad, weights, weight_grad)
 
 
 def sgd_step(weights: DataFrame, grads: DataFrame, lr: float) -> DataFrame:

@@ -7,6 +7,7 @@ passes are the full-graph ones; only sums that belong to a part carry its id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +19,9 @@ from vertexmill.functions import vectors as V
 from vertexmill.functions.scalars import part_of
 from vertexmill.operators.gcn import (
     Forward,
+    backward,
     gcn_forward,
-    input_grad,
     output_grad,
-    relu_grad,
     row_loss,
 )
 from vertexmill.operators.messages import SpreadEdges, message_pass
@@ -92,8 +92,8 @@ def local_weight_grad(inputs: DataFrame, message_grad: DataFrame, parts: int) ->
                     totals = {}
         yield from pieces(totals)
 
-    partial = rows.mapInArrow(add_up, f"pid int, {V.MATRIX_PIECES}")
-    return V.sum_vectors(partial, ["pid", "layer", "i", "j0"], V.PIECE)
+    sums = rows.mapInArrow(add_up, f"pid int, {V.MATRIX_PIECES}")
+    return V.sum_vectors(sums, ["pid", "layer", "i", "j0"], V.PIECE)
 
 
 def local_grads(
@@ -101,16 +101,7 @@ def local_grads(
 ) -> DataFrame:
     """Gradient of every part's own mean loss: ``(pid, layer, i, j, v)``."""
     grad = output_grad(run.logits, local_targets(nodes, parts))
-    found = None
-    for layer in reversed(range(len(weights))):
-        if layer < len(weights) - 1:
-            grad = relu_grad(grad, run.pre[layer])
-        messages = message_pass(blocks, grad, weights[layer].shape[1])
-        own = local_weight_grad(run.inputs[layer], messages, parts)
-        own = own.withColumn("layer", F.lit(layer))
-        found = own if found is None else found.unionByName(own)
-        if layer:
-            grad = input_grad(messages, weights[layer])
+    found = backward(blocks, run, grad, weights, partial(local_weight_grad, parts=parts))
     return found.select("pid", "layer", "i", "j0", F.posexplode("vec").alias("at", "v")).select(
         "pid", "layer", "i", (F.col("j0") + F.col("at")).alias("j"), "v"
     )

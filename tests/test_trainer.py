@@ -1,4 +1,5 @@
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import dense
 import numpy as np
@@ -68,14 +69,13 @@ def test_parts_that_fit_a_task_train_in_place(spark):
     layout = lay_out(toy.nodes_df, toy.edges_df, parts=4)
     assert layout.local
     dims = D.layer_dims(5, cfg.hidden_dim, toy.classes, 3)
-    with layout.planned():
-        epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
-        done = epoch.states[0]
-        plan = done._jdf.queryExecution().executedPlan().toString()
-        # below the cached result: cached edges and vertices meet without an exchange or a sort
-        above = plan.split("InMemoryTableScan [slot")[0]
-        assert "FlatMapCoGroupsInArrow" in above and "Exchange" not in above and "Sort [" not in above
-        epoch.close()
+    epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
+    done = epoch.states[0]
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    # below the cached result: cached edges and vertices meet without an exchange or a sort
+    above = plan.split("InMemoryTableScan [slot")[0]
+    assert "FlatMapCoGroupsInArrow" in above and "Exchange" not in above and "Sort [" not in above
+    epoch.close()
     result = trainer.train_layout(layout, cfg)
     layout.release()
     a = dense.blocks(toy.n, toy.edges, 4, "normalized")
@@ -123,20 +123,19 @@ def test_edges_and_vertices_stay_where_they_are(spark):
     toy = dense.Toy(spark)
     layout = lay_out(toy.nodes_df, toy.edges_df, tasks=3, **JOINED)
     dims = [5, 4, 3]
-    with layout.planned():
-        epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
-        state = trainer._logit_states(layout, epoch.shared, dims)[-1]
-        # what moves is one vector per vertex copy, and one partial sum per target;
-        # cached edges and vertices are neither exchanged nor sorted again
-        assert len(plan_lines(state, "ShuffledHashJoin")) == 2
-        assert len(plan_lines(state, "ENSURE_REQUIREMENTS")) == 2
-        assert not plan_lines(state, r"[+:]- Sort \[")
-        trainer.score_row(epoch).first()
-        summed, _ = trainer.gradients(layout, epoch, dims)
-        # the forward pass comes from its cache
-        back = summed._jdf.queryExecution().executedPlan().toString()
-        assert back.split("InMemoryRelation [id")[0].count("MapInArrow") == 1
-        epoch.close()
+    epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
+    state = trainer._logit_states(layout, epoch.shared, dims)[-1]
+    # what moves is one vector per vertex copy, and one partial sum per target;
+    # cached edges and vertices are neither exchanged nor sorted again
+    assert len(plan_lines(state, "ShuffledHashJoin")) == 2
+    assert len(plan_lines(state, "ENSURE_REQUIREMENTS")) == 2
+    assert not plan_lines(state, r"[+:]- Sort \[")
+    trainer.score_row(epoch).first()
+    summed, _ = trainer.gradients(layout, epoch, dims)
+    # the forward pass comes from its cache
+    back = summed._jdf.queryExecution().executedPlan().toString()
+    assert back.split("InMemoryRelation [id")[0].count("MapInArrow") == 1
+    epoch.close()
     layout.release()
 
 
@@ -144,16 +143,42 @@ def test_compressed_edges_stay_where_they_are(spark):
     toy = dense.Toy(spark)
     layout = lay_out(toy.nodes_df, toy.edges_df, tasks=3)
     dims = [5, 4, 3]
-    with layout.planned():
-        epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
-        state = trainer._logit_states(layout, epoch.shared, dims)[-1]
-        # one vector per vertex copy moves to the blocks, and one partial sum per target from them
-        assert len(plan_lines(state, "FlatMapCoGroupsInArrow")) == 1
-        assert len(plan_lines(state, "ENSURE_REQUIREMENTS")) == 2
-        epoch.close()
+    epoch = trainer.open_epoch(layout, D.wave_weights(dims), dims)
+    state = trainer._logit_states(layout, epoch.shared, dims)[-1]
+    # one vector per vertex copy moves to the blocks, and one partial sum per target from them
+    assert len(plan_lines(state, "FlatMapCoGroupsInArrow")) == 1
+    assert len(plan_lines(state, "ENSURE_REQUIREMENTS")) == 2
+    epoch.close()
     layout.release()
 
 
+def test_trainings_side_by_side_keep_to_their_own_task_counts(spark):
+    toy, cfg = dense.Toy(spark), config()
+    toy.nodes_df.persist().count()
+    ways = [{"tasks": 3}, {"tasks": 2, **JOINED}, {"parts": 4}]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with ThreadPoolExecutor(len(ways)) as pool:
+        layouts_made = list(pool.map(lambda way: lay_out(toy.nodes_df, toy.edges_df, **way), ways))
+        spark.conf.set("spark.sql.shuffle.partitions", "7")  # of no account to plans of a layout
+        try:
+            results = list(pool.map(lambda made: trainer.train_layout(made, cfg), layouts_made))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    for way, made, result in zip(ways, layouts_made, results, strict=True):
+        parts = way.get("parts")
+        whole = dense.whole(toy.n, toy.edges)
+        a = dense.normalized(whole) if parts is None else dense.blocks(toy.n, toy.edges, parts, "normalized")
+        check(result, a, toy, toy.row_weight(parts) if parts else toy.row_weight(), cfg)
+        assert made.vertices.rdd.getNumPartitions() == made.tasks == way.get("tasks", parts)
+        scored = trainer.predict_layout(made, result.weights)
+        assert scored.sparkSession is spark and scored.count() == toy.n
+        made.release()
+    # neither the caller's cache nor its catalog is touched
+    assert toy.nodes_df.storageLevel.useMemory
+    assert not spark.catalog.listTables("global_temp")
+    toy.nodes_df.unpersist()
+
+
 def test_a_first_layer_pass_in_parts_trains_the_same(spark, monkeypatch):
     toy, cfg = dense.Toy(spark), config()
     monkeypatch.setattr(layouts, "LEAST_COLUMNS", 1)

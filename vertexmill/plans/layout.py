@@ -10,14 +10,19 @@ layer needs no edge pass in any epoch, forward or backward.
 Edges lie by source, so a pass moves vectors to edges and never edges. Inside
 a task they are sorted by target: the sums of a target are added up while
 they are at hand, and only the small table of source vectors is probed at random.
+
+A layout's plans belong to a session of its own that shuffles into as many parts as
+the layout has tasks. So the caller's settings are neither changed nor heeded
+afterwards, and layouts of one session can train side by side.
 """
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vertexmill.functions.scalars import inverse_sqrt_degree, part_of
@@ -41,7 +46,7 @@ from vertexmill.operators.messages import (
 )
 from vertexmill.operators.partition import block_edges, small_side, train_rows_per_part
 from vertexmill.operators.prepare import feature_width, undirected
-from vertexmill.runtime import drop_written, kept_by, setting, written
+from vertexmill.runtime import drop_written, kept_by, seen_from, side_session, written
 
 #: Edges one task reads in a large graph, and the fewest worth a task of their own.
 #: Edges are streamed, so large tasks cost no memory, and the more edges of a target
@@ -81,8 +86,10 @@ class Layout:
     With ``slots``, the values that lead to each task, ``edges`` are compressed blocks by
     ``slot`` instead, and a task sums up to ``columns`` at a time. With ``local``, the vertices
     lie by slot too, one part in each: then nothing but gradients leaves a part's task.
+    Tables for the caller are read in its session, ``caller``.
     """
 
+    caller: SparkSession
     edges: DataFrame
     vertices: DataFrame
     tasks: int
@@ -105,11 +112,6 @@ class Layout:
             return compressed_pass(self.edges, in_slots(messages, self.slots), width, self.columns)
         return message_pass(self.edges, messages, width, self.hint(width))
 
-    def planned(self):
-        """Plans made inside shuffle into the layout's number of tasks, and so meet it in place."""
-        spark = self.vertices.sparkSession
-        return setting(spark, "spark.sql.shuffle.partitions", str(self.tasks))
-
     def release(self) -> None:
         """Free the caches and delete the tables they are rebuilt from."""
         self.edges.unpersist()
@@ -211,7 +213,13 @@ def part_sizes(merged: DataFrame, nodes: DataFrame, parts: int, width: int) -> i
 
 
 def lay_out_parts(
-    merged: DataFrame, nodes: DataFrame, counted: DataFrame, parts: int, width: int, classes: int | None
+    caller: SparkSession,
+    merged: DataFrame,
+    nodes: DataFrame,
+    counted: DataFrame,
+    parts: int,
+    width: int,
+    classes: int | None,
 ) -> Layout:
     """Layout by part, for parts that fit a task: edges and vertices of one part lie together."""
     spark = nodes.sparkSession
@@ -227,23 +235,24 @@ def lay_out_parts(
     vertices = vertices.withColumn("features", F.col("features").cast("array<double>"))
     carried = [c for c in vertices.columns if c != "features"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vertices.schema if f.name in carried)
-    with setting(spark, "spark.sql.shuffle.partitions", str(parts)):
-
-        def aggregate(left: pa.Table, right: pa.Table) -> pa.Table:
-            ids = right.column("id").to_numpy()
-            scale = right.column("scale").to_numpy()[:, None]
-            sums = SlotEdges(left, ids, ids).sums(matrix_of(right.column("vec")) * scale)
-            out = {c: right.column(c) for c in carried}
-            return pa.table({**out, "ax": vectors_of(sums * scale)})
-
-        named = vertices.withColumnRenamed("features", "vec").select(*carried, "vec")
-        met = laid_edges.groupBy("slot").cogroup(named.groupBy("slot"))
-        aggregated = written(met.applyInArrow(aggregate, f"{schema}, ax array<double>"), "vertices")
-        laid_vertices = kept_by(aggregated, parts, "slot", order="slot")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+
+    def aggregate(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = right.column("id").to_numpy()
+        scale = right.column("scale").to_numpy()[:, None]
+        sums = SlotEdges(left, ids, ids).sums(matrix_of(right.column("vec")) * scale)
+        out = {c: right.column(c) for c in carried}
+        return pa.table({**out, "ax": vectors_of(sums * scale)})
+
+    named = vertices.withColumnRenamed("features", "vec").select(*carried, "vec")
+    met = laid_edges.groupBy("slot").cogroup(named.groupBy("slot"))
+    aggregated = written(met.applyInArrow(aggregate, f"{schema}, ax array<double>"), "vertices")
+    laid_vertices = kept_by(aggregated, parts, "slot", order="slot")
     found = laid_vertices.agg(
         F.countDistinct("label").alias("classes"), F.count_if("is_train").alias("n_train")
     ).first()
     return Layout(
+        caller=caller,
         edges=laid_edges,
         vertices=laid_vertices,
         tasks=parts,
@@ -279,19 +288,39 @@ def lay_out(
     ``merged`` is the written undirected table with loops, where several layouts of a graph
     share it: then a layout is a filter of it, and leaves it to its owner.
     """
-    shared = merged is not None
-    if shared:
-        chosen = merged if parts is None else block_weights(merged, parts, local_input)
-    elif parts is None:
-        chosen = undirected(edges, nodes)
-    else:
-        # edges between parts go before the shuffle, as no merged edge needs them
-        inside = undirected(block_edges(edges, parts), nodes)
-        chosen = block_weights(inside, parts, local_input)
-    if not shared or parts is not None:
-        merged, shared = written(chosen, "edges"), False
-    own = () if shared else (merged,)
-
+    caller = nodes.sparkSession
+    side = side_session(caller)
+    with ExitStack() as views:
+        if merged is not None and parts is None:
+            table, own = views.enter_context(seen_from(side, merged)), ()
+        else:
+            if merged is not None:
+                chosen = block_weights(merged, parts, local_input)
+            elif parts is None:
+                chosen = undirected(edges, nodes)
+            else:
+                # edges between parts go before the shuffle, as no merged edge needs them
+                inside = undirected(block_edges(edges, parts), nodes)
+                chosen = block_weights(inside, parts, local_input)
+            table = written(chosen, "edges", side)
+            own = (table,)
+        rows = views.enter_context(seen_from(side, nodes))
+        return _lay_out(caller, rows, table, own, parts, num_classes, tasks, hub_floor, part_bytes, sum_bytes)
+
+
+def _lay_out(
+    caller: SparkSession,
+    nodes: DataFrame,
+    merged: DataFrame,
+    own: tuple[DataFrame, ...],
+    parts: int | None,
+    num_classes: int | None,
+    tasks: int | None,
+    hub_floor: int,
+    part_bytes: int,
+    sum_bytes: int,
+) -> Layout:
+    """The layout of a written edge table, in the session of ``nodes`` and ``merged``; ``own`` are its tables so far."""
     per_vertex = merged.groupBy(F.col("src").alias("id")).agg(
         F.sum("w").alias("degree"), F.count("*").alias("n_edges")
     )
@@ -306,7 +335,7 @@ def lay_out(
     ).first()
     check_vertices(nodes, size["vertices"], size["least"])
     if parts is not None and part_sizes(merged, nodes, parts, width) <= part_bytes:
-        layout = lay_out_parts(merged, nodes, counted, parts, width, num_classes)
+        layout = lay_out_parts(caller, merged, nodes, counted, parts, width, num_classes)
         drop_written(hubs)
         return layout
     spark = nodes.sparkSession
@@ -329,24 +358,25 @@ def lay_out(
         vertices.select("id", "copies", "first", "scale", F.col("features").alias("vec")),
         ["id", "copies", "first"],
     )
-    with setting(spark, "spark.sql.shuffle.partitions", str(tasks)):
-        if columns:
-            placed = in_slots(vectors, slots)
-            if columns < width:
-                placed = written(placed, "vectors")  # read for each part of the width
-                blocks = [*blocks, placed]
-            summed = compressed_pass(laid_edges, placed, width, columns)
-        else:
-            summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
-        joined = vertices.drop("features").join(summed, "id")
-        kept = [c for c in joined.columns if c != "vec"]
-        aggregated = written(scale_vectors(joined, kept).withColumnRenamed("vec", "ax"), "vertices")
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    if columns:
+        placed = in_slots(vectors, slots)
+        if columns < width:
+            placed = written(placed, "vectors")  # read for each part of the width
+            blocks = [*blocks, placed]
+        summed = compressed_pass(laid_edges, placed, width, columns)
+    else:
+        summed = message_pass(laid_edges, vectors, width, join_hint(rows_per_task, width))
+    joined = vertices.drop("features").join(summed, "id")
+    kept = [c for c in joined.columns if c != "vec"]
+    aggregated = written(scale_vectors(joined, kept).withColumnRenamed("vec", "ax"), "vertices")
     laid_vertices = kept_by(aggregated, tasks, "id")
 
     found = laid_vertices.agg(
         F.countDistinct("label").alias("classes"), F.count_if("is_train").alias("n_train")
     ).first()
     return Layout(
+        caller=caller,
         edges=laid_edges,
         vertices=laid_vertices,
         tasks=tasks,

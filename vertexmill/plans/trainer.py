@@ -362,13 +362,6 @@ def run_epoch(
     layout: Layout, weights: list[np.ndarray], dims: list[int], lr: float
 ) -> tuple[list[np.ndarray], dict]:
     """One epoch: ``(new weights, metrics)``. Metrics belong to the weights before the update."""
-    with layout.planned():
-        return _run_epoch(layout, weights, dims, lr)
-
-
-def _run_epoch(
-    layout: Layout, weights: list[np.ndarray], dims: list[int], lr: float
-) -> tuple[list[np.ndarray], dict]:
     start = time.perf_counter()
     epoch = open_epoch(layout, weights, dims)
     kept: list[DataFrame] = []
@@ -435,9 +428,9 @@ def train_partition_local(
 def predict_layout(layout: Layout, weights: list[np.ndarray]) -> DataFrame:
     """``(id, label, splits, pred)`` of all vertices, as a written table."""
     dims = [weights[0].shape[0], *[w.shape[1] for w in weights]]
-    with layout.planned():
-        epoch = open_epoch(layout, weights, dims)
-        try:
-            return written(epoch.scored.select("id", "label", *SPLITS, "pred"), "predictions")
-        finally:
-            epoch.close()
+    epoch = open_epoch(layout, weights, dims)
+    try:
+        scored = epoch.scored.select("id", "label", *SPLITS, "pred")
+        return written(scored, "predictions", layout.caller)
+    finally:
+        epoch.close()

@@ -43,15 +43,45 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, reader: SparkSession | None = None) -> DataFrame:
     """Cut the lineage of ``df`` by a Parquet table in the shared folder.
 
     Readers of the table see only the columns they ask for, and a cache of it
-    is found again wherever the table appears in a plan.
+    is found again wherever the table appears in a plan. ``reader`` is the session
+    that plans with the table, if not that of ``df``.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
+
+
+def side_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster that starts with the settings of ``spark``.
+
+    Plans made with its tables follow its own settings, whatever happens to those of ``spark``.
+    """
+    side = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if side.conf.isModifiable(key):
+            side.conf.set(key, value)
+    if side.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return side
+
+
+@contextmanager
+def seen_from(side: SparkSession, df: DataFrame):
+    """``df`` as a table of another session of the same cluster; plans made inside stay valid.
+
+    Dropping a view frees the cache of the plan it names, so the view has a column more than ``df``.
+    """
+    name = f"seen_{uuid.uuid4().hex}"
+    df.withColumn(name, F.lit(True)).createGlobalTempView(name)
+    try:
+        shared = side.conf.get("spark.sql.globalTempDatabase", "global_temp")
+        yield side.table(f"{shared}.{name}").drop(name)
+    finally:
+        df.sparkSession.catalog.dropGlobalTempView(name)
 
 
 def drop_written(*tables: DataFrame) -> None:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from vertexmill.llm import compression, conversations, merkle
+from vertexmill.llm import compression, conversations, merkle, warc
 
 FOLDER = "/root/testdata/sf0.01"
 needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables here")
@@ -303,3 +303,16 @@ def test_halves_give_the_cells_of_every_split():
                 assert all(c == cells[0] for c in cells)
                 chart[i, i + size] = cells[0]
         assert chart[0, len(letters)] == conversations.span(letters)
+
+
+def test_records_of_a_hot_payload_meet_in_several_tasks(spark, tmp_path):
+    rows = [(k, "" if k % 3 else f"<p>{k}</p>") for k in range(300)] + [(7, ""), (7, "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, html string")
+    archive = warc.write_archive(warc.to_records(pages), str(tmp_path / "a"))
+    hot = warc.hot_digests(spark.read.parquet(archive.headers), floor=50).collect()
+    assert [r["copies"] for r in hot] == [5]  # 202 records at 50 a key
+    shown = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "header", "payload"]
+    plain = sorted(map(tuple, warc.read_archive(spark, archive).select(*shown).collect()), key=str)
+    spread = warc.read_archive(spark, archive, floor=50)
+    assert sorted(map(tuple, spread.select(*shown).collect()), key=str) == plain
+    assert len(plain) == len(rows)

@@ -19,6 +19,9 @@ from vertexmill.llm.tables import join_by, scratch_path, written
 #: Smallest payload whose repeats become revisit records.
 LEAST_REVISIT = 0
 
+#: A payload with more than 1/HOT_SHARE of the records (and more than HOT_FLOOR) is copied to several join keys.
+HOT_SHARE, HOT_FLOOR = 10_000, 10_000
+
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -137,14 +140,29 @@ def write_archive(records: DataFrame, folder: str) -> Archive:
     return archive
 
 
-def read_archive(spark, archive: Archive) -> DataFrame:
+def hot_digests(headers: DataFrame, floor: int = HOT_FLOOR) -> DataFrame:
+    """``(digest, copies)`` of payloads with more than ``floor`` records and 1/``HOT_SHARE`` of all.
+
+    So fewer than ``HOT_SHARE`` rows by construction, whatever the archive's size.
+    """
+    limit = max(floor, -(-headers.count() // HOT_SHARE))
+    counts = headers.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    return written(counts.select("digest", F.ceil(F.col("n") / limit).cast("int").alias("copies")), "hot-digests")
+
+
+def read_archive(spark, archive: Archive, floor: int = HOT_FLOOR) -> DataFrame:
     """One row per record, all fields read from the archive.
 
+    The records of a hot payload are spread over several join keys by their place in the
+    archive and the payload is copied to each, so no join task gets all of them.
+
     ``(page_id, payload_bytes, payload_digest, record_type, refers_to, header,
     payload)``. The payload is held against its key: a store whose bytes don't
     have the digest they stand under fails the read, as do a header without a
     payload and a record whose own digest line differs.
     """
+    headers = spark.read.parquet(archive.headers)
+    hot = F.broadcast(hot_digests(headers, floor))
     stored = spark.read.parquet(archive.payloads)
     checked = F.when(F.sha2("payload", 256) == F.col("digest"), F.length("payload")).otherwise(
         F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest"))).cast("int")
@@ -155,8 +173,13 @@ def read_archive(spark, archive: Archive) -> DataFrame:
         base32(F.sha1("payload")).alias("payload_digest"),
         "payload",
     )
-    headers = spark.read.parquet(archive.headers)
-    joined = headers.join(payloads, F.col("digest") == F.col("stored"), "left")
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))
+    copied = payloads.join(hot.withColumnRenamed("digest", "stored"), "stored", "left").withColumn("copy", each)
+    placed = headers.select("*", F.col("_metadata.row_index").alias("row"))
+    place = F.pmod("row", F.coalesce("copies", F.lit(1))).cast("int")
+    spread = placed.join(hot, "digest", "left").select("page_id", "digest", "header", place.alias("place"))
+    met = (F.col("digest") == F.col("stored")) & (F.col("place") == F.col("copy"))
+    joined = spread.join(copied, met, "left")
     text = F.decode("header", "UTF-8")
     field = lambda name: F.regexp_extract(text, rf"\r\n{name}: ([^\r]*)\r\n", 1)
     told = field("WARC-Payload-Digest")

@@ -306,8 +306,8 @@ def test_halves_give_the_cells_of_every_split():
 
 
 def test_records_of_a_hot_payload_meet_in_several_tasks(spark, tmp_path):
-    rows = [(k, "" if k % 3 else f"<p>{k}</p>") for k in range(300)] + [(7, ""), (7, "")]
-    pages = spark.createDataFrame(rows, "page_id bigint, html string")
+    rows = [(k, "u", "" if k % 3 else f"<p>{k}</p>") for k in range(300)] + [(7, "u", ""), (7, "u", "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     archive = warc.write_archive(warc.to_records(pages), str(tmp_path / "a"))
     hot = warc.hot_digests(spark.read.parquet(archive.headers), floor=50).collect()
     assert [r["copies"] for r in hot] == [5]  # 202 records at 50 a key

@@ -379,6 +379,25 @@ def test_texts_in_three_languages_stay(spark):
     assert kept == set(range(60)) | {1000}
 
 
+def test_texts_in_no_learned_language_go(spark):
+    random = np.random.default_rng(12)
+    own, other = ["ka", "mo", "ti", "ro"], ["wyx", "guf", "pez", "akb", "itm", "ork"]
+    made = lambda of, n: ["".join(random.choice(of, int(random.integers(2, 4)))) for _ in range(n)]
+    greek, han = ["λο", "γος", "και", "την"], ["日本語の文章", "漢字かな交じり"]
+    kept = {
+        1000: made(own, 60), 1001: ["kamotiro"], 1002: [w + "@@@" for w in made(own, 60)],
+        1003: made(own, 40) + made(other, 10), 1004: made(greek, 10) + made(own, 40), 1005: made(own, 30) + ["12", "x9"] * 90,
+    }
+    gone = {
+        2000: made(other, 60), 2001: made(greek, 60), 2002: han * 9, 2003: made(own, 10) + made(other, 40),
+        2004: made(greek, 40) + made(own, 10), 2005: ["12", "34"], 2006: [], 2007: [w + "." for w in made(other, 3000)],
+    }
+    odd = [(k, " ".join(words), None) for k, words in (kept | gone).items()] + [(3000, None, "aa")]
+    docs = spark.createDataFrame(language_rows() + odd, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"] for r in langid.with_language(docs).collect()}
+    assert got == set(range(300)) | set(kept)
+
+
 def test_rows_that_share_or_lack_a_doc_id_keep_their_texts(spark, documents):
     body = lambda name: " ".join(f"{name}{k}" for k in range(40))
     rows = [

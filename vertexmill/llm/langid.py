@@ -33,6 +33,14 @@ SCRIPT_SHARE = 0.001
 #: What a change of language costs, and the worst that one word can say against a language, in nats.
 SWITCH, WORST = 10.0, 12.0
 
+#: Trigrams that the independent ones count for in a language's share of them.
+PRIOR = 1 << 12
+
+#: Classes of bytes: a word's edge, letters, other ASCII, later and first bytes of longer code points.
+CLASSES = 5
+_CLASS = np.full(256, 2, dtype=np.uint8)
+_CLASS[32], _CLASS[97:123], _CLASS[128:192], _CLASS[192:] = 0, 1, 3, 4
+
 _STARTS = np.array([first for first, _ in SCRIPTS])
 _NAME_AT = np.array([NAMES.index(name) for _, name in SCRIPTS])
 
@@ -41,8 +49,8 @@ def lowered(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(column.cast(pa.string()))
 
 
-def grams(found: text.Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every byte trigram of the words ``at``, edges included, and words' first trigrams."""
+def codes(found: text.Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every byte trigram of the words ``at``, edges included, and words' first trigrams."""
     size = (found.end - found.start)[at]
     begin = np.cumsum(size) - size
     flat = np.repeat(found.start[at] - begin, size) + np.arange(size.sum())
@@ -51,8 +59,16 @@ def grams(found: text.Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     left[1:], right[:-1] = here[:-1], here[1:]
     left[begin] = 32
     right[begin + size - 1] = 32
-    code = (left << 16) | (here << 8) | right
-    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64), begin
+    return (left << 16) | (here << 8) | right, begin
+
+
+def bucket(code: np.ndarray) -> np.ndarray:
+    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
+
+
+def classes(code: np.ndarray) -> np.ndarray:
+    """``(trigram, byte)`` classes of the bytes of trigrams."""
+    return _CLASS[(code[:, None] >> np.array([16, 8, 0], dtype=np.uint32)) & np.uint32(255)]
 
 
 def word_scripts(found: text.Words, at: np.ndarray) -> np.ndarray:
@@ -75,9 +91,13 @@ def word_scripts(found: text.Words, at: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Places of the counted tables of a language.
+KINDS = (BUCKETS, len(NAMES), 256, CLASSES**3)
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(lang, kind, place, n)``: trigram buckets (kind 0) and letters by script (kind 1)."""
-    tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    """``(lang, kind, place, n)``: trigram buckets (kind 0), letters by script (1), bytes (2), byte classes of trigrams (3)."""
+    tables: dict[str, list[np.ndarray]] = {}
     for batch in text.chunks(batches):
         found = text.words(lowered(batch.column("text")))
         if not len(found.start):
@@ -93,15 +113,20 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one, times, letters = one[lettered], times[lettered], letters[lettered]
             if not len(one):
                 continue
-            place, begin = grams(found, one)
-            each = np.repeat(times, np.diff(np.concatenate([begin, [len(place)]])))
-            buckets, scripts = tables.setdefault(
-                lang, (np.zeros(BUCKETS, dtype=np.int64), np.zeros(len(NAMES), dtype=np.int64))
-            )
-            buckets += np.bincount(place, weights=each, minlength=BUCKETS).astype(np.int64)
-            scripts += (letters * times[:, None]).sum(axis=0)
-    for lang, both in tables.items():
-        for kind, table in enumerate(both):
+            code, begin = codes(found, one)
+            each = np.repeat(times, np.diff(np.concatenate([begin, [len(code)]])))
+            patterns = classes(code) @ np.array([CLASSES**2, CLASSES, 1])
+            new = [
+                np.bincount(bucket(code), weights=each, minlength=BUCKETS),
+                (letters * times[:, None]).sum(axis=0),
+                np.bincount((code >> np.uint32(8)) & np.uint32(255), weights=each, minlength=256),
+                np.bincount(patterns, weights=each, minlength=CLASSES**3),
+            ]
+            own = tables.setdefault(lang, [np.zeros(size, dtype=np.int64) for size in KINDS])
+            for table, more in zip(own, new, strict=True):
+                table += more.astype(np.int64)
+    for lang, own in tables.items():
+        for kind, table in enumerate(own):
             place = np.flatnonzero(table)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -118,12 +143,12 @@ def held_out():
     return F.coalesce(crc % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame) -> dict:
-    """Trigram and script tables per language, counted in Spark from a bounded sample.
+def counted(docs: DataFrame) -> tuple[list[str], list[np.ndarray]]:
+    """The languages, and a table of each of ``KINDS`` with a row per language, counted in Spark from a bounded sample.
 
     At most about ``SAMPLE`` documents a language, those with the lowest id
     hashes, that are not held out and have a ``lang``. What reaches the driver is
-    at most ``BUCKETS`` numbers a language.
+    at most ``sum(KINDS)`` numbers a language.
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.col("lang").cast("string")
@@ -139,37 +164,101 @@ def fit(docs: DataFrame) -> dict:
         .collect()
     )
     langs = sorted({r["lang"] for r in found})
-    buckets = np.zeros((len(langs), BUCKETS))
-    scripts = np.zeros((len(langs), len(NAMES)))
+    tables = [np.zeros((len(langs), size)) for size in KINDS]
+    at = {lang: k for k, lang in enumerate(langs)}
     for r in found:
-        (scripts if r["kind"] else buckets)[langs.index(r["lang"]), r["place"]] = r["n"]
-    smooth = 0.5
-    logs = np.log((buckets + smooth) / (buckets.sum(axis=1, keepdims=True) + smooth * BUCKETS))
+        tables[r["kind"]][at[r["lang"]], r["place"]] = r["n"]
+    return langs, tables
+
+
+def used_scripts(scripts: np.ndarray) -> np.ndarray:
+    """``(script, language)``: which languages use which scripts."""
     total = scripts.sum(axis=1, keepdims=True)
     allowed = scripts >= SCRIPT_SHARE * np.maximum(total, 1)
-    return {"langs": langs, "logs": logs.T.astype(np.float32).copy(), "allowed": (allowed & (scripts > 0)).T.copy()}
+    return (allowed & (scripts > 0)).T.copy()
 
 
-def word_scores(found: text.Words, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word: log scores of the languages below the best one's, its letters, and whether a language uses its script.
+def fit(docs: DataFrame) -> dict:
+    """Log shares of the trigrams of every language, and the scripts it uses; see ``counted``."""
+    langs, (buckets, scripts, _, _) = counted(docs)
+    smooth = 0.5
+    logs = np.log((buckets + smooth) / (buckets.sum(axis=1, keepdims=True) + smooth * BUCKETS))
+    return {"langs": langs, "logs": logs.T.astype(np.float32).copy(), "allowed": used_scripts(scripts)}
+
+
+def independent(byte: np.ndarray, pattern: np.ndarray) -> np.ndarray:
+    """Shares of the buckets where trigrams keep their classes of bytes, but not which bytes follow which."""
+    share = byte + 0.5
+    for c in range(CLASSES):
+        share[_CLASS == c] /= share[_CLASS == c].sum()
+    share[32] = 1.0
+    patterns = ((pattern + 0.5) / (pattern + 0.5).sum()).reshape(CLASSES, -1)
+    rest = np.arange(1 << 16, dtype=np.uint32)
+    here, right = rest >> 8, rest & 255
+    both, pair = share[here] * share[right], _CLASS[here] * CLASSES + _CLASS[right]
+    out = np.zeros(BUCKETS)
+    for left in range(256):
+        weights = share[left] * both * patterns[_CLASS[left]][pair]
+        out += np.bincount(bucket(np.uint32(left << 16) | rest), weights=weights, minlength=BUCKETS)
+    return out
 
-    A word's scripts leave the languages that use one of them; words without
-    letters, and of scripts that no language uses, say nothing.
+
+def fit_odds(docs: DataFrame) -> dict:
+    """Log odds of every language's trigrams against independent bytes of all of them, and the scripts it uses.
+
+    Texts of a language lie above 0; those of none fall below, as they put the
+    letters in other orders. What was seen of a language only a little is near 0.
     """
-    langs = len(model["langs"])
+    langs, (buckets, scripts, byte, pattern) = counted(docs)
+    plain = PRIOR * independent(byte.sum(axis=0), pattern.sum(axis=0))
+    odds = np.log((buckets + plain) / (buckets.sum(axis=1, keepdims=True) + PRIOR)) - np.log(plain / PRIOR)
+    return {"langs": langs, "odds": odds.T.astype(np.float32).copy(), "allowed": used_scripts(scripts)}
+
+
+def distinct_words(found: text.Words, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First place of each distinct word, which one every word is, letters, and the languages that use one of its scripts."""
     _, first, which = np.unique(found.hashes(), return_index=True, return_inverse=True)
-    scores = np.zeros((len(first), langs), dtype=np.float32)
     letters = word_scripts(found, first)
     candidates = (letters[:, :, None] > 0) & model["allowed"][None]
-    candidates = candidates.any(axis=1)
+    return first, which, letters.sum(axis=1), candidates.any(axis=1)
+
+
+def word_scores(found: text.Words, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Per word: log scores of the languages below the best one's, and its letters.
+
+    A word's scripts leave the languages that use one of them; words without
+    letters, and of scripts that no language uses, say nothing.
+    """
+    first, which, letters, candidates = distinct_words(found, model)
+    scores = np.zeros((len(first), len(model["langs"])), dtype=np.float32)
     some = np.flatnonzero(candidates.any(axis=1))
     if len(some):
-        place, begin = grams(found, first[some])
-        own = np.add.reduceat(model["logs"][place], begin, axis=0)
+        code, begin = codes(found, first[some])
+        own = np.add.reduceat(model["logs"][bucket(code)], begin, axis=0)
         own[~candidates[some]] = -np.inf
         own = np.maximum(own - own.max(axis=1, keepdims=True), -WORST)
         scores[some] = own
-    return scores[which], letters.sum(axis=1)[which], candidates.any(axis=1)[which]
+    return scores[which], letters[which]
+
+
+def word_odds(found: text.Words, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word: log odds of the languages and, last, of none of them; its letters; whether a language uses its script.
+
+    Trigrams with digits or ASCII punctuation say nothing, nor do words without
+    letters and of scripts that no language uses.
+    """
+    first, which, letters, candidates = distinct_words(found, model)
+    langs = len(model["langs"])
+    odds = np.zeros((len(first), langs + 1), dtype=np.float32)
+    known = candidates.any(axis=1)
+    some = np.flatnonzero(known)
+    if len(some):
+        code, begin = codes(found, first[some])
+        lettered = (classes(code) != 2).all(axis=1)
+        own = np.add.reduceat(model["odds"][bucket(code)] * lettered[:, None], begin, axis=0)
+        own[~candidates[some]] = -WORST
+        odds[some, :langs] = np.clip(own, -WORST, WORST)
+    return odds[which], letters[which], known[which]
 
 
 def best_paths(scores: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
@@ -206,23 +295,22 @@ def best_paths(scores: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def spans(column: pa.Array, model: dict) -> tuple[text.Words, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, their languages by number, their letters, and whether a learned language uses their script."""
+def spans(column: pa.Array, model: dict) -> tuple[text.Words, np.ndarray, np.ndarray]:
+    """Words, their languages by number, and their letters."""
     found = text.words(lowered(column))
     if not len(found.start) or not model["langs"]:
-        n = len(found.start)
-        return found, np.zeros(n, dtype=np.int16), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
-    scores, letters, known = word_scores(found, model)
-    return found, best_paths(scores, found.row, found.rows), letters, known
+        return found, np.zeros(len(found.start), dtype=np.int16), np.zeros(len(found.start), dtype=np.int64)
+    scores, letters = word_scores(found, model)
+    return found, best_paths(scores, found.row, found.rows), letters
 
 
-def verdicts(column: pa.Array, model: dict) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language with most letters, its share of all letters, and that of words in learned scripts; ``und`` without letters."""
-    found, path, letters, known = spans(column, model)
+def verdicts(column: pa.Array, model: dict) -> tuple[list[str], np.ndarray]:
+    """Language with most letters, and its share of all letters; ``und`` without letters."""
+    found, path, letters = spans(column, model)
     langs = len(model["langs"])
     lettered = np.array(pc.fill_null(pc.match_substring_regex(column.cast(pa.string()), r"\p{L}"), False).to_pylist(), dtype=bool)
     if not langs:
-        return ["und"] * len(column), np.zeros(len(column)), np.zeros(len(column))
+        return ["und"] * len(column), np.zeros(len(column))
     weights = np.bincount(found.row * langs + path, weights=letters, minlength=len(column) * langs)
     weights = weights.reshape(len(column), langs)
     total = weights.sum(axis=1)
@@ -230,8 +318,26 @@ def verdicts(column: pa.Array, model: dict) -> tuple[list[str], np.ndarray, np.n
     share = np.where(total > 0, weights.max(axis=1) / np.maximum(total, 1), 1 / langs)
     best = weights.argmax(axis=1)
     names = [model["langs"][b] if ok else "und" for b, ok in zip(best, lettered, strict=True)]
-    learned = np.bincount(found.row, weights=letters * known, minlength=len(column)) / np.maximum(total, 1)
-    return names, np.where(lettered, share, 0.0), learned
+    return names, np.where(lettered, share, 0.0)
+
+
+def learned_shares(column: pa.Array, model: dict) -> np.ndarray:
+    """Share of the letters of every text that lie in spans of learned languages; 0 without letters.
+
+    On its best path a text may also leave all languages and come back, at the
+    cost of two changes wherever the span lies, if independent bytes explain its
+    words that much better. So words that say too little stay in a language.
+    """
+    found = text.words(lowered(column))
+    if not len(found.start) or not model["langs"]:
+        return np.zeros(len(column))
+    odds, letters, known = word_odds(found, model)
+    count = found.counts[found.counts > 0]
+    for edge in (np.cumsum(count) - count, np.cumsum(count) - 1):
+        odds[edge, -1] -= SWITCH
+    learned = known & (best_paths(odds, found.row, found.rows) < len(model["langs"]))
+    total = np.bincount(found.row, weights=letters, minlength=len(column))
+    return np.bincount(found.row, weights=letters * learned, minlength=len(column)) / np.maximum(total, 1)
 
 
 def languages(docs: DataFrame) -> DataFrame:
@@ -246,7 +352,7 @@ def languages(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.chunks(batches):
-            names, share, _ = verdicts(batch.column("text"), model)
+            names, share = verdicts(batch.column("text"), model)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -267,7 +373,7 @@ def language_spans(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.chunks(batches):
-            found, path, _, _ = spans(batch.column("text"), model)
+            found, path, _ = spans(batch.column("text"), model)
             if not len(path):
                 continue
             new = np.ones(len(path), dtype=bool)
@@ -287,19 +393,17 @@ def language_spans(docs: DataFrame, model: dict) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, first_word bigint, words bigint, lang string")
 
 
-#: A document is rejected where neither one language nor all learned ones together fill this share of its letters.
+#: A document is rejected where spans of learned languages fill less than this share of its letters.
 LEAST_SHARE = 0.5
 
 
 def with_language(docs: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
-    """The rows of ``docs``, all their columns, of which learned languages fill ``least``."""
-    model = fit(docs)
+    """The rows of ``docs``, all their columns, with letters of which learned languages fill ``least``."""
+    model = fit_odds(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text.chunks(batches):
-            names, share, learned = verdicts(batch.column("text"), model)
-            # words of other scripts don't count against a text that one language fills
-            keep = np.array([n != "und" for n in names], dtype=bool) & (np.maximum(share, learned) >= least)
-            yield batch.filter(pa.array(keep))
+            share = learned_shares(batch.column("text"), model)
+            yield batch.filter(pa.array((share > 0) & (share >= least)))
 
     return docs.mapInArrow(run, docs.schema)
